@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from starloom.functions import exact_avg, pct, safe_div
 from starloom.operators.joins import rollup_via, share_of_total
 from starloom.operators.ordering import ntile, ordered, top_k
 
-Star = dict[str, DataFrame]
+Star = Mapping[str, DataFrame]
 
 HOURS_PER_DAY = 24
 
@@ -231,11 +233,10 @@ def customer_summary(star: Star) -> DataFrame:
 def rfm(star: Star) -> DataFrame:
     """Recency, frequency and monetary value per customer with quintile scores; 5 is best.
 
-    Recency counts days to the last purchase day in the data. Ties are split by customer id.
+    Recency counts days to the last purchase day of any order that was not canceled. Ties are split by customer id.
     """
-    value = customer_value(star)
-    last = value.agg(F.max("last_purchase_date").alias("d")).scalar()
-    base = value.select(
+    last = _dated_orders(star, ["canceled"]).agg(F.max("full_date").alias("d")).scalar()
+    base = customer_value(star).select(
         "customer_unique_id", "customer_state", F.datediff(last, "last_purchase_date").alias("recency_days"), "frequency",
         F.coalesce("monetary", F.lit(0)).alias("monetary"))
     scored = ntile(base, [F.desc("recency_days"), F.asc("customer_unique_id")], 5, "r_score")
@@ -272,9 +273,10 @@ def cohorts(star: Star) -> DataFrame:
     """Active customers per first-purchase month and months since; canceled orders excluded."""
     month = F.trunc("full_date", "MM")
     active = _dated_orders(star, ["canceled"]).filter(F.col("customer_key").isNotNull()).select("customer_key", month.alias("month")).distinct()
-    first = active.groupBy("customer_key").agg(F.min("month").alias("cohort_month"))
+    # A customer has at most one row per calendar month here, so the window stays small for any customer.
+    first = F.min("month").over(Window.partitionBy("customer_key"))
     offset = F.months_between("month", "cohort_month").cast("int")
-    return active.join(first, "customer_key").groupBy("cohort_month", offset.alias("month_offset")).agg(
+    return active.withColumn("cohort_month", first).groupBy("cohort_month", offset.alias("month_offset")).agg(
         F.count(F.lit(1)).alias("customers")).orderBy("cohort_month", "month_offset")
 
 
@@ -314,7 +316,7 @@ def category_pareto(star: Star, k: int | None = None) -> DataFrame:
     return (out.filter(F.col("rank_no") <= k) if k else out).orderBy("rank_no")
 
 
-def _bucket(kind: str) -> Column:
+def size_bucket(kind: str) -> Column:
     grams, photos = F.col("product_weight_g"), F.col("product_photos_qty")
     if kind == "weight":
         return F.when(grams < 1000, "< 1kg").when(grams <= 5000, "1-5kg").when(grams > 5000, "> 5kg").otherwise("unknown")
@@ -324,7 +326,7 @@ def _bucket(kind: str) -> Column:
 def product_buckets(star: Star, kind: str = "weight") -> DataFrame:
     """Product measures per weight or photo bucket."""
     column = {"weight": "product_weight_g", "photos": "product_photos_qty"}[kind]
-    grouped = _product_rollup(star, [column]).withColumn("bucket", _bucket(kind))
+    grouped = _product_rollup(star, [column]).withColumn("bucket", size_bucket(kind))
     return grouped.groupBy("bucket").agg(*_product_measures()).orderBy("bucket")
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions import not_blank, typed
 from starloom.operators.dedup import latest_row
 from starloom.schemas import MONEY
+from starloom.tables import LazyTables
 
 
 def customers(raw: DataFrame) -> DataFrame:
@@ -90,23 +93,17 @@ def order_reviews_latest(raw: DataFrame) -> DataFrame:
     return newest.select("order_id", typed("review_score", "smallint").alias("review_score"))
 
 
-VIEW_NAMES = [
-    "vw_customers", "vw_orders", "vw_order_items", "vw_products", "vw_sellers", "vw_order_payments_agg",
-    "vw_order_reviews_latest",
-]
-
-
-def clean_views(raw: dict[str, DataFrame], register: bool = False) -> dict[str, DataFrame]:
+def clean_views(raw: Mapping[str, DataFrame], register: bool = False) -> Mapping[str, DataFrame]:
     """All seven views by name; register=True also makes them visible to SQL."""
-    views = {
-        "vw_customers": customers(raw["customers"]),
-        "vw_orders": orders(raw["orders"]),
-        "vw_order_items": order_items(raw["order_items"]),
-        "vw_products": products(raw["products"], raw["product_category_name_translation"]),
-        "vw_sellers": sellers(raw["sellers"]),
-        "vw_order_payments_agg": order_payments_agg(raw["order_payments"]),
-        "vw_order_reviews_latest": order_reviews_latest(raw["order_reviews"]),
-    }
+    views = LazyTables({
+        "vw_customers": lambda: customers(raw["customers"]),
+        "vw_orders": lambda: orders(raw["orders"]),
+        "vw_order_items": lambda: order_items(raw["order_items"]),
+        "vw_products": lambda: products(raw["products"], raw["product_category_name_translation"]),
+        "vw_sellers": lambda: sellers(raw["sellers"]),
+        "vw_order_payments_agg": lambda: order_payments_agg(raw["order_payments"]),
+        "vw_order_reviews_latest": lambda: order_reviews_latest(raw["order_reviews"]),
+    })
     if register:
         for name, df in views.items():
             df.createOrReplaceTempView(name)

@@ -7,6 +7,7 @@ popular product or customer is combined before the shuffle.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from starloom.operators.joins import rollup_via, share_of_total
 from starloom.operators.ordering import ordered, top_k
 from starloom.schemas import MONEY, MONTH_PARTITION
 
-Star = dict[str, DataFrame]
+Star = Mapping[str, DataFrame]
 
 
 def _zero() -> Column:
@@ -66,9 +67,8 @@ def delivery_success(star: Star) -> DataFrame:
 
 def orders_by_weekday(star: Star) -> DataFrame:
     """Orders with items per weekday, Monday first; weekdays without sales stay, with 0."""
-    pairs = star["fact_sales"].select("date_key", "order_id").distinct()
     days = star["dim_date"].select("date_key", "day_of_week", "day_name")
-    counted = pairs.join(days, "date_key").groupBy("day_of_week", "day_name").agg(F.count_distinct("order_id").alias("total_orders"))
+    counted = star["fact_sales"].select("date_key", "order_id").join(days, "date_key").groupBy("day_of_week", "day_name").agg(F.count_distinct("order_id").alias("total_orders"))
     weekdays = star["dim_date"].select("day_of_week", "day_name").distinct()
     filled = weekdays.join(counted, ["day_of_week", "day_name"], "left").select(
         "day_of_week", "day_name", F.coalesce("total_orders", F.lit(0)).cast("bigint").alias("total_orders"))
@@ -143,17 +143,16 @@ def customers_by_city(star: Star) -> DataFrame:
     return shown.orderBy(F.desc("total_customers"), "city", "state")
 
 
-def _orders_per_customer(star: Star, orders: DataFrame | None = None) -> DataFrame:
+def orders_per_customer(star: Star) -> DataFrame:
     """(customer_unique_id, order_count); duplicate order ids of a customer count once."""
-    facts = star["fact_order_fulfillment"] if orders is None else orders
-    per_key = facts.groupBy("customer_key").agg(F.count_distinct("order_id").alias("order_count"))
+    per_key = star["fact_order_fulfillment"].groupBy("customer_key").agg(F.count_distinct("order_id").alias("order_count"))
     return per_key.join(star["dim_customer"].select("customer_key", "customer_unique_id"), "customer_key").groupBy(
         "customer_unique_id").agg(F.sum("order_count").alias("order_count"))
 
 
 def repeat_customers(star: Star) -> DataFrame:
     """Customers with one order and with more than one (each customer is one row here)."""
-    return _orders_per_customer(star).agg(
+    return orders_per_customer(star).agg(
         F.count_if(F.col("order_count") == 1).alias("one_time_customers"),
         F.count_if(F.col("order_count") > 1).alias("repeat_customers"))
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,7 +59,7 @@ def read_version(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return star
 
 
-def write_star(spark: SparkSession, views: dict[str, DataFrame], path: str, calendar: Calendar = Calendar()) -> dict[str, DataFrame]:
+def write_star(spark: SparkSession, views: Mapping[str, DataFrame], path: str, calendar: Calendar = Calendar()) -> dict[str, DataFrame]:
     """Build all six tables into a version folder.
 
     Facts join the written dimensions, so the planner sees their true sizes; the order fact is
@@ -88,7 +88,7 @@ def write_star(spark: SparkSession, views: dict[str, DataFrame], path: str, cale
     return read_version(spark, path)
 
 
-def publish(spark: SparkSession, views: dict[str, DataFrame], warehouse: str, audit: Audit, calendar: Calendar = Calendar()) -> str:
+def publish(spark: SparkSession, views: Mapping[str, DataFrame], warehouse: str, audit: Audit, calendar: Calendar = Calendar()) -> str:
     """Write a new version, audit it, then mark it live. Raises AuditFailed and marks nothing on failure."""
     version = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     path = _version_path(warehouse, version)
@@ -118,7 +118,7 @@ def read_star(spark: SparkSession, warehouse: str, register: bool = False) -> di
     return star
 
 
-def version_rows(star: dict[str, DataFrame]) -> DataFrame:
+def version_rows(star: Mapping[str, DataFrame]) -> DataFrame:
     """Row count of each table."""
     counts = [df.agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("total_rows")) for t, df in star.items()]
     out = counts[0]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -151,7 +152,7 @@ def _conform_unkeyed(df: DataFrame, table: str) -> DataFrame:
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
 
 
-def build_lazy(spark: SparkSession, views: dict[str, DataFrame], calendar: Calendar = Calendar()) -> dict[str, DataFrame]:
+def build_lazy(spark: SparkSession, views: Mapping[str, DataFrame], calendar: Calendar = Calendar()) -> dict[str, DataFrame]:
     """Whole star as one lazy plan, facts without row keys; nothing runs or is written."""
     star = {
         "dim_date": dim_date(spark, calendar),

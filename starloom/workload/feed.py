@@ -8,6 +8,8 @@ life of an order; two events in a row review one order in three.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from starloom.plans.clean import clean_views
 from starloom.plans.star import Calendar
 from starloom.schemas import RAW_COLUMNS
+from starloom.tables import LazyTables
 
 FEED_CALENDAR = Calendar(dt.date(1995, 1, 1), dt.date(2001, 12, 31))
 
@@ -47,7 +50,7 @@ def _places(nation: DataFrame) -> DataFrame:
     )
 
 
-def raw_customers(t: dict[str, DataFrame]) -> DataFrame:
+def raw_customers(t: Mapping[str, DataFrame]) -> DataFrame:
     order = F.col("o_orderkey")
     home = F.col("c_nationkey")
     moved = F.when(order % 4 == 0, (home + 1 + order % 3) % 25).otherwise(home)
@@ -61,7 +64,7 @@ def raw_customers(t: dict[str, DataFrame]) -> DataFrame:
         F.col("city").alias("customer_city"), F.col("state").alias("customer_state"))
 
 
-def raw_orders(t: dict[str, DataFrame]) -> DataFrame:
+def raw_orders(t: Mapping[str, DataFrame]) -> DataFrame:
     ships = t["lineitem"].groupBy("l_orderkey").agg(F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
     k = F.col("o_orderkey")
     priority = F.col("o_orderpriority")
@@ -81,7 +84,7 @@ def raw_orders(t: dict[str, DataFrame]) -> DataFrame:
     approved = plus(F.col("purchase"), hours=k % 5, minutes=(k % 7) * 11)
     lag = F.pmod(F.datediff("first_ship", "o_orderdate"), F.lit(20))
     carrier = plus(F.col("purchase"), days=lag - 1, hours=9)
-    transit = F.pmod(F.datediff("last_ship", "first_ship"), F.lit(40))
+    transit = F.pmod(F.datediff("last_ship", "first_ship"), F.lit(70))
     delivered = plus(F.col("carrier"), days=transit, hours=k % 24 - 2)
     stamped = (
         t["orders"].join(ships, k == F.col("l_orderkey"), "left")
@@ -90,7 +93,7 @@ def raw_orders(t: dict[str, DataFrame]) -> DataFrame:
         .withColumn("approved", F.when(k % 61 != 0, approved))
         .withColumn("carrier", F.when(F.col("status").isin("delivered", "shipped"), carrier))
         .withColumn("delivered", F.when((F.col("status") == "delivered") & (k % 89 != 0), delivered))
-        .withColumn("estimated", plus(F.date_trunc("DAY", F.col("o_orderdate")).cast("timestamp_ntz"), days=30))
+        .withColumn("estimated", plus(F.date_trunc("DAY", F.col("o_orderdate")).cast("timestamp_ntz"), days=45))
     )
 
     def stamp(name: str) -> Column:
@@ -103,7 +106,7 @@ def raw_orders(t: dict[str, DataFrame]) -> DataFrame:
         stamp("estimated").alias("order_estimated_delivery_date"))
 
 
-def raw_order_items(t: dict[str, DataFrame]) -> DataFrame:
+def raw_order_items(t: Mapping[str, DataFrame]) -> DataFrame:
     items = line_amounts(t["lineitem"]).groupBy("l_orderkey", "l_linenumber").agg(
         F.max("l_partkey").alias("part"), F.max("l_suppkey").alias("supplier"), F.max("l_shipdate").alias("ship"),
         F.max("l_quantity").alias("quantity"), F.sum("price").alias("price"), F.sum("freight").alias("freight"))
@@ -115,7 +118,7 @@ def raw_order_items(t: dict[str, DataFrame]) -> DataFrame:
         F.when(unpriced, "").otherwise(_text(F.col("price"))).alias("price"), _text(F.col("freight")).alias("freight_value"))
 
 
-def raw_order_payments(t: dict[str, DataFrame]) -> DataFrame:
+def raw_order_payments(t: Mapping[str, DataFrame]) -> DataFrame:
     paid = F.col("price") + F.col("freight")
     voucher = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1)
     value = F.when(voucher, F.round(paid * F.lit("0.90").cast("decimal(3,2)"), 2)).otherwise(paid)
@@ -126,7 +129,7 @@ def raw_order_payments(t: dict[str, DataFrame]) -> DataFrame:
         F.when(blank, "").otherwise(_text(value.cast("decimal(18,2)"))).alias("payment_value"))
 
 
-def raw_order_reviews(t: dict[str, DataFrame]) -> DataFrame:
+def raw_order_reviews(t: Mapping[str, DataFrame]) -> DataFrame:
     e = F.col("event_id")
     return t["events"].select(
         F.concat(F.lit("r"), F.lpad(_text(e), 12, "0")).alias("review_id"),
@@ -142,7 +145,7 @@ def _category() -> Column:
     return F.when(F.col("p_size") % 17 == 0, F.lit(None).cast("string")).otherwise(name)
 
 
-def raw_products(t: dict[str, DataFrame]) -> DataFrame:
+def raw_products(t: Mapping[str, DataFrame]) -> DataFrame:
     k, size = F.col("p_partkey"), F.col("p_size")
     return t["part"].select(
         _text(k).alias("product_id"), _category().alias("product_category_name"),
@@ -152,20 +155,20 @@ def raw_products(t: dict[str, DataFrame]) -> DataFrame:
         _text(size + 10).alias("product_length_cm"), _text(size + 5).alias("product_height_cm"), _text(size + 7).alias("product_width_cm"))
 
 
-def raw_sellers(t: dict[str, DataFrame]) -> DataFrame:
+def raw_sellers(t: Mapping[str, DataFrame]) -> DataFrame:
     return t["supplier"].join(_places(t["nation"]), F.col("s_nationkey") == F.col("_nation")).select(
         _text(F.col("s_suppkey")).alias("seller_id"), F.col("zip").alias("seller_zip_code_prefix"),
         F.col("city").alias("seller_city"), F.col("state").alias("seller_state"))
 
 
-def raw_translation(t: dict[str, DataFrame]) -> DataFrame:
+def raw_translation(t: Mapping[str, DataFrame]) -> DataFrame:
     """English names of all categories but those of one brand."""
     known = t["part"].filter(F.col("p_brand") != "Brand#25").select(_category().alias("product_category_name"))
     return known.filter(F.col("product_category_name").isNotNull()).distinct().select(
         "product_category_name", F.regexp_replace("product_category_name", "_brand_", " no ").alias("product_category_name_english"))
 
 
-def raw_geolocation(t: dict[str, DataFrame]) -> DataFrame:
+def raw_geolocation(t: Mapping[str, DataFrame]) -> DataFrame:
     return _places(t["nation"]).select(
         F.col("zip").alias("geolocation_zip_code_prefix"), _text(F.col("_nation") * 2 - 25).alias("geolocation_lat"),
         _text(F.col("_nation") * 3 - 40).alias("geolocation_lng"), F.col("city").alias("geolocation_city"),
@@ -181,15 +184,20 @@ BUILDERS = {
 SOURCE_TABLES = ["nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
-def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in SOURCE_TABLES}
+def source_tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    folder = sf_dir.rstrip("/")
+    return LazyTables({t: partial(spark.read.parquet, f"{folder}/{t}.parquet") for t in SOURCE_TABLES})
 
 
-def raw_feed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def raw_feed(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     """The nine raw tables, all text, lazily."""
     tables = source_tables(spark, sf_dir)
-    return {name: build(tables).select(*RAW_COLUMNS[name]) for name, build in BUILDERS.items()}
 
+    def build(name: str) -> DataFrame:
+        return BUILDERS[name](tables).select(*RAW_COLUMNS[name])
 
-def feed_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return LazyTables({name: partial(build, name) for name in BUILDERS})
+
+
+def feed_views(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     return clean_views(raw_feed(spark, sf_dir))

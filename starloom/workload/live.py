@@ -11,6 +11,9 @@ from starloom.plans.publish import current_version, publish, read_star
 from starloom.workload.feed import FEED_CALENDAR, raw_feed
 
 
+_open: dict[str, dict[str, DataFrame]] = {}  # the folder name holds the application id
+
+
 def warehouse_folder(spark: SparkSession, sf_dir: str) -> str:
     label = sf_dir.strip("/").replace("/", "_")
     return f"{shared_folder(spark)}/starloom/{spark.sparkContext.applicationId}/warehouse-{label}"
@@ -19,7 +22,10 @@ def warehouse_folder(spark: SparkSession, sf_dir: str) -> str:
 def live_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Read the live version; the first call of an application derives, audits and publishes it."""
     folder = warehouse_folder(spark, sf_dir)
+    if folder in _open:
+        return _open[folder]
     if current_version(spark, folder) is None:
         raw = raw_feed(spark, sf_dir)
         publish(spark, clean_views(raw), folder, prepublish_gate(raw), FEED_CALENDAR)
-    return read_star(spark, folder)
+    _open[folder] = read_star(spark, folder)
+    return _open[folder]

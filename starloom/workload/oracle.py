@@ -67,12 +67,12 @@ place AS (
               ELSE CASE o_orderpriority WHEN '1-URGENT' THEN 'canceled' WHEN '2-HIGH' THEN 'unavailable'
                         WHEN '3-MEDIUM' THEN 'invoiced' WHEN '4-NOT SPECIFIED' THEN 'processing' ELSE 'lost' END END AS status,
          ((date_diff('day', o_orderdate, first_ship) % 20) + 20) % 20 AS lag_days,
-         ((date_diff('day', first_ship, last_ship) % 40) + 40) % 40 AS transit_days
+         ((date_diff('day', first_ship, last_ship) % 70) + 70) % 70 AS transit_days
   FROM orders LEFT JOIN ship ON o_orderkey = l_orderkey
 ), ord2 AS (
   SELECT *, CASE WHEN k % 61 <> 0 THEN purchase + to_hours(k % 5) + to_minutes((k % 7) * 11) END AS approved,
          CASE WHEN status IN ('delivered', 'shipped') THEN purchase + to_days(CAST(lag_days - 1 AS INTEGER)) + to_hours(9) END AS carrier,
-         date_trunc('day', o_orderdate) + to_days(30) AS estimated
+         date_trunc('day', o_orderdate) + to_days(45) AS estimated
   FROM ord1
 ), ord AS (
   SELECT CAST(k AS VARCHAR) AS order_id, customer_id, status, purchase, approved, carrier,
@@ -588,7 +588,7 @@ _AGAIN = "count(*) FILTER (WHERE frequency >= 2)"
 add("n9_customer_summary", f"SELECT count(*) AS total_customers, {pct(_AGAIN, 'count(*)')} AS repeat_purchase_rate_pct, {mean('monetary', 2)} AS avg_clv FROM value_rows", _VALUE)
 RFM = _VALUE + """, rfm AS (SELECT customer_unique_id, customer_state, recency_days, frequency, monetary, ntile(5) OVER (ORDER BY recency_days DESC, customer_unique_id) AS r_score,
 ntile(5) OVER (ORDER BY frequency, customer_unique_id) AS f_score, ntile(5) OVER (ORDER BY monetary, customer_unique_id) AS m_score
-FROM (SELECT customer_unique_id, customer_state, date_diff('day', last_day, (SELECT max(last_day) FROM value_rows)) AS recency_days, frequency, coalesce(monetary, 0) AS monetary FROM value_rows))"""
+FROM (SELECT customer_unique_id, customer_state, date_diff('day', last_day, (SELECT max(full_date) FROM fof JOIN dd ON order_purchase_date_key = date_key WHERE order_status <> 'canceled')) AS recency_days, frequency, coalesce(monetary, 0) AS monetary FROM value_rows))"""
 add("n9_rfm_scores", f"SELECT customer_unique_id, customer_state, {b('recency_days')}, frequency, {d('monetary')}, {b('r_score')}, {b('f_score')}, {b('m_score')} FROM rfm", RFM)
 STATE_VALUE = _VALUE + ", state_value AS (SELECT customer_state, sum(monetary) AS revenue, count(*) AS customers FROM value_rows GROUP BY 1)"
 _ranked("n9_revenue_by_state", "state_value", "revenue DESC, customer_state", f"customer_state, {d('revenue')}, customers", STATE_VALUE, 5)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,11 +61,11 @@ def register(name: str) -> Callable[[Query], Query]:
     return add
 
 
-def on_star(name: str, plan: Callable[[dict[str, DataFrame]], DataFrame]) -> None:
+def on_star(name: str, plan: Callable[[Mapping[str, DataFrame]], DataFrame]) -> None:
     register(name)(lambda spark, sf_dir: plan(live_star(spark, sf_dir)))
 
 
-def on_views(name: str, plan: Callable[[dict[str, DataFrame]], DataFrame]) -> None:
+def on_views(name: str, plan: Callable[[Mapping[str, DataFrame]], DataFrame]) -> None:
     register(name)(lambda spark, sf_dir: plan(feed_views(spark, sf_dir)))
 
 
@@ -120,7 +120,7 @@ def _(spark, sf_dir):
 on_star("a10_violation_rows", lambda star: _violations(star, "Timeline: carrier_date_key <= delivered_date_key"))
 
 
-def _violations(star: dict[str, DataFrame], name: str) -> DataFrame:
+def _violations(star: Mapping[str, DataFrame], name: str) -> DataFrame:
     return next(c for c in audit.catalogue() if c.name == name).violations(star)
 
 
@@ -168,7 +168,7 @@ on_star("b12_null_safe_difference", lambda star: star["fact_sales"].filter(~F.co
     F.isnull("price").alias("price_missing")).agg(F.count(F.lit(1)).alias("items"), F.sum("sales_amount").alias("sales_amount")))
 on_star("b13_status_label", lambda star: star["fact_order_fulfillment"].groupBy(
     F.when(F.col("is_on_time"), "On Time").otherwise("Late").alias("delivery_status")).agg(F.count(F.lit(1)).alias("orders")))
-on_star("b14_size_buckets", lambda star: star["dim_product"].groupBy(analysis._bucket("weight").alias("weight"), analysis._bucket("photos").alias("photos")).agg(
+on_star("b14_size_buckets", lambda star: star["dim_product"].groupBy(analysis.size_bucket("weight").alias("weight"), analysis.size_bucket("photos").alias("photos")).agg(
     F.count(F.lit(1)).alias("products")))
 
 # --- C: deduplication -----------------------------------------------------------------------------------
@@ -261,7 +261,7 @@ on_star("e7_having", lambda star: star["fact_sales"].groupBy("order_id").agg(F.s
     (F.col("items") >= 5) & (F.col("total") > 300000)))
 on_star("e8_group_by_expression", lambda star: star["fact_order_fulfillment"].filter(F.col("total_fulfillment_hours").isNotNull()).groupBy(
     F.round(F.col("total_fulfillment_hours") / F.lit(24).cast("decimal(2,0)"), 0).alias("days")).agg(F.count(F.lit(1)).alias("orders")))
-on_star("e9_orders_histogram", lambda star: metrics._orders_per_customer(star).groupBy("order_count").agg(F.count(F.lit(1)).alias("customers")))
+on_star("e9_orders_histogram", lambda star: metrics.orders_per_customer(star).groupBy("order_count").agg(F.count(F.lit(1)).alias("customers")))
 on_star("e13_status_counts", audit.status_counts)
 on_star("e14_duration_percentiles", analysis.duration_percentiles)
 on_star("e15_delay_score_correlation", lambda star: analysis.delay_score_correlation(star).select(F.round("corr_delay_score", 6).alias("corr_delay_score")))
@@ -388,7 +388,7 @@ CHECK_COLUMNS = ["check_no", "category", "name", "total_evaluated", "failed_coun
 
 
 def _checks(name: str, groups: list[str]) -> None:
-    def plan(star: dict[str, DataFrame]) -> DataFrame:
+    def plan(star: Mapping[str, DataFrame]) -> DataFrame:
         return audit.check_results(star, groups).withColumn("error_pct", F.round("error_pct", 6)).select(*CHECK_COLUMNS)
 
     on_star(name, plan)
