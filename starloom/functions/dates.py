@@ -7,8 +7,8 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MICROS_PER_HOUR = 3_600_000_000
-MICROS_PER_DAY = 86_400_000_000
+SECONDS_PER_HOUR = 3_600
+SECONDS_PER_DAY = 86_400
 
 
 def date_key(when: Column | str) -> Column:
@@ -33,16 +33,17 @@ def month_of_key(key: Column | str) -> Column:
 
 
 def _elapsed(start: Column | str, end: Column | str, unit: int) -> Column:
+    """Elapsed time in units of so many seconds; zone-less, so no session zone can shift it."""
     start, end = (F.col(c) if isinstance(c, str) else c for c in (start, end))
-    micros = F.timestamp_diff("MICROSECOND", start, end).cast("decimal(20,0)")
-    return F.round(micros / F.lit(unit).cast("decimal(12,0)"), 2).cast("decimal(8,2)")
+    seconds = (end - start).cast("interval second").cast("decimal(18,6)")
+    return F.round(seconds / F.lit(unit).cast("decimal(5,0)"), 2).cast("decimal(8,2)")
 
 
 def hours_between(start: str, end: str) -> Column:
     """Hours from start to end, two digits; NULL when either is missing or the order is reversed."""
-    return F.when(F.col(end) >= F.col(start), _elapsed(start, end, MICROS_PER_HOUR))
+    return F.when(F.col(end) >= F.col(start), _elapsed(start, end, SECONDS_PER_HOUR))
 
 
 def days_between(start: str, end: str) -> Column:
     """Signed days from start to end, two digits; negative when end comes first."""
-    return _elapsed(start, end, MICROS_PER_DAY)
+    return _elapsed(start, end, SECONDS_PER_DAY)

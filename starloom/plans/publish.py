@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Mapping
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +13,7 @@ from starloom.operators.keys import row_keys
 from starloom.plans import star as builders
 from starloom.plans.star import Calendar
 from starloom.schemas import DIMENSIONS, MONTH_PARTITION, STAR_TABLES, star_columns, star_schema
-from starloom.sources import files
-
-MARKER = "_PUBLISHED"
+from starloom.sources.versions import current_version, mark_live, new_version
 
 Audit = Callable[[dict[str, DataFrame]], list[str]]
 
@@ -30,10 +26,6 @@ class AuditFailed(RuntimeError):
         self.problems = problems
 
 
-def _version_path(warehouse: str, version: str) -> str:
-    return f"{warehouse.rstrip('/')}/version={version}"
-
-
 def write_dimension(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
@@ -48,15 +40,16 @@ def write_fact(df: DataFrame, date_key: str, path: str) -> None:
     monthly.write.mode("overwrite").partitionBy(MONTH_PARTITION).parquet(path)
 
 
+def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """One table of a version; facts keep their month column for partition pruning."""
+    schema = star_schema(table)
+    if table not in DIMENSIONS:
+        schema = schema.add(MONTH_PARTITION, T.IntegerType())
+    return spark.read.schema(schema).parquet(f"{path}/{table}")
+
+
 def read_version(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Tables of one version; facts keep their month column for partition pruning."""
-    star = {}
-    for table in STAR_TABLES:
-        schema = star_schema(table)
-        if table not in DIMENSIONS:
-            schema = schema.add(MONTH_PARTITION, T.IntegerType())
-        star[table] = spark.read.schema(schema).parquet(f"{path}/{table}")
-    return star
+    return {table: read_table(spark, path, table) for table in STAR_TABLES}
 
 
 def write_star(spark: SparkSession, views: Mapping[str, DataFrame], path: str, calendar: Calendar = Calendar()) -> dict[str, DataFrame]:
@@ -73,7 +66,7 @@ def write_star(spark: SparkSession, views: Mapping[str, DataFrame], path: str, c
     }
     for table, df in dims.items():
         write_dimension(df, f"{path}/{table}")
-    stored = {t: spark.read.schema(star_schema(t)).parquet(f"{path}/{t}") for t in dims}
+    stored = {table: read_table(spark, path, table) for table in dims}
 
     orders = builders.fact_order_fulfillment(
         views["vw_orders"], views["vw_customers"], views["vw_order_payments_agg"], views["vw_order_reviews_latest"],
@@ -81,7 +74,7 @@ def write_star(spark: SparkSession, views: Mapping[str, DataFrame], path: str, c
     )
     keyed = row_keys(orders, "fulfillment_key", "fulfillment")
     write_fact(keyed, "order_purchase_date_key", f"{path}/fact_order_fulfillment")
-    order_facts = spark.read.parquet(f"{path}/fact_order_fulfillment").select(*star_columns("fact_order_fulfillment"))
+    order_facts = read_table(spark, path, "fact_order_fulfillment").select(*star_columns("fact_order_fulfillment"))
 
     items = builders.fact_sales(views["vw_order_items"], order_facts, stored["dim_product"], stored["dim_seller"])
     write_fact(row_keys(items, "sales_key", "sales"), "date_key", f"{path}/fact_sales")
@@ -90,22 +83,15 @@ def write_star(spark: SparkSession, views: Mapping[str, DataFrame], path: str, c
 
 def publish(spark: SparkSession, views: Mapping[str, DataFrame], warehouse: str, audit: Audit, calendar: Calendar = Calendar()) -> str:
     """Write a new version, audit it, then mark it live. Raises AuditFailed and marks nothing on failure."""
-    version = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
-    path = _version_path(warehouse, version)
-    star = write_star(spark, views, path, calendar)
+    version = new_version(warehouse)
+    star = write_star(spark, views, version, calendar)
     problems = audit(star)
     if problems:
         raise AuditFailed(problems)
-    files.touch(spark, f"{path}/{MARKER}")  # one file creation switches all six tables
+    mark_live(spark, version)
     return version
 
 
-def current_version(spark: SparkSession, warehouse: str) -> str | None:
-    """Folder of the newest published version, or None."""
-    marks = files.glob(spark, f"{warehouse.rstrip('/')}/version=*/{MARKER}")
-    return marks[-1].rsplit("/", 1)[0] if marks else None
-
-
 def read_star(spark: SparkSession, warehouse: str, register: bool = False) -> dict[str, DataFrame]:
     """The live star; register=True also makes its tables visible to SQL."""
     path = current_version(spark, warehouse)

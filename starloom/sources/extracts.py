@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.schemas import RAW_COLUMNS, raw_schema
 from starloom.sources import files
+from starloom.sources.versions import current_version, mark_live, new_version
+from starloom.tables import LazyTables
 
 log = logging.getLogger(__name__)
 
@@ -54,17 +58,23 @@ def read_extracts(spark: SparkSession, folder: str, patterns: dict[str, str] | N
     return raw
 
 
-def write_staging(raw: dict[str, DataFrame], folder: str) -> dict[str, int]:
-    """Full refresh of the staging tables; returns row counts observed while writing (no second scan)."""
-    counts = {}
+def write_staging(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
+    """Full refresh of the staging tables, live only when all of them are written.
+
+    Row counts are observed while writing, so nothing is scanned twice.
+    """
+    version, counts = new_version(folder), {}
     for table, df in raw.items():
         seen = Observation(table)
-        observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        observed.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{table}")
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{version}/{table}")
         counts[table] = seen.get["rows"]
+    mark_live(spark, version)
     return counts
 
 
-def read_staging(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Staging tables as written by write_staging."""
-    return {t: spark.read.schema(raw_schema(t)).parquet(f"{folder.rstrip('/')}/{t}") for t in RAW_COLUMNS}
+def read_staging(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
+    """The live staging tables."""
+    version = current_version(spark, folder)
+    if version is None:
+        raise FileNotFoundError(f"no staging tables under {folder}")
+    return LazyTables({t: partial(spark.read.schema(raw_schema(t)).parquet, f"{version}/{t}") for t in RAW_COLUMNS})

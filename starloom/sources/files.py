@@ -25,3 +25,9 @@ def touch(spark: SparkSession, path: str) -> None:
     """Create an empty file; fails if it is there already."""
     fs, target = _fs(spark, path)
     fs.create(target, False).close()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all below it."""
+    fs, target = _fs(spark, path)
+    fs.delete(target, True)

@@ -86,8 +86,9 @@ def raw_orders(t: Mapping[str, DataFrame]) -> DataFrame:
     carrier = plus(F.col("purchase"), days=lag - 1, hours=9)
     transit = F.pmod(F.datediff("last_ship", "first_ship"), F.lit(70))
     delivered = plus(F.col("carrier"), days=transit, hours=k % 24 - 2)
+    # Both sides hold one row per order and grow alike, so neither is one to broadcast.
     stamped = (
-        t["orders"].join(ships, k == F.col("l_orderkey"), "left")
+        t["orders"].join(ships.hint("merge"), k == F.col("l_orderkey"), "left")
         .withColumn("status", status)
         .withColumn("purchase", purchase)
         .withColumn("approved", F.when(k % 61 != 0, approved))

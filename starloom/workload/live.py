@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from starloom.operators.durable import shared_folder
 from starloom.plans.audit import prepublish_gate
 from starloom.plans.clean import clean_views
-from starloom.plans.publish import current_version, publish, read_star
+from starloom.plans.publish import publish, read_star
+from starloom.sources.versions import current_version
 from starloom.workload.feed import FEED_CALENDAR, raw_feed
 
 
