@@ -29,10 +29,9 @@ def orphan_counts(fact: DataFrame, fks: dict[str, str], dim: DataFrame, pk: str)
     (label, value) counts in a single scan; only the distinct values are joined. A label is returned
     even when it has no value at all.
     """
-    pairs = F.explode(F.array(*[F.struct(F.lit(label).alias("fk"), F.col(c).cast("bigint").alias("value"))
-                                for label, c in fks.items()]))
+    cells = ", ".join(f"'{label}', CAST({column} AS BIGINT)" for label, column in fks.items())
     counts = (
-        fact.select(pairs.alias("p")).groupBy("p.fk", "p.value").agg(F.count(F.lit(1)).alias("n"))
+        fact.selectExpr(f"stack({len(fks)}, {cells}) AS (fk, value)").groupBy("fk", "value").agg(F.count(F.lit(1)).alias("n"))
         .join(dim.select(F.col(pk).cast("bigint").alias("_pk")).distinct(), F.col("value") == F.col("_pk"), "left")
     )
     present = F.col("value").isNotNull()
