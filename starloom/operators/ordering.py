@@ -9,27 +9,28 @@ from starloom.operators.durable import durable
 
 
 def ordered(df: DataFrame, order: list[Column], running: dict[str, str] | None = None, row_no: str = "row_no",
-            row_count: str | None = None) -> DataFrame:
-    """Add the 1-based row number in a total order and, per `running`, running sums of columns.
+            row_count: str | None = None, totals: dict[str, str] | None = None) -> DataFrame:
+    """Add the 1-based row number in a total order, running sums (`running`) and whole sums (`totals`) of columns.
 
     Rows are range-partitioned on the order columns and stored with their range number, so both
     passes (range totals, then positions inside a range) see the same ranges even if tasks are
     repeated. `order` must end in a unique column: then equal values spread over ranges too.
     Only the range totals meet in one task.
     """
-    running = running or {}
+    running, totals = running or {}, totals or {}
     ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
     stored = durable(ranged, "ordered")
-    totals = stored.groupBy("_range").agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(col).alias(f"_sum_{name}") for name, col in running.items()]
+    per_range = stored.groupBy("_range").agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(col).alias(f"_sum_{name}") for name, col in {**running, **totals}.items()]
     )
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy()
-    offsets = totals.select(
+    offsets = per_range.select(
         "_range",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
         F.sum("_n").over(whole).alias("_n_all"),
         *[F.sum(f"_sum_{name}").over(before).alias(f"_before_{name}") for name in running],
+        *[F.sum(f"_sum_{name}").over(whole).alias(name) for name in totals],
     )
     inside = Window.partitionBy("_range").orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
@@ -44,6 +45,7 @@ def ordered(df: DataFrame, order: list[Column], running: dict[str, str] | None =
         before_sum = F.col(f"_before_{name}")
         run = F.col(f"_run_{name}")
         extra.append(F.coalesce(before_sum + run, before_sum, run).alias(name))
+    extra += [F.col(name) for name in totals]
     return out.select(*df.columns, *extra)
 
 

@@ -309,10 +309,9 @@ def _product_measures() -> list[Column]:
 def category_pareto(star: Star, k: int | None = None) -> DataFrame:
     """Categories by revenue with rank and cumulative share; k keeps the first ranks."""
     grouped = _product_rollup(star, ["category_name_english"]).groupBy("category_name_english").agg(*_product_measures())
-    total = grouped.agg(F.sum("total_revenue").alias("t")).scalar()
     order = [F.col("total_revenue").desc_nulls_last(), F.col("category_name_english").asc_nulls_last()]
-    ranked = ordered(grouped, order, running={"_running": "total_revenue"}, row_no="rank_no")
-    out = ranked.withColumn("cumulative_pct", pct("_running", total)).drop("_running")
+    ranked = ordered(grouped, order, running={"_running": "total_revenue"}, totals={"_all": "total_revenue"}, row_no="rank_no")
+    out = ranked.withColumn("cumulative_pct", pct("_running", "_all")).drop("_running", "_all")
     return (out.filter(F.col("rank_no") <= k) if k else out).orderBy("rank_no")
 
 
@@ -404,7 +403,9 @@ def sellers_by_state(star: Star) -> DataFrame:
     grouped = seller_orders(star).groupBy("seller_state").agg(
         F.count_distinct("seller_id").alias("active_sellers"), F.sum("gmv").alias("total_gmv"),
         exact_avg("hours_to_carrier", 2).alias("avg_dispatch_hours"))
-    return share_of_total(grouped, "active_sellers", "seller_share_pct").orderBy(F.desc("total_gmv"), "seller_state")
+    selling = star["fact_sales"].select("seller_key").distinct().join(star["dim_seller"].select("seller_key"), "seller_key")
+    everyone = selling.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return grouped.withColumn("seller_share_pct", pct("active_sellers", everyone)).orderBy(F.desc("total_gmv"), "seller_state")
 
 
 def route_comparison(star: Star) -> DataFrame:
@@ -419,28 +420,15 @@ def seller_concentration(star: Star) -> DataFrame:
     """Sellers by sales with the cumulative share of sales and of sellers."""
     grouped = rollup_via(star["fact_sales"], "seller_key", {"v": F.sum("price")}, star["dim_seller"], ["seller_id"])
     totals = grouped.groupBy("seller_id").agg(F.coalesce(F.sum("v"), F.lit(0)).alias("total_gmv"))
-    whole = totals.agg(F.sum("total_gmv").alias("t")).scalar()
-    ranked = ordered(totals, [F.desc("total_gmv"), F.asc("seller_id")], running={"_running": "total_gmv"}, row_no="rank_no", row_count="_sellers")
-    return ranked.select("rank_no", "seller_id", "total_gmv", pct("_running", whole).alias("cumulative_gmv_pct"),
+    ranked = ordered(totals, [F.desc("total_gmv"), F.asc("seller_id")], running={"_running": "total_gmv"}, totals={"_all": "total_gmv"},
+                     row_no="rank_no", row_count="_sellers")
+    return ranked.select("rank_no", "seller_id", "total_gmv", pct("_running", "_all").alias("cumulative_gmv_pct"),
                          pct("rank_no", "_sellers").alias("seller_pct"))
 
 
 # --- Drift ------------------------------------------------------------------------------------------
 
 
-def _psi(base: DataFrame, current: DataFrame) -> DataFrame:
-    """Bucket shares of two periods and each bucket's part of the population stability index.
-
-    A bucket empty in one period counts half a row there, so the logarithm is defined.
-    """
-    both = base.join(current, "bucket", "full").select(
-        "bucket", F.coalesce("base_n", F.lit(0)).alias("base_n"), F.coalesce("current_n", F.lit(0)).alias("current_n"))
-    base_all, current_all = (base.agg(F.sum("base_n").alias("t")).scalar(), current.agg(F.sum("current_n").alias("t")).scalar())
-    b = F.greatest(F.col("base_n").cast("double"), F.lit(0.5)) / base_all
-    c = F.greatest(F.col("current_n").cast("double"), F.lit(0.5)) / current_all
-    return both.select("bucket", "base_n", "current_n", ((c - b) * F.log(c / b)).alias("psi_part"))
-
-
 def price_drift(star: Star, split_key: int, low: float, high: float, buckets: int = 10) -> DataFrame:
     """Item price distribution before and from a date key; buckets 0 and n+1 hold prices out of range."""
     priced = star["fact_sales"].filter(F.col("price").isNotNull() & F.col("date_key").isNotNull()).select(
@@ -456,6 +444,13 @@ def score_drift(star: Star, split_key: int) -> DataFrame:
 
 
 def _drift(values: DataFrame, key: str, split_key: int) -> DataFrame:
-    base = values.filter(F.col(key) < split_key).groupBy("bucket").agg(F.count(F.lit(1)).alias("base_n"))
-    current = values.filter(F.col(key) >= split_key).groupBy("bucket").agg(F.count(F.lit(1)).alias("current_n"))
-    return _psi(base, current)
+    """Bucket counts of both periods and each bucket's part of the population stability index, in one pass.
+
+    A bucket empty in one period counts half a row there, so the logarithm is defined.
+    """
+    before = F.col(key) < split_key
+    counts = values.groupBy("bucket").agg(F.count_if(before).alias("base_n"), F.count_if(~before).alias("current_n"))
+    base_all, current_all = (values.agg(F.count_if(c).alias("n")).scalar() for c in (before, ~before))
+    b = F.greatest(F.col("base_n").cast("double"), F.lit(0.5)) / base_all
+    c = F.greatest(F.col("current_n").cast("double"), F.lit(0.5)) / current_all
+    return counts.select("bucket", "base_n", "current_n", ((c - b) * F.log(c / b)).alias("psi_part"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions import exact_avg, pct, place_label, title_case, weighted_mean
@@ -230,7 +230,8 @@ def on_time_vs_late(star: Star) -> DataFrame:
         F.sum("order_count").alias("order_count"),
         weighted_mean(F.col("delivery_day").cast("decimal(10,2)"), F.col("order_count").cast("decimal(18,0)")).alias("_day"),
         weighted_mean(F.col("avg_review_score").cast("decimal(10,2)"), F.col("order_count").cast("decimal(18,0)")).alias("_score"))
-    shared = share_of_total(grouped, "order_count", "share_pct")
+    both = F.sum("order_count").over(Window.partitionBy())  # two rows
+    shared = grouped.withColumn("share_pct", pct("order_count", both))
     return shared.select("delivery_status", "order_count", "share_pct", F.round("_day", 1).alias("avg_delivery_day"),
                          F.round("_score", 2).alias("avg_review_score"))
 
