@@ -125,9 +125,8 @@ place AS (
   SELECT row_number() OVER (ORDER BY md5(seller_id), seller_id) AS seller_key, * FROM seller
 ), fof AS (
   SELECT o.order_id, c.customer_key,
-         CAST(strftime(purchase, '%Y%m%d') AS INTEGER) AS order_purchase_date_key, CAST(strftime(approved, '%Y%m%d') AS INTEGER) AS order_approved_date_key,
-         CAST(strftime(carrier, '%Y%m%d') AS INTEGER) AS carrier_pickup_date_key, CAST(strftime(delivered, '%Y%m%d') AS INTEGER) AS delivered_date_key,
-         CAST(strftime(estimated, '%Y%m%d') AS INTEGER) AS estimated_delivery_date_key,
+         d1.date_key AS order_purchase_date_key, d2.date_key AS order_approved_date_key, d3.date_key AS carrier_pickup_date_key,
+         d4.date_key AS delivered_date_key, d5.date_key AS estimated_delivery_date_key,
          CASE WHEN approved >= purchase THEN {span('purchase', 'approved', HOUR)} END AS hours_to_approval,
          CASE WHEN carrier >= approved THEN {span('approved', 'carrier', HOUR)} END AS hours_to_carrier,
          CASE WHEN delivered >= carrier THEN {span('carrier', 'delivered', HOUR)} END AS hours_to_customer,
@@ -136,6 +135,9 @@ place AS (
          score AS review_score, status AS order_status, delivered <= estimated AS is_on_time, paid AS total_payment_value, payments AS payment_count
   FROM ord o LEFT JOIN person p ON o.customer_id = p.customer_id LEFT JOIN dc c ON p.uid = c.customer_unique_id
   LEFT JOIN review r ON o.order_id = r.order_id LEFT JOIN pay ON o.order_id = pay.order_id
+  LEFT JOIN dd d1 ON d1.full_date = CAST(purchase AS DATE) LEFT JOIN dd d2 ON d2.full_date = CAST(approved AS DATE)
+  LEFT JOIN dd d3 ON d3.full_date = CAST(carrier AS DATE) LEFT JOIN dd d4 ON d4.full_date = CAST(delivered AS DATE)
+  LEFT JOIN dd d5 ON d5.full_date = CAST(estimated AS DATE)
 ), fs AS (
   SELECT i.order_id, i.order_item_id, f.customer_key, dp.product_key, ds.seller_key, f.order_purchase_date_key AS date_key, i.price, i.freight_value,
          CAST(coalesce(i.price, 0) + coalesce(i.freight_value, 0) AS DECIMAL(18,2)) AS sales_amount
