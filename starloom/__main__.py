@@ -21,6 +21,7 @@ def summary(report: RunReport) -> str:
     for c in report.checks:
         lines.append(f"{c.check_no:>3} {c.category:<18} {c.name:<60} {c.total_evaluated:>12,} {c.failed_count:>10,} {c.error_pct:>7.2f}% {c.status}")
     if report.checks:
+        lines.append(f"order_status: {report.status_note}")
         lines.append(f"{len(report.checks)} checks, {report.passed} passed, {report.warnings} warnings, {report.critical_failures} critical failures")
     return "\n".join(lines)
 

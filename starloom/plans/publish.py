@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions import month_of_key
+from starloom.jobs import together
 from starloom.operators.keys import row_keys
 from starloom.plans import star as builders
 from starloom.plans.star import Calendar
@@ -55,27 +56,26 @@ def read_version(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 def write_star(spark: SparkSession, views: Mapping[str, DataFrame], path: str, calendar: Calendar = Calendar()) -> dict[str, DataFrame]:
     """Build all six tables into a version folder.
 
-    Facts join the written dimensions, so the planner sees their true sizes; the order fact is
-    written first because the item fact takes its customer and date from it.
+    Facts join the written dimensions, so the planner sees their true sizes. The item fact takes its
+    customer and date from the order fact; the other dimensions are built beside the order fact.
     """
-    dims = {
-        "dim_date": builders.dim_date(spark, calendar),
-        "dim_customer": builders.dim_customer(views["vw_customers"]),
-        "dim_product": builders.dim_product(views["vw_products"]),
-        "dim_seller": builders.dim_seller(views["vw_sellers"]),
-    }
-    for table, df in dims.items():
-        write_dimension(df, f"{path}/{table}")
-    stored = {table: read_table(spark, path, table) for table in dims}
-
-    orders = builders.fact_order_fulfillment(
-        views["vw_orders"], views["vw_customers"], views["vw_order_payments_agg"], views["vw_order_reviews_latest"],
-        stored["dim_customer"], calendar,
+    def customers_and_orders() -> None:
+        write_dimension(builders.dim_customer(views["vw_customers"]), f"{path}/dim_customer")
+        orders = builders.fact_order_fulfillment(
+            views["vw_orders"], views["vw_customers"], views["vw_order_payments_agg"], views["vw_order_reviews_latest"],
+            read_table(spark, path, "dim_customer"), calendar,
+        )
+        keyed = row_keys(orders, "fulfillment_key", "fulfillment")
+        write_fact(keyed, "order_purchase_date_key", f"{path}/fact_order_fulfillment")
+
+    together(
+        customers_and_orders,
+        lambda: write_dimension(builders.dim_product(views["vw_products"]), f"{path}/dim_product"),
+        lambda: write_dimension(builders.dim_seller(views["vw_sellers"]), f"{path}/dim_seller"),
+        lambda: write_dimension(builders.dim_date(spark, calendar), f"{path}/dim_date"),
     )
-    keyed = row_keys(orders, "fulfillment_key", "fulfillment")
-    write_fact(keyed, "order_purchase_date_key", f"{path}/fact_order_fulfillment")
-    order_facts = read_table(spark, path, "fact_order_fulfillment").select(*star_columns("fact_order_fulfillment"))
-
+    stored = {table: read_table(spark, path, table) for table in ["fact_order_fulfillment", "dim_product", "dim_seller"]}
+    order_facts = stored["fact_order_fulfillment"].select(*star_columns("fact_order_fulfillment"))
     items = builders.fact_sales(views["vw_order_items"], order_facts, stored["dim_product"], stored["dim_seller"])
     write_fact(row_keys(items, "sales_key", "sales"), "date_key", f"{path}/fact_sales")
     return read_version(spark, path)

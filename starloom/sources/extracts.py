@@ -9,6 +9,7 @@ from functools import partial
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.jobs import together
 from starloom.schemas import RAW_COLUMNS, raw_schema
 from starloom.sources import files
 from starloom.sources.versions import current_version, mark_live, new_version
@@ -63,13 +64,16 @@ def write_staging(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str
 
     Row counts are observed while writing, so nothing is scanned twice.
     """
-    version, counts = new_version(folder), {}
-    for table, df in raw.items():
+    version = new_version(folder)
+
+    def write(table: str, df: DataFrame) -> int:
         seen = Observation(table)
         df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{version}/{table}")
-        counts[table] = seen.get["rows"]
+        return seen.get["rows"]
+
+    counts = together(*[partial(write, table, df) for table, df in raw.items()])
     mark_live(spark, version)
-    return counts
+    return dict(zip(raw, counts))
 
 
 def read_staging(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:

@@ -28,7 +28,7 @@ from starloom.schemas import star_columns
 from starloom.sources.extracts import read_extracts
 from starloom.sources.sql import run_query
 from starloom.workload.feed import FEED_CALENDAR, feed_views, line_amounts, raw_feed
-from starloom.workload.live import live_star
+from starloom.workload.live import live_raw, live_star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -414,12 +414,12 @@ def _(spark, sf_dir):
 
 @register("k22_k24_prepublish")
 def _(spark, sf_dir):
-    return audit.prepublish(raw_feed(spark, sf_dir), live_star(spark, sf_dir))
+    return audit.prepublish(live_raw(spark, sf_dir), live_star(spark, sf_dir))
 
 
 @register("k25_source_reconciliation")
 def _(spark, sf_dir):
-    return audit.source_reconciliation(raw_feed(spark, sf_dir), live_star(spark, sf_dir))
+    return audit.source_reconciliation(live_raw(spark, sf_dir), live_star(spark, sf_dir))
 
 
 on_star("k26_warehouse_tests", audit.warehouse_tests)
