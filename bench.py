@@ -23,6 +23,14 @@ HEADLINE = [
 ]
 
 
+def scale_of(sf_dir: str) -> float | str:
+    label = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    try:
+        return float(label)
+    except ValueError:
+        return label
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -41,7 +49,7 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         timings[name] = round(time.time() - start, 3)
     result = {"metric": "total_seconds", "value": round(sum(timings.values()), 3), "unit": "sec", "queries": timings,
-              "sf": float(os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"))}
+              "sf": scale_of(sf_dir)}
     print(json.dumps(result))
     sys.stdout.flush()
     spark.stop()

@@ -104,6 +104,20 @@ def read_star(spark: SparkSession, warehouse: str, register: bool = False) -> di
     return star
 
 
+def register_database(spark: SparkSession, warehouse: str, database: str = "warehouse") -> None:
+    """Make the live star visible as <database>.<table>, so SQL with qualified names runs as it is.
+
+    The views name one version; call again after publishing to move them.
+    """
+    path = current_version(spark, warehouse)
+    if path is None:
+        raise FileNotFoundError(f"no published version under {warehouse}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{warehouse.rstrip('/')}/catalog'")
+    for table in STAR_TABLES:
+        columns = ", ".join(star_columns(table))
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{table} AS SELECT {columns} FROM parquet.`{path}/{table}`")
+
+
 def version_rows(star: Mapping[str, DataFrame]) -> DataFrame:
     """Row count of each table."""
     counts = [df.agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("total_rows")) for t, df in star.items()]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 
 
@@ -16,6 +18,13 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in (fs.globStatus(target) or []))
 
 
+def fingerprint(spark: SparkSession, pattern: str) -> str:
+    """Short digest of names, sizes and times of the matching files; changes when one is rewritten."""
+    fs, target = _fs(spark, pattern)
+    seen = sorted(f"{s.getPath()} {s.getLen()} {s.getModificationTime()}" for s in (fs.globStatus(target) or []))
+    return hashlib.md5("\n".join(seen).encode()).hexdigest()[:12]
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, target = _fs(spark, path)
     return fs.exists(target)

@@ -1,4 +1,4 @@
-"""The published star of a test data folder, built once per application."""
+"""The published star of a test data folder, built once per application and state of the folder."""
 
 from __future__ import annotations
 
@@ -10,16 +10,17 @@ from starloom.operators.durable import shared_folder
 from starloom.plans.audit import prepublish_gate
 from starloom.plans.clean import clean_views
 from starloom.plans.publish import publish, read_star
+from starloom.sources import files
 from starloom.sources.extracts import read_staging, write_staging
 from starloom.sources.versions import current_version
 from starloom.workload.feed import FEED_CALENDAR, raw_feed
 
-_open: dict[str, dict[str, DataFrame]] = {}  # the folder name holds the application id
+_open: dict[str, dict[str, DataFrame]] = {}  # the folder name holds the application id and the state of the data
 
 
 def home_folder(spark: SparkSession, sf_dir: str) -> str:
-    label = sf_dir.strip("/").replace("/", "_")
-    return f"{shared_folder(spark)}/starloom/{spark.sparkContext.applicationId}/home-{label}"
+    state = files.fingerprint(spark, f"{sf_dir.rstrip('/')}/*.parquet")
+    return f"{shared_folder(spark)}/starloom/{spark.sparkContext.applicationId}/home-{state}"
 
 
 def live_raw(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:

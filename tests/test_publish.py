@@ -71,6 +71,15 @@ def test_publish_and_read(spark, tmp_path):
     assert lazily["fact_sales"].columns == star_columns("fact_sales") + ["purchase_month"]
 
 
+def test_qualified_table_names(spark, tmp_path):
+    publish.publish(spark, clean_views(raw_shop(spark)), str(tmp_path), audit=lambda star: [])
+    publish.register_database(spark, str(tmp_path), "shop_dwh")
+    sql = "SELECT count(*) AS n, sum(s.sales_amount) AS v FROM shop_dwh.fact_sales s LEFT JOIN shop_dwh.dim_date d ON s.date_key = d.date_key"
+    row = spark.sql(sql).first()
+    assert row.n == 6 and str(row.v) == "38.85"
+    assert spark.table("shop_dwh.fact_sales").columns == star_columns("fact_sales")
+
+
 def test_failed_audit_keeps_the_old_version(spark, tmp_path):
     views = clean_views(raw_shop(spark))
     publish.publish(spark, views, str(tmp_path), audit=lambda star: [])
