@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,14 @@ def day_spine(spark: SparkSession, first: dt.date, last: dt.date, name: str = "f
     return spark.range(1).select(F.explode(days).alias(name))
 
 
+def calendar_columns(star: Mapping[str, DataFrame], *columns: str, key: str = "date_key") -> DataFrame:
+    """Calendar key and attributes for a map-side join: the calendar's length was checked when it was built.
+
+    A shuffle join on the key would send all facts of a busy day to one task.
+    """
+    return F.broadcast(star["dim_date"].select(F.col("date_key").alias(key), *columns))
+
+
 def month_spine(spark: SparkSession, first: dt.date, last: dt.date, name: str = "month_start") -> DataFrame:
     """One row per month start."""
     if (last - first).days > MAX_SPINE_DAYS:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions import exact_avg, pct, safe_div
+from starloom.operators.calendar import calendar_columns
 from starloom.operators.joins import rollup_via, share_of_total
 from starloom.operators.ordering import ntile, ordered, top_k
 
@@ -55,13 +56,13 @@ def sales_by(star: Star, grain: str = "month") -> DataFrame:
     distinct count's, on (period, order).
     """
     columns = GRAINS[grain]
-    days = star["dim_date"].select("date_key", *columns)
+    days = calendar_columns(star, *columns)
     return star["fact_sales"].join(days, "date_key").groupBy(*columns).agg(*_sales_measures())
 
 
 def monthly_trend(star: Star) -> DataFrame:
     """Orders, items and revenue parts per calendar month."""
-    days = star["dim_date"].select("date_key", "year", "month", "month_name")
+    days = calendar_columns(star, "year", "month", "month_name")
     return star["fact_sales"].join(days, "date_key").groupBy("year", "month", "month_name").agg(
         F.count_distinct("order_id").alias("total_orders"),
         F.count(F.lit(1)).alias("total_items_sold"),
@@ -165,7 +166,7 @@ def score_distribution(star: Star) -> DataFrame:
 def on_time_trend(star: Star, role: str = "order_purchase_date_key") -> DataFrame:
     """On-time rate per month of purchase or of delivery (role names the date key)."""
     grouped = _delivered(star).groupBy(role).agg(F.count(F.lit(1)).alias("n"), F.count_if("is_on_time").alias("hit"))
-    days = star["dim_date"].select(F.col("date_key").alias(role), "year", "month")
+    days = calendar_columns(star, "year", "month", key=role)
     return grouped.join(days, role).groupBy("year", "month").agg(
         F.sum("n").alias("delivered_orders"), F.sum("hit").alias("on_time_orders"),
         pct(F.sum("hit"), F.sum("n")).alias("on_time_rate_pct")).orderBy("year", "month")
@@ -194,7 +195,7 @@ def delay_score_correlation(star: Star) -> DataFrame:
 
 def _dated_orders(star: Star, excluded: list[str]) -> DataFrame:
     """Orders outside the given statuses, with a known customer key and calendar day."""
-    days = star["dim_date"].select(F.col("date_key").alias("order_purchase_date_key"), "full_date")
+    days = calendar_columns(star, "full_date", key="order_purchase_date_key")
     return star["fact_order_fulfillment"].filter(~F.col("order_status").isin(excluded)).join(days, "order_purchase_date_key")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions import exact_avg, pct, place_label, title_case, weighted_mean
-from starloom.operators.calendar import gap_fill, month_spine
+from starloom.operators.calendar import calendar_columns, gap_fill, month_spine
 from starloom.operators.joins import rollup_via, share_of_total
 from starloom.operators.ordering import ordered, top_k
 from starloom.schemas import MONEY, MONTH_PARTITION
@@ -67,7 +67,7 @@ def delivery_success(star: Star) -> DataFrame:
 
 def orders_by_weekday(star: Star) -> DataFrame:
     """Orders with items per weekday, Monday first; weekdays without sales stay, with 0."""
-    days = star["dim_date"].select("date_key", "day_of_week", "day_name")
+    days = calendar_columns(star, "day_of_week", "day_name")
     counted = star["fact_sales"].select("date_key", "order_id").join(days, "date_key").groupBy("day_of_week", "day_name").agg(F.count_distinct("order_id").alias("total_orders"))
     weekdays = star["dim_date"].select("day_of_week", "day_name").distinct()
     filled = weekdays.join(counted, ["day_of_week", "day_name"], "left").select(

@@ -65,6 +65,20 @@ def test_key_of_a_hot_product_is_combined_before_the_join(spark):
     assert plan.count("partial_sum") >= 2 and join < plan.rindex("partial_sum") < scan
 
 
+def test_facts_never_shuffle_on_a_date(spark):
+    """Even with automatic broadcasts off, a busy day must not become one task."""
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "-1")
+        for name in ["n1_monthly_trend", "n8_sales_growth", "l5_orders_by_weekday", "n14_cohorts", "n9_customer_value", "n7_on_time_by_delivery_month", "d3_role_playing_join"]:
+            plan = plan_of(entry.queries()[name](spark, SMALL))
+            assert "BroadcastHashJoin" in plan
+            assert "hashpartitioning(date_key" not in plan and "hashpartitioning(order_purchase_date_key" not in plan
+    finally:
+        spark.conf.set(setting, before)
+
+
 @pytest.fixture(scope="module")
 def hot_rows():
     rnd = random.Random(7)
