@@ -208,3 +208,4 @@ def test_source_reconciliation(spark):
 def test_status_note(good):
     star = change(good, FOF, "fulfillment_key <= 3", order_status="shipped")
     assert audit.status_note(star) == "Distinct values: 'delivered': 7, 'shipped': 3"
+    assert audit.status_note(star, k=1) == "Distinct values: 'delivered': 7, ..."
