@@ -2,25 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_scratch: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a temporary folder only for an unset value in local mode."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The cluster's spark.checkpoint.dir; where that is unset, a folder inside the session's warehouse.
+
+    Both are places that the driver and all executors reach. There is no machine-local fallback.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _local_scratch:
-        _local_scratch[app] = tempfile.mkdtemp(prefix="starloom-")
-    return _local_scratch[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A path nobody else uses, under this application's part of the shared folder."""
+    return f"{shared_folder(spark)}/starloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def durable(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -30,7 +30,7 @@ def durable(df: DataFrame, label: str, partition_by: list[str] | None = None) ->
     statistics for the join planner.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/starloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     writer = df.write.mode("error")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
