@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import exact, mixing, shards
+from starloom.llm import exact, mixing, packing, shards
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +41,14 @@ SELECT doc_id, size, source_size, target,
 FROM rated"""
 
 
+def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    cut = packing.pieces(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    slim = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "part", "nth")
+    return packing.place(slim)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact.resolve(documents(spark, sf_dir))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -58,5 +66,5 @@ def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {"op1_mix": op1_mix, "op5_exact_dedup": op5_exact_dedup, "op6_shard": op6_shard}
+QUERIES = {"op1_mix": op1_mix, "op2_pack": op2_pack, "op5_exact_dedup": op5_exact_dedup, "op6_shard": op6_shard}
 SQL = {"op1_mix": OP1_SQL, "op5_exact_dedup": OP5_SQL}
