@@ -23,7 +23,8 @@ def frequent_digests(slim: DataFrame, tracked: int = TRACKED, most: int = WINNER
     task = F.shiftright("tag", 33)
     summaries = slim.select(item, F.pmod(task, F.lit(SUMMARIES)).alias("part")).groupBy("part").agg(
         F.expr(f"approx_top_k_accumulate(item, {tracked})").alias("summary"))
-    top = summaries.select(F.expr(f"approx_top_k_estimate(approx_top_k_combine(summary, {tracked}), {most})").alias("top"))
+    # grouped by a constant: merging without a key fails on empty partitions, whose summaries know no item type
+    top = summaries.groupBy((F.col("part") * 0).alias("all")).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(summary, {tracked}), {most})").alias("top"))
     return top.select(F.inline("top")).where("count > 1").select(F.unhex("item").alias("digest"))
 
 
