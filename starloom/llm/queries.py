@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import exact, mixing, packing, shards
+from starloom.llm import exact, language, licenses, mixing, packing, shards
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +49,22 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.place(slim)
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = documents(spark, sf_dir), language.fold() == 1
+    found = language.identify(docs, language.fit(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(documents(spark, sf_dir))
+    base = F.filter("matches", lambda m: m["base"])
+    joined = [F.array_join(F.array_sort(F.array_distinct(F.transform(m, lambda x: x["label"]))), ",") for m in (base, F.col("matches"))]
+    starts = F.transform(base, lambda m: m["start"])
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("bigint").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        joined[0].alias("base_labels"), joined[1].alias("labels"), (F.col("covered") / F.greatest("n_words", F.lit(1))).alias("score"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact.resolve(documents(spark, sf_dir))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -66,5 +82,5 @@ def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {"op1_mix": op1_mix, "op2_pack": op2_pack, "op5_exact_dedup": op5_exact_dedup, "op6_shard": op6_shard}
+QUERIES = {"op1_mix": op1_mix, "op2_pack": op2_pack, "op3_language": op3_language, "op4_licenses": op4_licenses, "op5_exact_dedup": op5_exact_dedup, "op6_shard": op6_shard}
 SQL = {"op1_mix": OP1_SQL, "op5_exact_dedup": OP5_SQL}
