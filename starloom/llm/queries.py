@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import exact, language, licenses, mixing, packing, shards
+from starloom.llm import exact, language, licenses, mixing, nearcopies, packing, shards
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,5 +82,9 @@ def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {"op1_mix": op1_mix, "op2_pack": op2_pack, "op3_language": op3_language, "op4_licenses": op4_licenses, "op5_exact_dedup": op5_exact_dedup, "op6_shard": op6_shard}
+def op8_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearcopies.near_copies(documents(spark, sf_dir))
+
+
+QUERIES = {"op1_mix": op1_mix, "op2_pack": op2_pack, "op3_language": op3_language, "op4_licenses": op4_licenses, "op5_exact_dedup": op5_exact_dedup, "op6_shard": op6_shard, "op8_near_copies": op8_near_copies}
 SQL = {"op1_mix": OP1_SQL, "op5_exact_dedup": OP5_SQL}
