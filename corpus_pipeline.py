@@ -1,32 +1,54 @@
-"""From documents to packed sequences: language, exact copies, near copies, mixture, packing."""
+"""From documents to packed sequences: language, exact copies, near copies, mixture, packing.
+
+Every stage works on all rows that the one before it kept, and its decisions take effect. All but the last return the
+columns of documents.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import exact, mixing
+from starloom.llm import exact, language, mixing, nearcopies, packing
 from starloom.operators.durable import durable
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text has a letter and is near a centroid of some language; the model learns from rows with a language."""
+    return language.accepted(docs, language.fit(docs, language.fold() != 1))
+
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id stays."""
     return exact.distinct_documents(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays."""
+    return nearcopies.without_near_copies(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target asks for."""
     return mixing.mix(docs)
 
 
-STAGES = [("exact dedup", exact_dedup), ("mix", mix)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token pieces of all documents with their places in sequences."""
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
+
+
+STAGES = [("language id", language_id), ("exact dedup", exact_dedup), ("near dedup", near_dedup), ("mix", mix), ("pack", pack)]
 
-#: SQL cannot express the language model, the sketches or the packing.
+#: SQL cannot express the language model, the sketches or the packing; tests/llm compares with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to documents; each stage's result is written and read again."""
+    """Apply the stages to documents; each stage's result but the last is written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = durable(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

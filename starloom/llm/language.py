@@ -141,7 +141,7 @@ def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str =
         idf[r["place"]] = np.log((1 + texts) / (1 + r["n"])) + 0.1
     sent = spark.sparkContext.broadcast(idf)
 
-    def centroids(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def centroids(key, frame):
         parts = [weighted(counts_of(frame["text"].iloc[low:high].tolist(), dims), sent.value) for low, high in slices(frame["text"].tolist())]
         v = np.concatenate(parts)
         v = v[v.any(axis=1)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import exact, language, licenses, mixing, nearcopies, packing, shards
+from starloom.llm import exact, language, licenses, mixing, nearcopies, packing, quality, search, shards
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,9 +82,32 @@ def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document's host is its source, its path the language section of the source. Labels of a fifth of all ids are never used."""
+    docs, held_out = documents(spark, sf_dir), language.fold(folds=5) == 0
+    found = quality.classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), F.col("source"), F.col("lang"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "host_rate", "path_rate", "score", "kept")
+
+
 def op8_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearcopies.near_copies(documents(spark, sf_dir))
 
 
-QUERIES = {"op1_mix": op1_mix, "op2_pack": op2_pack, "op3_language": op3_language, "op4_licenses": op4_licenses, "op5_exact_dedup": op5_exact_dedup, "op6_shard": op6_shard, "op8_near_copies": op8_near_copies}
-SQL = {"op1_mix": OP1_SQL, "op5_exact_dedup": OP5_SQL}
+def op9_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
+
+
+OP9_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS tag, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score,
+         row_number() OVER (PARTITION BY q.tag ORDER BY list_inner_product(q.e, c.e) DESC, c.vec_id) AS rank
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.tag <> c.tag)
+WHERE rank <= 5"""
+
+
+QUERIES = {"op1_mix": op1_mix, "op2_pack": op2_pack, "op3_language": op3_language, "op4_licenses": op4_licenses, "op5_exact_dedup": op5_exact_dedup, "op6_shard": op6_shard, "op7_quality": op7_quality, "op8_near_copies": op8_near_copies, "op9_search": op9_search}
+SQL = {"op1_mix": OP1_SQL, "op5_exact_dedup": OP5_SQL, "op9_search": OP9_SQL}
