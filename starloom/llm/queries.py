@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import exact, language, licenses, mixing, nearcopies, packing, quality, search, shards
+from starloom.llm import exact, language, licenses, lm, mixing, nearcopies, packing, quality, search, shards
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,5 +109,10 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 WHERE rank <= 5"""
 
 
-QUERIES = {"op1_mix": op1_mix, "op2_pack": op2_pack, "op3_language": op3_language, "op4_licenses": op4_licenses, "op5_exact_dedup": op5_exact_dedup, "op6_shard": op6_shard, "op7_quality": op7_quality, "op8_near_copies": op8_near_copies, "op9_search": op9_search}
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = documents(spark, sf_dir), language.fold(folds=10) == 0
+    return lm.score(docs, ~held_out).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+QUERIES = {"op1_mix": op1_mix, "op2_pack": op2_pack, "op3_language": op3_language, "op4_licenses": op4_licenses, "op5_exact_dedup": op5_exact_dedup, "op6_shard": op6_shard, "op7_quality": op7_quality, "op8_near_copies": op8_near_copies, "op9_search": op9_search, "op10_lm_score": op10_lm_score}
 SQL = {"op1_mix": OP1_SQL, "op5_exact_dedup": OP5_SQL, "op9_search": OP9_SQL}
