@@ -19,6 +19,7 @@ def digest_of(text: Column) -> Column:
 
 def frequent_digests(slim: DataFrame, tracked: int = TRACKED, most: int = WINNERS) -> DataFrame:
     """Candidates for frequent digests, at most `most` rows, from merged Misra-Gries summaries."""
+    most = min(most, tracked)
     item = F.hex("digest").alias("item")
     task = F.shiftright("tag", 33)
     summaries = slim.select(item, F.pmod(task, F.lit(SUMMARIES)).alias("part")).groupBy("part").agg(
