@@ -126,10 +126,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     def check(left, right):
         if not len(left) or not len(right):
             return pd.DataFrame({"u": pd.Series(dtype="int64"), "v": pd.Series(dtype="int64")})
-        own = np.frombuffer(right["h_hashes"].iloc[0], np.uint64)
+        own = right["h_hashes"].iloc[0]
         linked = []
-        for hashes in left["hashes"]:
-            other = np.frombuffer(hashes, np.uint64)
+        for other in left["hashes"]:
             at = np.searchsorted(own, other)
             both = int((own[np.minimum(at, len(own) - 1)] == other).sum())
             linked.append(100 * both >= PERCENT * (len(own) + len(other) - both))
@@ -150,9 +149,11 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     1. Each node's A keys are grouped. Where several nodes share a key, the one with the most such meetings is the hub;
        pairs of hub and other nodes are confirmed, and linked nodes form preliminary components.
-    2. Only nodes in A buckets that still hold several components get table keys (A_i, B_j); within a table, pairs of
-       different components that no earlier step compared are confirmed. Both filters before a confirmation, set size and
-       bits, leave linked pairs in. Nothing caps buckets or partners.
+    2. Only nodes in A buckets that still hold several components go on. Shingles that no other of them holds are counted:
+       they are in no intersection, which bounds a node's similarity to any other, and rules out most pairs of copies with
+       edits of their own, however large their group. What is left gets table keys (A_i, B_j); within a table, pairs of
+       different components that no earlier step compared are confirmed. The filters before a confirmation, set sizes,
+       own shingles and bits, leave linked pairs in. Nothing caps buckets or partners.
     """
     kind = docs.schema[id_col].dataType
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -171,7 +172,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     meetings = hits.groupBy("node").agg(F.sum("met").alias("meetings"))
     texts = meetings.select("node").hint("shuffle_hash")
     sets = durable(slim.join(texts, F.col("doc_id") == F.col("node")).select("node", "text").mapInArrow(_hashes, T.StructType(
-        [T.StructField("node", kind), T.StructField("hashes", T.BinaryType())])), "near-sets")
+        [T.StructField("node", kind), T.StructField("hashes", T.ArrayType(T.LongType()))])), "near-sets")
 
     weighed = hits.join(meetings, "node")
     hub = weighed.groupBy("a_key").agg(F.max(F.struct("meetings", "node", "n", *BITS)).alias("h")).select(
@@ -181,14 +182,17 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     links = durable(_confirmed(first, sets), "near-links")
     joined = components(links)
 
-    marked = durable(hits.join(joined, "node", "left").select("node", "n", *BITS, "a_key", F.coalesce("component", "node").alias("component")), "near-marked")
-    mixed = _several(marked, "a_key")
+    marked = hits.join(joined, "node", "left").select("node", "n", *BITS, "a_key", F.coalesce("component", "node").alias("component"))
+    mixed = durable(_several(marked, "a_key"), "near-mixed")
+    able = durable(_held_by_others(mixed.select("node", "n").distinct(), sets).where(F.col("common") * 100 >= F.col("n") * PERCENT).select("node", "common"), "near-able")
+    mixed = _several(mixed.join(able, "node"), "a_key")
     tables = mixed.join(nodes.select("node", "b"), "node").select(
-        "node", "n", *BITS, "component", F.explode("b").alias("b_key"), "a_key").select(
-        "node", "n", *BITS, "component", F.xxhash64("a_key", "b_key").alias("key"))
+        "node", "n", "common", *BITS, "component", F.explode("b").alias("b_key"), "a_key").select(
+        "node", "n", "common", *BITS, "component", F.xxhash64("a_key", "b_key").alias("key"))
     tables = durable(_several(tables, "key"), "near-tables")
+    most = F.least("x.common", "y.common")  # of shingles that both can have
     second = tables.alias("x").join(tables.alias("y"), F.col("x.key") == F.col("y.key")).where(
-        (F.col("x.component") < F.col("y.component")) & _alike("x", "y")).select(
+        (F.col("x.component") < F.col("y.component")) & (most * 100 >= (F.col("x.n") + F.col("y.n") - most) * PERCENT) & _alike("x", "y")).select(
         F.col("x.node").alias("hub"), F.col("y.node").alias("node")).distinct()
     known = first.unionByName(first.select(F.col("node").alias("hub"), F.col("hub").alias("node")))
     more = durable(_confirmed(durable(second.join(known, ["hub", "node"], "left_anti"), "near-pairs-2"), sets), "near-links-2")
@@ -204,9 +208,22 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def _hashes(batches):
+    """Sorted hashes of each text's shingles, as signed numbers."""
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary())],
-                                         names=["node", "hashes"])
+        texts = [t or "" for t in batch.column(1).to_pylist()]
+        for low, high in slices(texts):
+            found = [np.sort(shingles(t).view(np.int64)) for t in texts[low:high]]
+            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))],
+                                             names=["node", "hashes"])
+
+
+def _held_by_others(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Add `common`, the number of a node's shingles that another of the nodes holds too."""
+    held = nodes.select("node").join(sets, "node").select("node", F.explode("hashes").alias("hash")).groupBy("hash").agg(
+        F.count(F.lit(1)).alias("holders"), F.min("node").alias("node"))
+    own = held.where("holders = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    return nodes.join(own, "node", "left").withColumn("common", F.col("n") - F.coalesce("own", F.lit(0)))
 
 
 def _several(rows: DataFrame, key: str) -> DataFrame:
