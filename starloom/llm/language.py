@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.batches import slices
+from starloom.llm.batches import slices, text_slices
 from starloom.operators.durable import durable
 
 DIMS = 8192  # n-grams are hashed to so many places
@@ -171,8 +171,10 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     def run(batches):
         for batch in batches:
-            names, scores, rejected = sent.value.predict(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores), pa.array(rejected)], names=schema.names)
+            for low, texts in text_slices(batch.column(1)):
+                names, scores, rejected = sent.value.predict(texts)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, len(texts)), pa.array(names, pa.string()), pa.array(scores), pa.array(rejected)],
+                                                 names=schema.names)
 
     return slim.mapInArrow(run, schema)
 
@@ -183,6 +185,7 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
     def run(batches):
         for batch in batches:
-            yield batch.filter(pa.array(~sent.value.predict(batch.column(at).to_pylist())[2]))
+            for low, texts in text_slices(batch.column(at)):
+                yield batch.slice(low, len(texts)).filter(pa.array(~sent.value.predict(texts)[2]))
 
     return docs.mapInArrow(run, docs.schema)

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.llm.batches import text_slices
+
 #: The phrases every scan counts, with their labels.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
@@ -140,8 +142,8 @@ def scan(docs: DataFrame, automata: list[Automaton] | None = None, id_col: str =
     def run(batches):
         for batch in batches:
             counts, matches, covered = [], [], []
-            for text in batch.column(1).to_pylist():
-                n, found = scan_text(text or "", automata)
+            for text in (t for _, texts in text_slices(batch.column(1)) for t in texts):
+                n, found = scan_text(text, automata)
                 upto = inside = 0
                 for _, _, start, end in found:
                     inside += max(0, end - max(start, upto))

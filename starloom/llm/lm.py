@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.batches import slices
+from starloom.llm.batches import text_slices
 from starloom.llm.trie import BigramTrie, restored
 from starloom.operators.durable import durable
 
@@ -29,22 +29,10 @@ MU = 16.0
 CHARS = 8_000_000  # of a chunk, about
 SHARD_TOKENS = 500_000  # tokens per shard, about
 LEAST_SHARDS, MOST_SHARDS = 32, 4096
-MOST_WORDS = 500_000  # word hashes kept by a task
 #: Numbers that stand for the end of a text and for what precedes its first word.
 END, BEGIN = 0x2545F4914F6CDD1D, 0x9E6C63D0876A9A47
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > MOST_WORDS:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_words = _WordHashes()
-
-
 def _squeezed(x: np.ndarray) -> bytes:
     """Compressed bytes of small numbers, low and high halves apart."""
     halves = x.astype("<u4").view("<u2").reshape(-1, 2)
@@ -66,12 +54,12 @@ def _chunks(batches):
     """Chunks of (doc_id, text, trains) rows. Token number 0 is the end, number 1 what precedes a text."""
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
-        texts = [t or "" for t in batch.column(1).to_pylist()]
-        for low, high in slices(texts, CHARS, len(texts)):
+        for low, texts in text_slices(batch.column(1), CHARS, batch.num_rows):
+            high = low + len(texts)
             hashes, ends = [], []
-            for text in texts[low:high]:
+            for text in texts:
                 words = text.encode("utf-8", "surrogatepass").lower().split()  # both only for ASCII
-                hashes.append(np.fromiter(map(_words.__getitem__, words), np.uint64, len(words)))
+                hashes.append(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)))
                 hashes.append(np.array([END], np.uint64))
                 ends.append(len(words) + 1)
             flat, ends = np.concatenate(hashes), np.cumsum(ends)

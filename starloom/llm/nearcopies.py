@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.batches import slices
+from starloom.llm.batches import text_slices
 from starloom.llm.components import components
 from starloom.operators.durable import durable
 
@@ -28,7 +28,6 @@ BIT_WORDS = 3  # 64 single bits each, for a first comparison
 #: 192 about 14 differ at 0.85, with standard deviation 3.7: a linked pair exceeds 36 in fewer than 1 of 10^7 cases.
 MOST_BITS = 36
 MEMBERS = 128  # documents compared with one hub in one group
-MOST_WORDS = 500_000  # word hashes kept by a task
 
 _rng = np.random.default_rng(20240501)
 _MULT = _rng.integers(1, 1 << 32, 2 * KEYS * ROWS, dtype=np.uint32) | np.uint32(1)
@@ -38,17 +37,6 @@ _PLACE = _rng.integers(1, 1 << 63, WIDTH, dtype=np.uint64) | np.uint64(1)
 _SHORT = _rng.integers(1, 1 << 63, WIDTH + 1, dtype=np.uint64)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > MOST_WORDS:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_words = _WordHashes()
-
-
 def _mixed(x: np.ndarray, by: int = 0xBF58476D1CE4E5B9) -> np.ndarray:
     x = (x ^ x >> np.uint64(30)) * np.uint64(by)
     x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
@@ -58,7 +46,7 @@ def _mixed(x: np.ndarray, by: int = 0xBF58476D1CE4E5B9) -> np.ndarray:
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles; of its whole word sequence if that is shorter than one."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # both only for ASCII
-    w = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    w = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     if len(w) == 0:
         return w
     width = min(WIDTH, len(w))
@@ -85,9 +73,9 @@ def minima(sets: list[np.ndarray]) -> np.ndarray:
 
 def _sketch(batches):
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1).to_pylist()
-        for low, high in slices([t or "" for t in texts]):
-            sets = [shingles(t) for t in texts[low:high]]
+        ids = batch.column(0)
+        for low, texts in text_slices(batch.column(1)):
+            sets = [shingles(t) for t in texts]
             size = np.array([len(s) for s in sets], np.int64)
             full = np.flatnonzero(size)
             keys, bits, names = np.zeros((len(sets), 2 * KEYS), np.int64), np.zeros((len(sets), BIT_WORDS), np.int64), [b""] * len(sets)
@@ -101,7 +89,7 @@ def _sketch(batches):
                 names[i] = np.array([_mixed(sets[i]).sum(), _mixed(sets[i], 0xD6E8FEB86659FD93).sum()], np.uint64).tobytes()
             a, b = (pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(k).ravel()), KEYS).cast(pa.list_(pa.int64())) for k in (keys[:, :KEYS], keys[:, KEYS:]))
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(low, high - low), pa.array(size), pa.array(names, pa.binary()), a, b, *[pa.array(bits[:, k].copy()) for k in range(BIT_WORDS)]],
+                [ids.slice(low, len(texts)), pa.array(size), pa.array(names, pa.binary()), a, b, *[pa.array(bits[:, k].copy()) for k in range(BIT_WORDS)]],
                 names=["doc_id", "n", "name", "a", "b", *BITS])
 
 
@@ -210,11 +198,10 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def _hashes(batches):
     """Sorted hashes of each text's shingles, as signed numbers."""
     for batch in batches:
-        texts = [t or "" for t in batch.column(1).to_pylist()]
-        for low, high in slices(texts):
-            found = [np.sort(shingles(t).view(np.int64)) for t in texts[low:high]]
+        for low, texts in text_slices(batch.column(1)):
+            found = [np.sort(shingles(t).view(np.int64)) for t in texts]
             ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))],
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, len(texts)), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))],
                                              names=["node", "hashes"])
 
 

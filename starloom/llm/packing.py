@@ -17,12 +17,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.llm.batches import text_slices
 from starloom.llm.tokens import encoder
 from starloom.operators.durable import durable
 
 CAPACITY = 2048
 END_ID = 0  # closes each document
-BATCH_CHARS = 4_000_000  # texts encoded at once, so that long texts do not pile up in a task
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -44,12 +44,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_co
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         encode = encoder(rules.value).encode
         for batch in batches:
-            names, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
-            chars = np.cumsum([len(t) for t in texts]) // BATCH_CHARS
-            cuts = [0, *(np.flatnonzero(np.diff(chars)) + 1), len(texts)]
-            for low, high in zip(cuts, cuts[1:]):
-                if low < high:
-                    yield _cut(names.slice(low, high - low), encode(texts[low:high]), capacity, part, seen)
+            for low, texts in text_slices(batch.column(1), rows=batch.num_rows):
+                yield _cut(batch.column(0).slice(low, len(texts)), encode(texts), capacity, part, seen)
 
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return durable(slim.mapInArrow(run, schema), "pack-pieces")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.llm.batches import text_slices
 from starloom.operators.durable import durable
 
 SAMPLE = 20_000  # labelled documents that the classifier is fitted on, about
@@ -44,7 +45,7 @@ def described(docs: DataFrame, host: Column, path: Column, id_col: str = "doc_id
 
     def run(batches):
         for batch in batches:
-            values = np.array([features_of(t) for t in batch.column(3).to_pylist()]).reshape(-1, len(FEATURES))
+            values = np.array([features_of(t) for _, texts in text_slices(batch.column(3)) for t in texts]).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *[pa.array(values[:, k].copy()) for k in range(len(FEATURES))]],
                                              names=schema.names)
 

@@ -11,7 +11,7 @@ import numpy as np
 SEPARATOR = "—"
 STOPS = ".,"
 #: Words seen before are kept with their ids; the store is emptied beyond so many (about 150 bytes each).
-MOST_WORDS = 1_200_000
+MOST_WORDS = 800_000
 #: Texts with these are encoded whole: white space on which libraries differ, letters outside Latin, special tokens.
 UNUSUAL = re.compile("[\x1c-\x1fİ]|[^\x00-ɏ]|<\\|")
 
