@@ -23,10 +23,10 @@ from starloom.operators.durable import durable
 KEYS, ROWS = 20, 5
 WIDTH = 3  # words of a shingle
 PERCENT = 85  # least similarity of a link
-BIT_WORDS = 3  # 64 single bits each, for a first comparison
-#: Most differing bits of a pair that is compared in full. At similarity s a bit differs with probability (1 - s) / 2, so of
-#: 192 about 14 differ at 0.85, with standard deviation 3.7: a linked pair exceeds 36 in fewer than 1 of 10^7 cases.
-MOST_BITS = 36
+BIT_WORDS, PLANES = 3, 3  # 3 bits of each of 64 * 3 MinHash values, plane by plane, for a first comparison
+#: Most values whose bits differ, of a pair that is compared in full. At similarity s they differ with probability (1 - s) * 7 / 8, so
+#: of 192 about 25 do at 0.85, with standard deviation 4.7: a linked pair exceeds 46 in about 1 of 10^5 cases at worst.
+MOST_DIFFERENT = 46
 MEMBERS = 128  # documents compared with one hub in one group
 
 _rng = np.random.default_rng(20240501)
@@ -78,29 +78,31 @@ def _sketch(batches):
             sets = [shingles(t) for t in texts]
             size = np.array([len(s) for s in sets], np.int64)
             full = np.flatnonzero(size)
-            keys, bits, names = np.zeros((len(sets), 2 * KEYS), np.int64), np.zeros((len(sets), BIT_WORDS), np.int64), [b""] * len(sets)
+            keys, bits, names = np.zeros((len(sets), 2 * KEYS), np.int64), np.zeros((len(sets), len(BITS)), np.int64), [b""] * len(sets)
             if len(full):
                 least = minima([sets[i] for i in full])
                 joined = (least.reshape(len(full), 2 * KEYS, ROWS).astype(np.uint64) * _JOIN).sum(axis=2) + np.arange(2 * KEYS, dtype=np.uint64)
                 keys[full] = _mixed(joined).view(np.int64)
-                single = (least[:, :64 * BIT_WORDS] * np.uint32(0x9E3779B1) >> np.uint32(31)).astype(np.uint8)
-                bits[full] = np.packbits(single, axis=1).view(np.int64)
+                mixed = least[:, :64 * BIT_WORDS] * np.uint32(0x9E3779B1)
+                planes = [np.packbits((mixed >> np.uint32(31 - p) & np.uint32(1)).astype(np.uint8), axis=1).view(np.int64) for p in range(PLANES)]
+                bits[full] = np.concatenate(planes, axis=1)
             for i in full:
                 names[i] = np.array([_mixed(sets[i]).sum(), _mixed(sets[i], 0xD6E8FEB86659FD93).sum()], np.uint64).tobytes()
             a, b = (pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(k).ravel()), KEYS).cast(pa.list_(pa.int64())) for k in (keys[:, :KEYS], keys[:, KEYS:]))
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(low, len(texts)), pa.array(size), pa.array(names, pa.binary()), a, b, *[pa.array(bits[:, k].copy()) for k in range(BIT_WORDS)]],
+                [ids.slice(low, len(texts)), pa.array(size), pa.array(names, pa.binary()), a, b, *[pa.array(bits[:, k].copy()) for k in range(len(BITS))]],
                 names=["doc_id", "n", "name", "a", "b", *BITS])
 
 
-BITS = [f"bits{k}" for k in range(BIT_WORDS)]
+BITS = [f"bits{k}" for k in range(PLANES * BIT_WORDS)]
 
 
 def _alike(x: str, y: str) -> Column:
     """Whether two rows' sizes allow a link and their single bits suggest one."""
-    differ = sum((F.bit_count(F.col(f"{x}.{b}").bitwiseXOR(F.col(f"{y}.{b}"))) for b in BITS), F.lit(0))
+    xor = [F.col(f"{x}.{b}").bitwiseXOR(F.col(f"{y}.{b}")) for b in BITS]
+    differ = sum((F.bit_count(xor[k].bitwiseOR(xor[k + BIT_WORDS]).bitwiseOR(xor[k + 2 * BIT_WORDS])) for k in range(BIT_WORDS)), F.lit(0))
     sizes = (F.least(f"{x}.n", f"{y}.n") * 100 >= F.greatest(f"{x}.n", f"{y}.n") * PERCENT)
-    return sizes & (differ <= MOST_BITS)
+    return sizes & (differ <= MOST_DIFFERENT)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -139,8 +141,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
        pairs of hub and other nodes are confirmed, and linked nodes form preliminary components.
     2. Only nodes in A buckets that still hold several components go on. Shingles that no other of them holds are counted:
        they are in no intersection, which bounds a node's similarity to any other, and rules out most pairs of copies with
-       edits of their own, however large their group. What is left gets table keys (A_i, B_j); within a table, pairs of
-       different components that no earlier step compared are confirmed. The filters before a confirmation, set sizes,
+       edits of their own, however large their group. What is left meets in the tables (A_i, B_j); pairs of different
+       components that no earlier step compared are confirmed. The filters before a confirmation, set sizes,
        own shingles and bits, leave linked pairs in. Nothing caps buckets or partners.
     """
     kind = docs.schema[id_col].dataType
@@ -154,9 +156,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     nodes = durable(usable.join(classes.select(F.col("name").alias("c_name"), "node"), (F.col("name") == F.col("c_name")) & (F.col("doc_id") == F.col("node")))
                     .select("node", "n", *BITS, "a", "b"), "near-nodes")
 
-    rows = nodes.select("node", "n", *BITS, F.explode("a").alias("a_key"))
+    rows = nodes.select("node", F.explode("a").alias("a_key"))
     shared = rows.groupBy("a_key").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
-    hits = durable(rows.join(shared, "a_key"), "near-hits")
+    hits = durable(rows.join(shared, "a_key").join(nodes.select("node", "n", *BITS), "node"), "near-hits")
     meetings = hits.groupBy("node").agg(F.sum("met").alias("meetings"))
     texts = meetings.select("node").hint("shuffle_hash")
     sets = durable(slim.join(texts, F.col("doc_id") == F.col("node")).select("node", "text").mapInArrow(_hashes, T.StructType(
@@ -174,14 +176,13 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     mixed = durable(_several(marked, "a_key"), "near-mixed")
     able = durable(_held_by_others(mixed.select("node", "n").distinct(), sets).where(F.col("common") * 100 >= F.col("n") * PERCENT).select("node", "common"), "near-able")
     mixed = _several(mixed.join(able, "node"), "a_key")
-    tables = mixed.join(nodes.select("node", "b"), "node").select(
-        "node", "n", "common", *BITS, "component", F.explode("b").alias("b_key"), "a_key").select(
-        "node", "n", "common", *BITS, "component", F.xxhash64("a_key", "b_key").alias("key"))
-    tables = durable(_several(tables, "key"), "near-tables")
+    tables = durable(mixed.join(nodes.select("node", "a", "b"), "node"), "near-tables")
     most = F.least("x.common", "y.common")  # of shingles that both can have
-    second = tables.alias("x").join(tables.alias("y"), F.col("x.key") == F.col("y.key")).where(
-        (F.col("x.component") < F.col("y.component")) & (most * 100 >= (F.col("x.n") + F.col("y.n") - most) * PERCENT) & _alike("x", "y")).select(
-        F.col("x.node").alias("hub"), F.col("y.node").alias("node")).distinct()
+    # two nodes share table (i, j) if A_i and B_j agree; a pair is taken up under the least A key that it shares, so once
+    first_shared = F.col("x.a_key") == F.array_min(F.array_intersect("x.a", "y.a"))
+    second = tables.alias("x").join(tables.alias("y"), F.col("x.a_key") == F.col("y.a_key")).where(
+        (F.col("x.component") < F.col("y.component")) & (most * 100 >= (F.col("x.n") + F.col("y.n") - most) * PERCENT) & _alike("x", "y")
+        & F.arrays_overlap("x.b", "y.b") & first_shared).select(F.col("x.node").alias("hub"), F.col("y.node").alias("node"))
     known = first.unionByName(first.select(F.col("node").alias("hub"), F.col("hub").alias("node")))
     more = durable(_confirmed(durable(second.join(known, ["hub", "node"], "left_anti"), "near-pairs-2"), sets), "near-links-2")
     if not more.isEmpty():
