@@ -8,6 +8,8 @@ Every link is confirmed on the full shingle sets.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -27,11 +29,16 @@ BIT_WORDS, PLANES = 3, 3  # 3 bits of each of 64 * 3 MinHash values, plane by pl
 #: Most values whose bits differ, of a pair that is compared in full. At similarity s they differ with probability (1 - s) * 7 / 8, so
 #: of 192 about 25 do at 0.85, with standard deviation 4.7: a linked pair exceeds 46 in about 1 of 10^5 cases at worst.
 MOST_DIFFERENT = 46
+#: The second comparison: 2 bits of each of 64 * 16 further values, for the few nodes that get so far. Of 1024 about 115 differ at
+#: 0.85, with standard deviation 10: a linked pair exceeds 160 in about 1 of 10^5 cases at worst.
+LONG_WORDS, LONG_PLANES, MOST_LONG = 16, 2, 160
 MEMBERS = 128  # documents compared with one hub in one group
 
 _rng = np.random.default_rng(20240501)
 _MULT = _rng.integers(1, 1 << 32, 2 * KEYS * ROWS, dtype=np.uint32) | np.uint32(1)
 _XOR = _rng.integers(0, 1 << 32, 2 * KEYS * ROWS, dtype=np.uint32)
+_LONG_MULT = _rng.integers(1, 1 << 32, 64 * LONG_WORDS, dtype=np.uint32) | np.uint32(1)
+_LONG_XOR = _rng.integers(0, 1 << 32, 64 * LONG_WORDS, dtype=np.uint32)
 _JOIN = _rng.integers(1, 1 << 63, (2 * KEYS, ROWS), dtype=np.uint64) | np.uint64(1)
 _PLACE = _rng.integers(1, 1 << 63, WIDTH, dtype=np.uint64) | np.uint64(1)
 _SHORT = _rng.integers(1, 1 << 63, WIDTH + 1, dtype=np.uint64)
@@ -56,14 +63,14 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(_mixed(total + _SHORT[width]))
 
 
-def minima(sets: list[np.ndarray]) -> np.ndarray:
+def minima(sets: list[np.ndarray], mult: np.ndarray = _MULT, xor: np.ndarray = _XOR) -> np.ndarray:
     """The MinHash values of each (non-empty) set, a row per set."""
-    out = np.empty((len(sets), len(_MULT)), np.uint32)
+    out = np.empty((len(sets), len(mult)), np.uint32)
     for i, s in enumerate(sets):
         x = (s >> np.uint64(32)).astype(np.uint32)
-        low = np.full(len(_MULT), 0xFFFFFFFF, np.uint32)
-        for at in range(0, len(x), 256):
-            h = (x[at:at + 256, None] ^ _XOR) * _MULT
+        low = np.full(len(mult), 0xFFFFFFFF, np.uint32)
+        for at in range(0, len(x), 128):
+            h = (x[at:at + 128, None] ^ xor) * mult
             h ^= h >> np.uint32(15)
             h *= np.uint32(0x2C1B3C6D)
             np.minimum(low, h.min(axis=0), out=low)
@@ -71,6 +78,22 @@ def minima(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def planes_of(values: np.ndarray, planes: int) -> np.ndarray:
+    """So many bits of each value of a row, all first bits in 64-bit numbers, then all second bits, and so on."""
+    mixed = values * np.uint32(0x9E3779B1)
+    return np.concatenate([np.packbits((mixed >> np.uint32(31 - p) & np.uint32(1)).astype(np.uint8), axis=1).view(np.int64) for p in range(planes)], axis=1)
+
+
+def _lengthened(batches):
+    """The long sketch of (node, common, hashes) rows."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, 64):
+            part = batch.slice(low, 64)
+            sets = [np.asarray(h, np.int64).view(np.uint64) for h in part.column(2).to_pylist()]
+            words = planes_of(minima(sets, _LONG_MULT, _LONG_XOR), LONG_PLANES)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *[pa.array(words[:, k].copy()) for k in range(len(LONG))]], names=["node", "common", *LONG])
+
+
 def _sketch(batches):
     for batch in batches:
         ids = batch.column(0)
@@ -83,9 +106,7 @@ def _sketch(batches):
                 least = minima([sets[i] for i in full])
                 joined = (least.reshape(len(full), 2 * KEYS, ROWS).astype(np.uint64) * _JOIN).sum(axis=2) + np.arange(2 * KEYS, dtype=np.uint64)
                 keys[full] = _mixed(joined).view(np.int64)
-                mixed = least[:, :64 * BIT_WORDS] * np.uint32(0x9E3779B1)
-                planes = [np.packbits((mixed >> np.uint32(31 - p) & np.uint32(1)).astype(np.uint8), axis=1).view(np.int64) for p in range(PLANES)]
-                bits[full] = np.concatenate(planes, axis=1)
+                bits[full] = planes_of(least[:, :64 * BIT_WORDS], PLANES)
             for i in full:
                 names[i] = np.array([_mixed(sets[i]).sum(), _mixed(sets[i], 0xD6E8FEB86659FD93).sum()], np.uint64).tobytes()
             a, b = (pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(k).ravel()), KEYS).cast(pa.list_(pa.int64())) for k in (keys[:, :KEYS], keys[:, KEYS:]))
@@ -97,12 +118,19 @@ def _sketch(batches):
 BITS = [f"bits{k}" for k in range(PLANES * BIT_WORDS)]
 
 
+LONG = [f"long{k}" for k in range(LONG_PLANES * LONG_WORDS)]
+
+
+def _differing(x: str, y: str, columns: list[str], words: int) -> Column:
+    """How many values of two rows' sketches differ in some bit."""
+    xor = [F.col(f"{x}.{b}").bitwiseXOR(F.col(f"{y}.{b}")) for b in columns]
+    return sum((F.bit_count(reduce(Column.bitwiseOR, xor[k::words])) for k in range(words)), F.lit(0))
+
+
 def _alike(x: str, y: str) -> Column:
-    """Whether two rows' sizes allow a link and their single bits suggest one."""
-    xor = [F.col(f"{x}.{b}").bitwiseXOR(F.col(f"{y}.{b}")) for b in BITS]
-    differ = sum((F.bit_count(xor[k].bitwiseOR(xor[k + BIT_WORDS]).bitwiseOR(xor[k + 2 * BIT_WORDS])) for k in range(BIT_WORDS)), F.lit(0))
+    """Whether two rows' sizes allow a link and their bits suggest one."""
     sizes = (F.least(f"{x}.n", f"{y}.n") * 100 >= F.greatest(f"{x}.n", f"{y}.n") * PERCENT)
-    return sizes & (differ <= MOST_DIFFERENT)
+    return sizes & (_differing(x, y, BITS, BIT_WORDS) <= MOST_DIFFERENT)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -143,7 +171,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
        they are in no intersection, which bounds a node's similarity to any other, and rules out most pairs of copies with
        edits of their own, however large their group. What is left meets in the tables (A_i, B_j); pairs of different
        components that no earlier step compared are confirmed. The filters before a confirmation, set sizes,
-       own shingles and bits, leave linked pairs in. Nothing caps buckets or partners.
+       own shingles and sketches, leave linked pairs in. Nothing caps buckets or partners.
     """
     kind = docs.schema[id_col].dataType
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -174,7 +202,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     marked = hits.join(joined, "node", "left").select("node", "n", *BITS, "a_key", F.coalesce("component", "node").alias("component"))
     mixed = durable(_several(marked, "a_key"), "near-mixed")
-    able = durable(_held_by_others(mixed.select("node", "n").distinct(), sets).where(F.col("common") * 100 >= F.col("n") * PERCENT).select("node", "common"), "near-able")
+    able = _held_by_others(mixed.select("node", "n").distinct(), sets).where(F.col("common") * 100 >= F.col("n") * PERCENT).select("node", "common")
+    able = durable(able.join(sets, "node").select("node", "common", "hashes").mapInArrow(_lengthened, T.StructType(
+        [T.StructField("node", kind), T.StructField("common", T.LongType()), *[T.StructField(c, T.LongType()) for c in LONG]])).dropDuplicates(["node"]), "near-able")
     mixed = _several(mixed.join(able, "node"), "a_key")
     tables = durable(mixed.join(nodes.select("node", "a", "b"), "node"), "near-tables")
     most = F.least("x.common", "y.common")  # of shingles that both can have
@@ -182,7 +212,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     first_shared = F.col("x.a_key") == F.array_min(F.array_intersect("x.a", "y.a"))
     second = tables.alias("x").join(tables.alias("y"), F.col("x.a_key") == F.col("y.a_key")).where(
         (F.col("x.component") < F.col("y.component")) & (most * 100 >= (F.col("x.n") + F.col("y.n") - most) * PERCENT) & _alike("x", "y")
-        & F.arrays_overlap("x.b", "y.b") & first_shared).select(F.col("x.node").alias("hub"), F.col("y.node").alias("node"))
+        & (_differing("x", "y", LONG, LONG_WORDS) <= MOST_LONG) & F.arrays_overlap("x.b", "y.b") & first_shared).select(F.col("x.node").alias("hub"), F.col("y.node").alias("node"))
     known = first.unionByName(first.select(F.col("node").alias("hub"), F.col("hub").alias("node")))
     more = durable(_confirmed(durable(second.join(known, ["hub", "node"], "left_anti"), "near-pairs-2"), sets), "near-links-2")
     if not more.isEmpty():
