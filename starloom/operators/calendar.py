@@ -28,10 +28,10 @@ def calendar_columns(star: Mapping[str, DataFrame], *columns: str, key: str = "d
 
 
 def month_spine(spark: SparkSession, first: dt.date, last: dt.date, name: str = "month_start") -> DataFrame:
-    """One row per month start."""
+    """One row per month start, from the month of first to that of last."""
     if (last - first).days > MAX_SPINE_DAYS:
         raise ValueError("calendar range is too long")
-    months = F.sequence(F.lit(first), F.lit(last), F.expr("INTERVAL 1 MONTH"))
+    months = F.sequence(F.lit(first.replace(day=1)), F.lit(last.replace(day=1)), F.expr("INTERVAL 1 MONTH"))
     return spark.range(1).select(F.explode(months).alias(name))
 
 
@@ -42,8 +42,14 @@ def gap_fill(spine: DataFrame, df: DataFrame, on: str, fill: dict[str, object])
                                for c, v in fill.items()])
 
 
-def missing_days(calendar: DataFrame, day: str = "full_date") -> DataFrame:
-    """Days between the calendar's first and last day that it does not hold."""
-    span = calendar.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).filter("lo IS NOT NULL")
-    expected = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("missing_date"))
-    return expected.join(calendar.select(F.col(day).alias("_day")), F.col("missing_date") == F.col("_day"), "left_anti")
+def missing_days(calendar: DataFrame, day: str = "full_date", by: list[str] | None = None) -> DataFrame:
+    """Days between a calendar's first and last day that it does not hold; with `by`, of each group's own calendar."""
+    by = by or []
+    ends = [F.min(day).alias("_lo"), F.max(day).alias("_hi")]
+    span = (calendar.groupBy(*by).agg(*ends) if by else calendar.agg(*ends)).filter("_lo IS NOT NULL")
+    expected = span.select(*by, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 DAY"))).alias("missing_date"))
+    held = calendar.select(*[F.col(c).alias(f"_{c}") for c in by], F.col(day).alias("_day"))
+    same = F.col("missing_date") == F.col("_day")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return expected.join(held, same, "left_anti")

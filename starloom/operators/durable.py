@@ -23,14 +23,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/starloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write df once under the shared folder and read it back.
+def durable(df: DataFrame, label: str, partition_by: list[str] | None = None, folder: str | None = None) -> DataFrame:
+    """Write df once under the shared folder and read it back; under `folder` if given, whose owner deletes it.
 
     The copy has a fixed content whatever happens to executors, short lineage, and true size
     statistics for the join planner.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}" if folder else scratch_path(spark, label)
     writer = df.write.mode("error")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -22,28 +22,30 @@ def rollup_via(fact: DataFrame, key: str, partials: dict[str, Column], dim: Data
     return grouped.join(dim.select(key, *attrs), key, how)
 
 
-def orphan_counts(fact: DataFrame, fks: dict[str, str], dim: DataFrame, pk: str) -> DataFrame:
-    """Per foreign key column: rows with a value, and rows whose value has no dimension row.
+def key_counts(table: DataFrame, columns: dict[str, tuple[str, str | None]], dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Per labelled key column, in a single scan: present and NULL rows, distinct values, and rows whose value has no dimension row.
 
-    `fks` maps a label to a column. All columns that point at one dimension are turned into
-    (label, value) counts in a single scan; only the distinct values are joined. A label is returned
-    even when it has no value at all.
+    `columns` maps a label to (column, dimension or None), `dims` a dimension to its table and key. All columns become
+    (label, value) counts, combined map-side; only distinct values are joined. A label is returned even when it has no row.
     """
-    cells = ", ".join(f"'{label}', CAST({column} AS BIGINT)" for label, column in fks.items())
-    counts = (
-        fact.selectExpr(f"stack({len(fks)}, {cells}) AS (fk, value)").groupBy("fk", "value").agg(F.count(F.lit(1)).alias("n"))
-        .join(dim.select(F.col(pk).cast("bigint").alias("_pk")).distinct(), F.col("value") == F.col("_pk"), "left")
-    )
+    text = "'{}'".format
+    cells = ", ".join(f"{text(label)}, {text(dim or '')}, CAST({column} AS BIGINT)" for label, (column, dim) in columns.items())
+    counts = table.selectExpr(f"stack({len(columns)}, {cells}) AS (label, dim, value)").groupBy("label", "dim", "value").agg(F.count(F.lit(1)).alias("n"))
+    matched = F.lit(True)
+    if dims:
+        keys = None
+        for name, (dim, pk) in dims.items():
+            part = dim.select(F.lit(name).alias("k_dim"), F.col(pk).cast("bigint").alias("k_value")).distinct()
+            keys = part if keys is None else keys.unionByName(part)
+        counts = counts.join(keys, (F.col("value") == F.col("k_value")) & (F.col("dim") == F.col("k_dim")), "left")
+        matched = F.col("k_value").isNotNull()
     present = F.col("value").isNotNull()
-    totals = counts.groupBy("fk").agg(
-        F.sum(F.when(present, F.col("n"))).alias("evaluated"),
-        F.sum(F.when(present & F.col("_pk").isNull(), F.col("n"))).alias("orphans"),
-    )
-    labels = fact.sparkSession.range(1).select(F.explode(F.array(*[F.lit(label) for label in fks])).alias("fk"))
+    totals = counts.groupBy("label").agg(
+        F.sum(F.when(present, F.col("n"))).alias("present"), F.sum(F.when(~present, F.col("n"))).alias("nulls"),
+        F.count("value").alias("distinct_values"), F.sum(F.when(present & ~matched, F.col("n"))).alias("orphans"))
+    labels = table.sparkSession.range(1).select(F.explode(F.array(*[F.lit(label) for label in columns])).alias("label"))
     zero = F.lit(0).cast("bigint")
-    return labels.join(totals, "fk", "left").select(
-        "fk", F.coalesce("evaluated", zero).alias("evaluated"), F.coalesce("orphans", zero).alias("orphans")
-    )
+    return labels.join(totals, "label", "left").select("label", *[F.coalesce(c, zero).alias(c) for c in ("present", "nulls", "distinct_values", "orphans")])
 
 
 def orphan_rows(fact: DataFrame, fk: str, dim: DataFrame, pk: str) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from starloom.operators.durable import durable
 
-MAX_BROADCAST_FILES = 1_000_000  # about 100 MB of (file name, offset) rows
 BUCKET_HEX_DIGITS = 3  # 4,096 buckets: about 250,000 keys each at 10^9 keys
 
 
@@ -45,20 +44,18 @@ def dense_keys(df: DataFrame, key: str, name: str, unique: bool = False, digits:
     return df.join(numbered, key, "left").select(name, *df.columns)
 
 
-def row_keys(df: DataFrame, name: str, label: str) -> DataFrame:
+def row_keys(df: DataFrame, name: str, label: str, folder: str | None = None) -> DataFrame:
     """Number rows 1..n with no shuffle and no sort.
 
     The rows are written once; a row's number is the row count of the files before its own plus its
     position in its file. Skewed or repeated values cannot matter, and the files fix the result.
     """
-    stored = durable(df, label)
-    files = len(stored.inputFiles())
+    stored = durable(df, label, folder=folder)
     placed = stored.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     sizes = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    if files <= MAX_BROADCAST_FILES:
-        starts = F.broadcast(starts)
+    # a row per file, stored, so that its measured size decides how it is joined
+    starts = durable(sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")), f"{label}-offsets", folder=folder)
     return (
         placed.join(starts, "_file")
         .withColumn(name, (F.col("_start") + F.col("_row") + 1).cast("bigint"))

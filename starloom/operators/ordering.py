@@ -12,33 +12,31 @@ def ordered(df: DataFrame, order: list[Column], running: dict[str, str] | None =
             row_count: str | None = None, totals: dict[str, str] | None = None) -> DataFrame:
     """Add the 1-based row number in a total order, running sums (`running`) and whole sums (`totals`) of columns.
 
-    Rows are range-partitioned on the order columns and stored with their range number, so both
-    passes (range totals, then positions inside a range) see the same ranges even if tasks are
-    repeated. `order` must end in a unique column: then equal values spread over ranges too.
-    Only the range totals meet in one task.
+    Rows are range-partitioned on the order columns, sorted and stored with their range number; that is the only
+    shuffle of the rows. A row's number is the row count of the files before its own plus its position in its file, so
+    repeated tasks change nothing. Only file totals meet in one task. Running sums need a window inside each file.
+    `order` must end in a unique column: then equal values spread over ranges too.
     """
     running, totals = running or {}, totals or {}
-    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
-    stored = durable(ranged, "ordered")
-    per_range = stored.groupBy("_range").agg(
+    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).sortWithinPartitions(*order)
+    stored = durable(ranged, "ordered").select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    per_file = stored.groupBy("_range", "_file").agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(col).alias(f"_sum_{name}") for name, col in {**running, **totals}.items()]
     )
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_range", "_file").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy()
-    offsets = per_range.select(
-        "_range",
+    offsets = per_file.select(
+        F.col("_file").alias("_of_file"),
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
         F.sum("_n").over(whole).alias("_n_all"),
         *[F.sum(f"_sum_{name}").over(before).alias(f"_before_{name}") for name in running],
         *[F.sum(f"_sum_{name}").over(whole).alias(name) for name in totals],
     )
-    inside = Window.partitionBy("_range").orderBy(*order)
-    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
-    out = stored.withColumn("_row", F.row_number().over(inside))
-    for name, col in running.items():
-        out = out.withColumn(f"_run_{name}", F.sum(col).over(upto))
-    out = out.join(F.broadcast(offsets), "_range")  # one row per shuffle partition
-    extra = [(F.col("_n_before") + F.col("_row")).cast("bigint").alias(row_no)]
+    upto = Window.partitionBy("_file").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+    out = stored.select("*", *[F.sum(col).over(upto).alias(f"_run_{name}") for name, col in running.items()])
+    # a row per file, stored, so that its measured size decides how it is joined
+    out = out.join(durable(offsets, "ordered-offsets"), F.col("_file") == F.col("_of_file"))
+    extra = [(F.col("_n_before") + F.col("_row") + 1).cast("bigint").alias(row_no)]
     if row_count:
         extra.append(F.col("_n_all").cast("bigint").alias(row_count))
     for name in running:

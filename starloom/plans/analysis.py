@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions import exact_avg, pct, safe_div
 from starloom.operators.calendar import calendar_columns
+from starloom.operators.durable import durable
 from starloom.operators.joins import rollup_via, share_of_total
 from starloom.operators.ordering import ntile, ordered, top_k
 
@@ -74,12 +75,10 @@ def monthly_trend(star: Star) -> DataFrame:
 
 
 def sales_growth(star: Star) -> DataFrame:
-    """Monthly sales with growth on the previous month with sales and on the same month a year before."""
+    """Monthly sales with growth on the month before and on the same month a year before; NULL where that month has no sales."""
     monthly = sales_by(star, "month")
-    by_month = Window.orderBy("year", "month")  # one row per calendar month
-    a_year_ago = (F.col("year") * 12 + F.col("month")).cast("int")
-    yearly = Window.orderBy(a_year_ago).rangeBetween(-12, -12)
-    previous, year_before = F.lag("total_sales").over(by_month), F.first("total_sales").over(yearly)
+    by_month = Window.orderBy((F.col("year") * 12 + F.col("month")).cast("int"))  # one row per calendar month
+    previous, year_before = (F.first("total_sales").over(by_month.rangeBetween(-n, -n)) for n in (1, 12))
     return monthly.select(
         "*",
         pct(F.col("total_sales") - previous, previous).alias("mom_growth_pct"),
@@ -152,8 +151,11 @@ def delivery_sla(star: Star, by_state: bool = True) -> DataFrame:
         _mean(t["s"], t["s_n"], 2).alias("avg_review_score"),
         _mean(t["s_hit"], t["s_hit_n"], 2).alias("csat_on_time"),
         _mean(t["s_miss"], t["s_miss_n"], 2).alias("csat_delayed"),
+        # the difference of the exact means, rounded once
+        ((t["s_hit"] * t["s_miss_n"] - t["s_miss"] * t["s_hit_n"]).cast("decimal(28,0)")
+         / F.nullif((t["s_hit_n"] * t["s_miss_n"]).cast("decimal(28,0)"), F.lit(0).cast("decimal(28,0)"))).alias("_lost"),
     )
-    return out.withColumn("csat_penalty", F.col("csat_on_time") - F.col("csat_delayed"))
+    return out.withColumn("csat_penalty", F.round(F.col("_lost"), 2)).drop("_lost")
 
 
 def score_distribution(star: Star) -> DataFrame:
@@ -179,9 +181,9 @@ def duration_percentiles(star: Star, measure: str = "total_fulfillment_hours", p
     however many orders it has.
     """
     counts = star["fact_order_fulfillment"].filter(F.col(measure).isNotNull()).groupBy("order_status", measure).agg(F.count(F.lit(1)).alias("n"))
-    return counts.groupBy("order_status").agg(
-        F.sum("n").alias("order_count"),
-        *[F.percentile(F.col(measure).cast("double"), p, F.col("n")).alias(f"p{round(p * 100)}") for p in points])
+    found = counts.groupBy("order_status").agg(
+        F.sum("n").alias("order_count"), F.percentile(F.col(measure).cast("double"), list(points), F.col("n")).alias("_at"))
+    return found.select("order_status", "order_count", *[F.col("_at")[i].alias(f"p{round(p * 100)}") for i, p in enumerate(points)])
 
 
 def delay_score_correlation(star: Star) -> DataFrame:
@@ -202,7 +204,7 @@ def _dated_orders(star: Star, excluded: list[str]) -> DataFrame:
 def customer_value(star: Star, excluded: tuple[str, ...] = ("canceled",)) -> DataFrame:
     """Per customer: frequency, monetary value, first and last purchase day."""
     orders = _dated_orders(star, list(excluded)).groupBy("customer_key").agg(
-        F.count_distinct("order_id").alias("frequency"), F.sum("total_payment_value").alias("monetary"),
+        F.count(F.lit(1)).alias("frequency"), F.sum("total_payment_value").alias("monetary"),
         F.min("full_date").alias("first_purchase_date"), F.max("full_date").alias("last_purchase_date"))
     people = star["dim_customer"].select("customer_key", "customer_unique_id", "customer_state")
     return orders.join(people, "customer_key").drop("customer_key")
@@ -234,13 +236,14 @@ def customer_summary(star: Star) -> DataFrame:
 def rfm(star: Star) -> DataFrame:
     """Recency, frequency and monetary value per customer with quintile scores; 5 is best.
 
-    Recency counts days to the last purchase day of any order that was not canceled. Ties are split by customer id.
+    Recency counts days to the last purchase day of any order. Ties are split by customer id. The base is stored once.
     """
-    last = _dated_orders(star, ["canceled"]).agg(F.max("full_date").alias("d")).scalar()
+    days = calendar_columns(star, "full_date", key="order_purchase_date_key")
+    last = star["fact_order_fulfillment"].select("order_purchase_date_key").join(days, "order_purchase_date_key").agg(F.max("full_date").alias("d")).scalar()
     base = customer_value(star).select(
         "customer_unique_id", "customer_state", F.datediff(last, "last_purchase_date").alias("recency_days"), "frequency",
         F.coalesce("monetary", F.lit(0)).alias("monetary"))
-    scored = ntile(base, [F.desc("recency_days"), F.asc("customer_unique_id")], 5, "r_score")
+    scored = ntile(durable(base, "rfm"), [F.desc("recency_days"), F.asc("customer_unique_id")], 5, "r_score")
     scored = ntile(scored, [F.asc("frequency"), F.asc("customer_unique_id")], 5, "f_score")
     return ntile(scored, [F.asc("monetary"), F.asc("customer_unique_id")], 5, "m_score")
 
@@ -311,7 +314,10 @@ def category_pareto(star: Star, k: int | None = None) -> DataFrame:
     """Categories by revenue with rank and cumulative share; k keeps the first ranks."""
     grouped = _product_rollup(star, ["category_name_english"]).groupBy("category_name_english").agg(*_product_measures())
     order = [F.col("total_revenue").desc_nulls_last(), F.col("category_name_english").asc_nulls_last()]
-    ranked = ordered(grouped, order, running={"_running": "total_revenue"}, totals={"_all": "total_revenue"}, row_no="rank_no")
+    by_rank = Window.orderBy(*order)  # a row per category
+    ranked = grouped.select("*", F.row_number().over(by_rank).cast("bigint").alias("rank_no"),
+                            F.sum("total_revenue").over(by_rank.rowsBetween(Window.unboundedPreceding, 0)).alias("_running"),
+                            F.sum("total_revenue").over(Window.partitionBy()).alias("_all"))
     out = ranked.withColumn("cumulative_pct", pct("_running", "_all")).drop("_running", "_all")
     return (out.filter(F.col("rank_no") <= k) if k else out).orderBy("rank_no")
 
@@ -351,7 +357,7 @@ def category_sales_and_reviews(star: Star, k: int = 20) -> DataFrame:
     per_order = named.groupBy("order_id", "category_name_english").agg(F.sum("sales_amount").alias("category_sales"))
     delivered = star["fact_order_fulfillment"].filter(F.col("order_status") == "delivered").select("order_id", "review_score")
     out = per_order.join(delivered, "order_id").groupBy("category_name_english").agg(
-        F.count_distinct("order_id").alias("order_count"), F.sum("category_sales").alias("total_sales"),
+        F.count(F.lit(1)).alias("order_count"), F.sum("category_sales").alias("total_sales"),
         exact_avg("review_score", 2).alias("avg_order_review_score"))
     return top_k(out, [F.col("total_sales").desc_nulls_first(), F.col("category_name_english").asc_nulls_last()], k)
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from starloom.functions import exact_avg, pct, place_label, title_case, weighted_mean
 from starloom.operators.calendar import calendar_columns, gap_fill, month_spine
 from starloom.operators.joins import rollup_via, share_of_total
-from starloom.operators.ordering import ordered, top_k
+from starloom.operators.ordering import top_k
 from starloom.schemas import MONEY, MONTH_PARTITION
 
 Star = Mapping[str, DataFrame]
@@ -40,8 +40,14 @@ def total_revenue(star: Star) -> DataFrame:
     return star["fact_sales"].agg(F.round(F.coalesce(F.sum("sales_amount"), _zero()), 2).alias("total_revenue"))
 
 
-def monthly_revenue(star: Star, first: dt.date = dt.date(2016, 1, 1), last: dt.date = dt.date(2018, 12, 1)) -> DataFrame:
-    """Revenue per month on a gap-filled spine; sales without a calendar day or outside the spine are left out."""
+def monthly_revenue(star: Star, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+    """Revenue per month on a gap-filled spine: the calendar's months, or those from first's to last's.
+
+    Sales without a calendar day, or in a month outside a given range, are left out.
+    """
+    if first is None or last is None:
+        ends = star["dim_date"].agg(F.min("full_date"), F.max("full_date")).first()
+        first, last = first or ends[0] or dt.date(1970, 1, 1), last or ends[1] or dt.date(1970, 1, 1)
     sales = _in_months(star["fact_sales"], first, last).filter(F.col("sales_amount").isNotNull())
     daily = rollup_via(sales, "date_key", {"v": F.sum("sales_amount")}, star["dim_date"], ["full_date"])
     monthly = daily.groupBy(F.trunc("full_date", "MM").alias("month_start")).agg(F.sum("v").alias("total_revenue"))
@@ -114,7 +120,8 @@ def sorted_table(df: DataFrame, name: str, sort_by: str, k: int | None = 10) ->
     order = names if sort_by == "name" else [F.col(SORTABLE[sort_by]).desc_nulls_first(), *names]
     if k is not None:
         return top_k(df, order, k, rank_as="rank_no")
-    return ordered(df, order, row_no="rank_no").select("rank_no", *df.columns).orderBy("rank_no")
+    # a page table has a row per group, so a plain sort numbers it
+    return df.select(F.row_number().over(Window.orderBy(*order)).cast("bigint").alias("rank_no"), *df.columns).orderBy("rank_no")
 
 
 def top_categories(star: Star, metric: str = "revenue", k: int | None = 10) -> DataFrame:
@@ -144,8 +151,8 @@ def customers_by_city(star: Star) -> DataFrame:
 
 
 def orders_per_customer(star: Star) -> DataFrame:
-    """(customer_unique_id, order_count); duplicate order ids of a customer count once."""
-    per_key = star["fact_order_fulfillment"].groupBy("customer_key").agg(F.count_distinct("order_id").alias("order_count"))
+    """(customer_unique_id, order_count). The order fact has one row per order, which publishing checks."""
+    per_key = star["fact_order_fulfillment"].groupBy("customer_key").agg(F.count(F.lit(1)).alias("order_count"))
     return per_key.join(star["dim_customer"].select("customer_key", "customer_unique_id"), "customer_key").groupBy(
         "customer_unique_id").agg(F.sum("order_count").alias("order_count"))
 
@@ -201,13 +208,14 @@ def on_time_rate_all_orders(star: Star) -> DataFrame:
     return counts.select(pct("hit", "n").alias("on_time_rate_pct"))
 
 
-def delivery_day_vs_review(star: Star, max_days: int = 80) -> DataFrame:
-    """Mean score and orders per delivery status and rounded day; the day limit applies before rounding.
+def delivery_day_vs_review(star: Star, max_days: int | None = None) -> DataFrame:
+    """Mean score and orders per delivery status and rounded day; a day limit, if given, applies before rounding.
 
     An unknown on-time flag counts as Late.
     """
     days = F.col("total_fulfillment_hours") / F.lit(24).cast("decimal(2,0)")
-    kept = star["fact_order_fulfillment"].filter(F.col("review_score").isNotNull() & days.between(0, max_days))
+    wanted = days >= 0 if max_days is None else days.between(0, max_days)
+    kept = star["fact_order_fulfillment"].filter(F.col("review_score").isNotNull() & wanted)
     status = F.when(F.col("is_on_time"), "On Time").otherwise("Late")
     return kept.groupBy(status.alias("delivery_status"), F.round(days, 0).alias("delivery_day")).agg(
         exact_avg("review_score", 2).alias("avg_review_score"), F.count(F.lit(1)).alias("order_count")
@@ -224,9 +232,9 @@ def transit_days_by_state(star: Star) -> DataFrame:
     return out.orderBy(F.col("avg_delivery_days").desc_nulls_first(), "customer_state")
 
 
-def on_time_vs_late(star: Star) -> DataFrame:
+def on_time_vs_late(star: Star, max_days: int | None = None) -> DataFrame:
     """Orders, share, and order-weighted mean day and score per delivery status, from the rounded day rows."""
-    grouped = delivery_day_vs_review(star).groupBy("delivery_status").agg(
+    grouped = delivery_day_vs_review(star, max_days).groupBy("delivery_status").agg(
         F.sum("order_count").alias("order_count"),
         weighted_mean(F.col("delivery_day").cast("decimal(10,2)"), F.col("order_count").cast("decimal(18,0)")).alias("_day"),
         weighted_mean(F.col("avg_review_score").cast("decimal(10,2)"), F.col("order_count").cast("decimal(18,0)")).alias("_score"))
@@ -236,12 +244,12 @@ def on_time_vs_late(star: Star) -> DataFrame:
                          F.round("_score", 2).alias("avg_review_score"))
 
 
-def review_trend_line(star: Star, at: tuple[float, ...] = (1.0, 5.0)) -> DataFrame:
+def review_trend_line(star: Star, at: tuple[float, ...] = (1.0, 5.0), max_days: int | None = None) -> DataFrame:
     """Least-squares line of delivery day on score over the day rows; its points at the given scores.
 
     No rows with fewer than two points.
     """
-    points = delivery_day_vs_review(star).select(F.col("avg_review_score").cast("double").alias("x"), F.col("delivery_day").cast("double").alias("y"))
+    points = delivery_day_vs_review(star, max_days).select(F.col("avg_review_score").cast("double").alias("x"), F.col("delivery_day").cast("double").alias("y"))
     line = points.agg(F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("intercept"), F.count(F.lit(1)).alias("n"))
     ends = line.filter("n > 1").select("slope", "intercept", F.explode(F.array(*[F.lit(x) for x in at])).alias("review_score"))
     return ends.select("review_score", (F.col("slope") * F.col("review_score") + F.col("intercept")).alias("delivery_day"))

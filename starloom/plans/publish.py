@@ -14,6 +14,7 @@ from starloom.operators.keys import row_keys
 from starloom.plans import star as builders
 from starloom.plans.star import Calendar
 from starloom.schemas import DIMENSIONS, MONTH_PARTITION, STAR_TABLES, star_columns, star_schema
+from starloom.sources import files
 from starloom.sources.versions import current_version, mark_live, new_version
 
 Audit = Callable[[dict[str, DataFrame]], list[str]]
@@ -31,14 +32,15 @@ def write_dimension(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_fact(df: DataFrame, date_key: str, path: str) -> None:
-    """Write a fact by purchase month.
+def write_fact(df: DataFrame, date_key: str, key: str, path: str, scratch: str) -> None:
+    """Number a fact's rows and write it by purchase month.
 
     The rebalance hint groups rows by month, and AQE splits a month that is too large for one task
-    and packs small ones together.
+    and packs small ones together. Rows are stored in that layout once and numbered from there in a narrow pass.
     """
     monthly = df.withColumn(MONTH_PARTITION, month_of_key(date_key)).hint("rebalance", MONTH_PARTITION)
-    monthly.write.mode("overwrite").partitionBy(MONTH_PARTITION).parquet(path)
+    keyed = row_keys(monthly, key, key, scratch)
+    keyed.write.mode("overwrite").partitionBy(MONTH_PARTITION).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -54,19 +56,20 @@ def read_version(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 
 def write_star(spark: SparkSession, views: Mapping[str, DataFrame], path: str, calendar: Calendar = Calendar()) -> dict[str, DataFrame]:
-    """Build all six tables into a version folder.
+    """Build all six tables into a version folder; what is needed on the way stands below it and is deleted at the end.
 
     Facts join the written dimensions, so the planner sees their true sizes. The item fact takes its
     customer and date from the order fact; the other dimensions are built beside the order fact.
     """
+    scratch, calendar = f"{path}/_scratch", builders.calendar_of(views["vw_orders"], calendar)
+
     def customers_and_orders() -> None:
         write_dimension(builders.dim_customer(views["vw_customers"]), f"{path}/dim_customer")
         orders = builders.fact_order_fulfillment(
             views["vw_orders"], views["vw_customers"], views["vw_order_payments_agg"], views["vw_order_reviews_latest"],
             read_table(spark, path, "dim_customer"), calendar,
         )
-        keyed = row_keys(orders, "fulfillment_key", "fulfillment")
-        write_fact(keyed, "order_purchase_date_key", f"{path}/fact_order_fulfillment")
+        write_fact(orders, "order_purchase_date_key", "fulfillment_key", f"{path}/fact_order_fulfillment", scratch)
 
     together(
         customers_and_orders,
@@ -77,18 +80,22 @@ def write_star(spark: SparkSession, views: Mapping[str, DataFrame], path: str, c
     stored = {table: read_table(spark, path, table) for table in ["fact_order_fulfillment", "dim_product", "dim_seller"]}
     order_facts = stored["fact_order_fulfillment"].select(*star_columns("fact_order_fulfillment"))
     items = builders.fact_sales(views["vw_order_items"], order_facts, stored["dim_product"], stored["dim_seller"])
-    write_fact(row_keys(items, "sales_key", "sales"), "date_key", f"{path}/fact_sales")
+    write_fact(items, "date_key", "sales_key", f"{path}/fact_sales", scratch)
+    files.delete(spark, scratch)
     return read_version(spark, path)
 
 
 def publish(spark: SparkSession, views: Mapping[str, DataFrame], warehouse: str, audit: Audit, calendar: Calendar = Calendar()) -> str:
-    """Write a new version, audit it, then mark it live. Raises AuditFailed and marks nothing on failure."""
+    """Write a new version, audit it, then mark it live. On failure nothing is marked and nothing stays; a failed audit raises AuditFailed."""
     version = new_version(warehouse)
-    star = write_star(spark, views, version, calendar)
-    problems = audit(star)
-    if problems:
-        raise AuditFailed(problems)
-    mark_live(spark, version)
+    try:
+        problems = audit(write_star(spark, views, version, calendar))
+        if problems:
+            raise AuditFailed(problems)
+        mark_live(spark, version)
+    except BaseException:
+        files.delete(spark, version)
+        raise
     return version
 
 

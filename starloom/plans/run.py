@@ -22,7 +22,6 @@ class RunReport:
     staged_rows: dict[str, int] = field(default_factory=dict)
     version: str | None = None
     checks: list[Row] = field(default_factory=list)
-    status_note: str = ""
     reports: list[str] = field(default_factory=list)
 
     @property
@@ -52,7 +51,6 @@ def run(spark: SparkSession, source: str, home: str, stages: tuple[str, ...] = S
     if "validation" in stages:
         star = read_star(spark, f"{home}/warehouse")
         report.checks = audit.check_results(star).orderBy("check_no").collect()
-        report.status_note = audit.status_note(star)
         failed = {c.name for c in report.checks if c.failed_count > 0}
         report.reports = audit.write_reports(star, failed, f"{home}/validation_reports")
     return report

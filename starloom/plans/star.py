@@ -18,10 +18,20 @@ from starloom.schemas import MONEY, star_columns, star_schema
 
 @dataclass(frozen=True)
 class Calendar:
-    """Range of the calendar dimension."""
+    """Range of the calendar dimension; an end that is not given comes from the orders, see `calendar_of`."""
 
-    first: dt.date = dt.date(2016, 1, 1)
-    last: dt.date = dt.date(2019, 12, 31)
+    first: dt.date | None = None
+    last: dt.date | None = None
+
+
+def calendar_of(orders: DataFrame, wanted: Calendar = Calendar()) -> Calendar:
+    """The wanted calendar with missing ends taken from the first and last day of all order time stamps (one aggregate)."""
+    if wanted.first and wanted.last:
+        return wanted
+    stamps = list(DATE_ROLES.values())
+    ends = orders.agg(F.to_date(F.min(F.least(*stamps))), F.to_date(F.max(F.greatest(*stamps)))).first()
+    first, last = wanted.first or ends[0] or dt.date(1970, 1, 1), wanted.last or ends[1]
+    return Calendar(first, max(last or first, first))
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
@@ -29,7 +39,7 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in star_schema(table).fields])
 
 
-def dim_date(spark: SparkSession, calendar: Calendar = Calendar()) -> DataFrame:
+def dim_date(spark: SparkSession, calendar: Calendar) -> DataFrame:
     day = F.col("full_date")
     days = day_spine(spark, calendar.first, calendar.last).select(
         date_key(day).alias("date_key"),
@@ -120,7 +130,7 @@ def fact_order_fulfillment(orders: DataFrame, customers: DataFrame, payments_agg
     Payments and reviews arrive grouped by order_id, so their joins reuse the orders' shuffle on it.
     Left joins: an order is never dropped for a missing customer, payment or review.
     """
-    known = orders.filter(not_blank("order_id"))
+    known, calendar = orders.filter(not_blank("order_id")), calendar_of(orders, calendar)
     enriched = lifecycle_measures(role_keys(known, calendar))
     joined = (
         enriched.join(reviews_latest, "order_id", "left")
@@ -153,7 +163,8 @@ def _conform_unkeyed(df: DataFrame, table: str) -> DataFrame:
 
 
 def build_lazy(spark: SparkSession, views: Mapping[str, DataFrame], calendar: Calendar = Calendar()) -> dict[str, DataFrame]:
-    """Whole star as one lazy plan, facts without row keys; nothing runs or is written."""
+    """Whole star as one lazy plan, facts without row keys; nothing is written, and only the calendar's ends are looked up."""
+    calendar = calendar_of(views["vw_orders"], calendar)
     star = {
         "dim_date": dim_date(spark, calendar),
         "dim_customer": dim_customer(views["vw_customers"]),
@@ -171,7 +182,7 @@ def build_lazy(spark: SparkSession, views: Mapping[str, DataFrame], calendar: Ca
 
 
 __all__ = [
-    "Calendar", "DATE_ROLES", "build_lazy", "conform", "customer_keys", "dim_customer", "dim_date", "dim_product",
+    "Calendar", "DATE_ROLES", "build_lazy", "calendar_of", "conform", "customer_keys", "dim_customer", "dim_date", "dim_product",
     "dim_seller", "fact_order_fulfillment", "fact_sales", "lifecycle_measures", "role_keys", "role_keys_by_join",
     "star_columns",
 ]

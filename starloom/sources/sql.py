@@ -9,10 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def run_query(spark: SparkSession, sql: str, params: dict | None = None, tables: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Run a query with :name markers, bound as literals by Spark (never by text)."""
+    """Run a query with :name markers, bound as literals by Spark (never by text).
+
+    The tables' names hold for this query alone: they are dropped once it is planned.
+    """
     for name, df in (tables or {}).items():
         df.createOrReplaceTempView(name)
-    return spark.sql(sql, args=params or {})
+    try:
+        return spark.sql(sql, args=params or {})
+    finally:
+        for name in tables or {}:
+            spark.catalog.dropTempView(name)
 
 
 @dataclass(frozen=True)

@@ -39,8 +39,9 @@ def current_version(spark: SparkSession, folder: str) -> str | None:
 
 
 def retire_versions(spark: SparkSession, folder: str, keep: int = 2) -> list[str]:
-    """Delete live versions before the newest `keep`; readers of those keep their files until then."""
-    old = live_versions(spark, folder)[:-max(keep, 1)]
-    for version in old:
+    """Delete live versions before the newest `keep`, and unmarked ones, left by a lost driver, that are older than the live one."""
+    live = live_versions(spark, folder)
+    old = live[:-max(keep, 1)]
+    for version in old + [v for v in files.glob(spark, f"{folder.rstrip('/')}/version=*") if live and v not in live and v < live[-1]]:
         files.delete(spark, version)
     return old

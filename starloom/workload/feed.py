@@ -15,13 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.plans.clean import clean_views
-from starloom.plans.star import Calendar
 from starloom.schemas import RAW_COLUMNS
 from starloom.tables import LazyTables
 
-FEED_CALENDAR = Calendar(dt.date(1995, 1, 1), dt.date(2001, 12, 31))
-
-
 def _text(col: Column) -> Column:
     return col.cast("string")
 

@@ -13,7 +13,7 @@ from starloom.plans.publish import publish, read_star
 from starloom.sources import files
 from starloom.sources.extracts import read_staging, write_staging
 from starloom.sources.versions import current_version
-from starloom.workload.feed import FEED_CALENDAR, raw_feed
+from starloom.workload.feed import raw_feed
 
 _open: dict[str, dict[str, DataFrame]] = {}  # the folder name holds the application id and the state of the data
 
@@ -37,6 +37,6 @@ def live_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     if folder not in _open:
         if current_version(spark, folder) is None:
             raw = live_raw(spark, sf_dir)
-            publish(spark, clean_views(raw), folder, prepublish_gate(raw), FEED_CALENDAR)
+            publish(spark, clean_views(raw), folder, prepublish_gate(raw))
         _open[folder] = read_star(spark, folder)
     return _open[folder]

@@ -114,7 +114,9 @@ place AS (
   SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS DATE) AS full_date, year(d) AS year, quarter(d) AS quarter,
          month(d) AS month, monthname(d) AS month_name, weekofyear(d) AS week_of_year, day(d) AS day_of_month,
          dayofweek(d) + 1 AS day_of_week, dayname(d) AS day_name, dayofweek(d) IN (0, 6) AS is_weekend
-  FROM (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY)) AS d)
+  FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d FROM (
+    SELECT date_trunc('day', min(least(purchase, approved, carrier, delivered, estimated)))::TIMESTAMP AS lo,
+           date_trunc('day', max(greatest(purchase, approved, carrier, delivered, estimated)))::TIMESTAMP AS hi FROM ord))
 ), dc AS (
   SELECT row_number() OVER (ORDER BY md5(uid), uid) AS customer_key, uid AS customer_unique_id, city AS customer_city, state AS customer_state, zip
   FROM (SELECT uid, city, state, zip, row_number() OVER (PARTITION BY uid ORDER BY count(*) DESC, city, state, zip) AS rn
@@ -182,6 +184,9 @@ SELECT 'r' || lpad(CAST(event_id AS VARCHAR), 12, '0') AS review_id, CAST((event
        strftime(ts, '%Y-%m-%d') || ' 00:00:00' AS review_creation_date,
        CASE WHEN epoch_us(ts) % 1000000 = 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') ELSE rtrim(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '0') END AS review_answer_timestamp
 FROM events""")
+add("a2_extract_with_bom", "SELECT status AS order_status, count(*) AS orders, min(order_id) AS first_order FROM ord GROUP BY status")
+plain("a6_full_refresh", """SELECT 'orders' AS table_name, count(*) AS total_rows FROM orders
+UNION ALL SELECT 'order_payments', count(*) FROM lineitem UNION ALL SELECT 'sellers', count(*) FROM supplier""")
 plain("a4_extract_row_counts", """
 SELECT 'customers' AS table_name, count(*) AS total_rows FROM orders JOIN customer ON o_custkey = c_custkey
 UNION ALL SELECT 'orders', count(*) FROM orders
@@ -190,7 +195,7 @@ UNION ALL SELECT 'order_payments', count(*) FROM lineitem
 UNION ALL SELECT 'order_reviews', 0
 UNION ALL SELECT 'products', count(*) FROM part
 UNION ALL SELECT 'sellers', count(*) FROM supplier
-UNION ALL SELECT 'geolocation', 0
+UNION ALL SELECT 'geolocation', count(*) FROM nation
 UNION ALL SELECT 'product_category_name_translation', count(*) FROM (SELECT DISTINCT p_type, p_brand FROM part WHERE p_size % 17 <> 0 AND p_brand <> 'Brand#25')""")
 add("a7_typed_tables", f"SELECT CAST(date_key // 100 AS BIGINT) AS purchase_month, count(*) AS total_rows, {d('sum(sales_amount)', 'sales_amount')} FROM fs GROUP BY date_key // 100")
 add("a8_published_star", """
@@ -246,9 +251,10 @@ add("d3_role_playing_join", "SELECT order_id, " + cols(*[b(f"{a}_d.date_key", r)
 add("d4_fact_to_dimension", f"SELECT seller_state, {d('sum(sales_amount)', 'sales_amount')}, count(*) AS items FROM fs JOIN ds ON fs.seller_key = ds.seller_key GROUP BY seller_state")
 plain("d7_anti_join", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders LEFT JOIN (SELECT DISTINCT l_orderkey FROM lineitem) ON o_orderkey = l_orderkey WHERE l_orderkey IS NULL")
 add("d8_two_totals", "SELECT a.n AS on_time_orders, t.n AS total_orders FROM (SELECT count(*) AS n FROM fof WHERE is_on_time) a, (SELECT count(*) AS n FROM fof) t")
-plain("d10_calendar_gaps", """WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'),
-expected AS (SELECT CAST(unnest(generate_series((SELECT min(day) FROM days), (SELECT max(day) FROM days), INTERVAL 1 DAY)) AS DATE) AS e)
-SELECT CAST(e AS VARCHAR) AS missing_date FROM expected LEFT JOIN days ON e = day WHERE day IS NULL""")
+plain("d10_calendar_gaps", """WITH days AS (SELECT DISTINCT o_orderpriority AS priority, o_orderstatus AS status, CAST(o_orderdate AS DATE) AS day FROM orders),
+ends AS (SELECT priority, status, min(day)::TIMESTAMP AS lo, max(day)::TIMESTAMP AS hi FROM days GROUP BY ALL),
+expected AS (SELECT priority, status, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM ends)
+SELECT priority, status, CAST(day AS VARCHAR) AS missing_date FROM (SELECT * FROM expected EXCEPT SELECT * FROM days)""")
 
 # --- E -------------------------------------------------------------------------------------------------------
 
@@ -280,7 +286,7 @@ add("g1_null_order", f"SELECT CAST(rn AS BIGINT) AS rank_no, order_id, {d('days_
 ORDER_VALUES = f"order_values AS (SELECT f.order_id, f.total_payment_value, a.total_sales, a.item_count FROM fof f JOIN (SELECT order_id, sum(sales_amount) AS total_sales, count(*) AS item_count FROM fs GROUP BY 1) a ON f.order_id = a.order_id)"
 VALUES_OUT = f"order_id, {d('total_payment_value')}, {d('total_sales')}, {b('item_count')}"
 add("g3_top_orders", f"SELECT {VALUES_OUT} FROM (SELECT * FROM order_values ORDER BY total_sales DESC, order_id LIMIT 10)", ORDER_VALUES)
-add("g4_violation_extract", "SELECT least(count(*), 5000) AS violations FROM fs WHERE price IS NULL")
+add("g4_violation_extract", f"SELECT order_id, {b('order_item_id')}, {d('price')} FROM fs WHERE price IS NULL")
 CATEGORY = f"""category_perf AS (SELECT category_name_english AS category, coalesce(sum(sales_amount), 0) AS total_revenue, count(order_item_id) AS total_quantity
 FROM dp JOIN fs ON dp.product_key = fs.product_key WHERE category_name_english IS NOT NULL GROUP BY 1)"""
 
@@ -413,7 +419,7 @@ _checks("k6_k12_business_rules", "3. Business Rules", [
     (56, "On-Time Consistency: is_on_time vs days_vs_estimate", "WARNING",
      _share("fof", f"{_BOTH} AND ((days_vs_estimate < -0.01 AND NOT is_on_time) OR (days_vs_estimate > 0.01 AND is_on_time))", _BOTH)),
     (57, "Payment Count >= 1 when total_payment_value > 0", "WARNING", _share("fof", "total_payment_value > 0 AND (payment_count IS NULL OR payment_count < 1)", "total_payment_value > 0")),
-])
+], {55: "'Distinct values: ' || (SELECT count(DISTINCT order_status) FROM fof) || ', with their counts in business_order_status_counts.csv'"})
 _LATE_NOTES = {59: "'Known source logging anomaly (carrier dispatched before approval logged)'", 60: "'Known source logging anomaly (carrier scan logged post-delivery)'"}
 
 
@@ -451,6 +457,7 @@ _PARTS = ["k1_k3_key_checks", "k4_mandatory_columns", "k6_k12_business_rules", "
 _BODY = "\nUNION ALL ".join(f"({SQL[p]})" for p in _PARTS)
 plain("k21_verdict", f"""SELECT count(*) AS total_checks, count(*) FILTER (WHERE failed_count = 0) AS passed, count(*) FILTER (WHERE failed_count > 0 AND severity = 'WARNING') AS warnings,
 count(*) FILTER (WHERE failed_count > 0 AND severity = 'CRITICAL') AS critical_failures FROM ({_BODY})""")
+plain("a14_staged_run", f"SELECT check_no, name, total_evaluated, failed_count, status FROM ({_BODY})")
 plain("k2_grain_of_lines", "SELECT count(*) AS total_evaluated, count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS failed_count FROM lineitem")
 _conditions = [(i, f"not empty: {t}", f"SELECT count(*) AS n FROM {SOURCES[t]}", "n = 0") for i, t in enumerate(["dim_date", "dim_customer", "dim_product", "dim_seller", "fact_sales", "fact_order_fulfillment"], start=1)]
 for _i, (_t, _k) in enumerate([("dim_customer", "customer_unique_id"), ("dim_product", "product_id"), ("dim_seller", "seller_id")], start=7):
@@ -499,7 +506,7 @@ add("k27_staging_tests", STAGING_TESTS)
 
 add("l1_total_revenue", f"SELECT {d('coalesce(sum(sales_amount), 0)', 'total_revenue')} FROM fs")
 add("l2_monthly_revenue", f"""SELECT CAST(m AS VARCHAR) AS month_start, strftime(m, '%Y-%m') AS year_month, {d('coalesce(v, 0)', 'total_revenue')}
-FROM (SELECT CAST(unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-01', INTERVAL 1 MONTH)) AS DATE) AS m)
+FROM (SELECT DISTINCT CAST(date_trunc('month', full_date) AS DATE) AS m FROM dd)
 LEFT JOIN (SELECT CAST(date_trunc('month', full_date) AS DATE) AS month, sum(sales_amount) AS v FROM fs JOIN dd ON fs.date_key = dd.date_key GROUP BY 1) ON m = month""")
 add("l3_total_orders", "SELECT count(DISTINCT order_id) AS total_orders FROM fof")
 _HIT = "count(*) FILTER (WHERE order_status = 'delivered')"
@@ -520,7 +527,7 @@ add("l13_average_review", f"SELECT {mean('review_score', 2)} AS avg_review_score
 _ON_TIME = "count(*) FILTER (WHERE is_on_time)"
 add("l14_on_time_rate", f"SELECT {pct(_ON_TIME, 'count(*)')} AS on_time_rate_pct FROM fof")
 DAY_ROWS = f"""day_rows AS (SELECT CASE WHEN is_on_time THEN 'On Time' ELSE 'Late' END AS delivery_status, {ratio(cents('total_fulfillment_hours'), '2400', 0)} AS delivery_day,
-{mean('review_score', 2)} AS avg_review_score, count(*) AS order_count FROM fof WHERE review_score IS NOT NULL AND total_fulfillment_hours IS NOT NULL AND total_fulfillment_hours BETWEEN 0 AND 1920 GROUP BY 1, 2)"""
+{mean('review_score', 2)} AS avg_review_score, count(*) AS order_count FROM fof WHERE review_score IS NOT NULL AND total_fulfillment_hours IS NOT NULL AND total_fulfillment_hours >= 0 GROUP BY 1, 2)"""
 add("l15_delivery_day_vs_review", "SELECT delivery_status, delivery_day, avg_review_score, order_count FROM day_rows", DAY_ROWS)
 add("l16_transit_days_by_state", f"""SELECT customer_state, {mean('hours_to_customer', 2, 24)} AS avg_delivery_days, count(*) AS delivered_orders FROM fof JOIN dc ON fof.customer_key = dc.customer_key
 WHERE order_status = 'delivered' AND hours_to_customer IS NOT NULL GROUP BY 1""")
@@ -560,9 +567,10 @@ _LATE = "count(*) FILTER (WHERE NOT is_on_time)"
 _SLA = f"""count(*) AS delivered_orders, {_ON_TIME} AS on_time_orders, {_LATE} AS delayed_orders, {pct(_ON_TIME, 'count(*)')} AS on_time_rate_pct, {mean('total_fulfillment_hours', 2, 24)} AS avg_lead_time_days,
 {mean('hours_to_customer', 2, 24)} AS avg_transit_days, {mean('days_vs_estimate', 2)} AS avg_days_vs_estimate, {mean('review_score', 2)} AS avg_review_score,
 {mean('review_score', 2, keep='is_on_time')} AS csat_on_time, {mean('review_score', 2, keep='NOT is_on_time')} AS csat_delayed"""
-_PENALTY = "round(csat_on_time - csat_delayed, 2) AS csat_penalty"
-add("n6_delivery_sla", f"SELECT *, {_PENALTY} FROM (SELECT {_SLA} FROM fof WHERE {DELIVERED})")
-add("n6_delivery_sla_by_state", f"SELECT *, {_PENALTY} FROM (SELECT customer_state, {_SLA} FROM fof JOIN dc ON fof.customer_key = dc.customer_key WHERE {DELIVERED} GROUP BY 1)")
+_S = {side: (f"coalesce(sum(review_score) FILTER (WHERE {keep}), 0)", f"count(review_score) FILTER (WHERE {keep})") for side, keep in (("hit", "is_on_time"), ("miss", "NOT is_on_time"))}
+_PENALTY = ratio(f"{_S['hit'][0]} * {_S['miss'][1]} - {_S['miss'][0]} * {_S['hit'][1]}", f"{_S['hit'][1]} * {_S['miss'][1]}", 2) + " AS csat_penalty"
+add("n6_delivery_sla", f"SELECT {_SLA}, {_PENALTY} FROM fof WHERE {DELIVERED}")
+add("n6_delivery_sla_by_state", f"SELECT customer_state, {_SLA}, {_PENALTY} FROM fof JOIN dc ON fof.customer_key = dc.customer_key WHERE {DELIVERED} GROUP BY 1")
 add("n7_score_distribution", f"SELECT is_on_time, {cols(*[f'count(*) FILTER (WHERE review_score = {i}) AS score_{i}' for i in range(1, 6)])} FROM fof WHERE {DELIVERED} AND is_on_time IS NOT NULL GROUP BY 1")
 for _name, _role in [("purchase", "order_purchase_date_key"), ("delivery", "delivered_date_key")]:
     add(f"n7_on_time_by_{_name}_month", f"""SELECT {b('year')}, {b('month')}, count(*) AS delivered_orders, {_ON_TIME} AS on_time_orders, {pct(_ON_TIME, 'count(*)')} AS on_time_rate_pct
@@ -577,8 +585,10 @@ def _sales_by(group: str) -> str:
 
 
 add("n8_sales_growth", f"""SELECT {b('s.year', 'year')}, {b('s.month', 'month')}, {_SALES_OUT}, {pct(cents('total_sales - previous'), cents('previous'))} AS mom_growth_pct,
-{pct(cents('total_sales - year_before'), cents('year_before'))} AS yoy_growth_pct FROM (SELECT s.*, lag(s.total_sales) OVER (ORDER BY s.year, s.month) AS previous, y.total_sales AS year_before
-FROM sales s LEFT JOIN sales y ON y.year = s.year - 1 AND y.month = s.month) s""", _sales_by("year, month"))
+{pct(cents('total_sales - year_before'), cents('year_before'))} AS yoy_growth_pct FROM (SELECT s.*, p.total_sales AS previous, y.total_sales AS year_before
+FROM sales s LEFT JOIN sales y ON y.year = s.year - 1 AND y.month = s.month LEFT JOIN sales p ON p.year * 12 + p.month = s.year * 12 + s.month - 1) s""", _sales_by("year, month"))
+add("n8_sales_by_year", f"SELECT {b('year')}, {_SALES_OUT} FROM sales", _sales_by("year"))
+add("n8_sales_by_day", f"SELECT {s('full_date')}, {_SALES_OUT} FROM sales", _sales_by("full_date"))
 add("n8_sales_by_quarter", f"SELECT {b('year')}, {b('quarter')}, {_SALES_OUT} FROM sales", _sales_by("year, quarter"))
 add("n8_sales_by_weekend", f"SELECT is_weekend, {_SALES_OUT} FROM sales", _sales_by("is_weekend"))
 PEAKS = "peaks AS (SELECT {g}, sum(sales_amount) AS total_sales, count(*) AS total_items FROM fs JOIN dd ON fs.date_key = dd.date_key GROUP BY ALL)"
@@ -590,7 +600,7 @@ _AGAIN = "count(*) FILTER (WHERE frequency >= 2)"
 add("n9_customer_summary", f"SELECT count(*) AS total_customers, {pct(_AGAIN, 'count(*)')} AS repeat_purchase_rate_pct, {mean('monetary', 2)} AS avg_clv FROM value_rows", _VALUE)
 RFM = _VALUE + """, rfm AS (SELECT customer_unique_id, customer_state, recency_days, frequency, monetary, ntile(5) OVER (ORDER BY recency_days DESC, customer_unique_id) AS r_score,
 ntile(5) OVER (ORDER BY frequency, customer_unique_id) AS f_score, ntile(5) OVER (ORDER BY monetary, customer_unique_id) AS m_score
-FROM (SELECT customer_unique_id, customer_state, date_diff('day', last_day, (SELECT max(full_date) FROM fof JOIN dd ON order_purchase_date_key = date_key WHERE order_status <> 'canceled')) AS recency_days, frequency, coalesce(monetary, 0) AS monetary FROM value_rows))"""
+FROM (SELECT customer_unique_id, customer_state, date_diff('day', last_day, (SELECT max(full_date) FROM fof JOIN dd ON order_purchase_date_key = date_key)) AS recency_days, frequency, coalesce(monetary, 0) AS monetary FROM value_rows))"""
 add("n9_rfm_scores", f"SELECT customer_unique_id, customer_state, {b('recency_days')}, frequency, {d('monetary')}, {b('r_score')}, {b('f_score')}, {b('m_score')} FROM rfm", RFM)
 STATE_VALUE = _VALUE + ", state_value AS (SELECT customer_state, sum(monetary) AS revenue, count(*) AS customers FROM value_rows GROUP BY 1)"
 _ranked("n9_revenue_by_state", "state_value", "revenue DESC, customer_state", f"customer_state, {d('revenue')}, customers", STATE_VALUE, 5)

@@ -25,16 +25,16 @@ from starloom.operators.ordering import ntile, ordered, top_k
 from starloom.plans import analysis, audit, clean, metrics, publish
 from starloom.plans import star as builders
 from starloom.schemas import star_columns
-from starloom.sources.extracts import read_extracts
-from starloom.sources.sql import run_query
-from starloom.workload.feed import FEED_CALENDAR, feed_views, line_amounts, raw_feed
+from starloom.plans.run import run
+from starloom.sources.extracts import read_extracts, read_staging, write_staging
+from starloom.sources.sql import run_query, run_suite
+from starloom.workload.feed import feed_views, line_amounts, raw_feed
 from starloom.workload.live import live_raw, live_star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-SPINE = (dt.date(1995, 1, 1), dt.date(2001, 12, 1))
 SPLIT_KEY = 19980701
 
 
@@ -93,9 +93,43 @@ def _(spark, sf_dir):
                           "review_comment_message", "review_creation_date", "review_answer_timestamp")
 
 
+@register("a2_extract_with_bom")
+def _(spark, sf_dir):
+    folder = f"{shared_folder(spark)}/starloom/{spark.sparkContext.applicationId}/extracts-{uuid.uuid4().hex}"
+    orders = raw_feed(spark, sf_dir)["orders"]
+    marked = orders.withColumnRenamed(orders.columns[0], "\ufeff" + orders.columns[0])  # each file then begins with the mark
+    marked.write.option("header", True).option("escape", '"').csv(f"{folder}/retail_orders_dataset.csv")
+    return read_extracts(spark, folder)["orders"].groupBy("order_status").agg(F.count(F.lit(1)).alias("orders"), F.min("order_id").alias("first_order"))
+
+
+@register("a6_full_refresh")
+def _(spark, sf_dir):
+    """A second refresh replaces the first: the live version holds the feed, once."""
+    folder = f"{shared_folder(spark)}/starloom/{spark.sparkContext.applicationId}/refresh-{uuid.uuid4().hex}"
+    raw = {name: raw_feed(spark, sf_dir)[name] for name in ("orders", "order_payments", "sellers")}
+    write_staging(spark, {name: df.unionByName(df) for name, df in raw.items()}, folder)
+    write_staging(spark, raw, folder)
+    live = read_staging(spark, folder)
+    return publish.version_rows({name: live[name] for name in raw})
+
+
+@register("a14_staged_run")
+def _(spark, sf_dir):
+    """All stages from CSV extracts to the report; its check rows by status."""
+    home = f"{shared_folder(spark)}/starloom/{spark.sparkContext.applicationId}/run-{uuid.uuid4().hex}"
+    raw = raw_feed(spark, sf_dir)
+    for name in raw:
+        suffix = "" if name.endswith("translation") else "_dataset"
+        raw[name].write.option("header", True).option("escape", '"').csv(f"{home}/extracts/retail_{name}{suffix}.csv")
+    report = run(spark, f"{home}/extracts", home)
+    rows = [(c.check_no, c.name, c.total_evaluated, c.failed_count, c.status) for c in report.checks]
+    return spark.createDataFrame(rows, "check_no int, name string, total_evaluated bigint, failed_count bigint, status string")
+
+
 @register("a4_extract_row_counts")
 def _(spark, sf_dir):
-    written = ["customers", "orders", "order_items", "order_payments", "products", "sellers", "product_category_name_translation"]
+    written = ["customers", "orders", "order_items", "order_payments", "products", "sellers", "geolocation",
+               "product_category_name_translation"]
     raw = _csv_extracts(spark, sf_dir, written)
     return publish.version_rows(raw)
 
@@ -136,8 +170,11 @@ def _(spark, sf_dir):
 
 @register("a13_sql_suite")
 def _(spark, sf_dir):
-    text = (Path(__file__).parent.parent / "sql" / "staging_tests.sql").read_text(encoding="utf-8")
-    return run_query(spark, text, tables=feed_views(spark, sf_dir))
+    suite = Path(__file__).parent.parent / "sql" / "staging_tests.sql"
+    result = run_suite(spark, "staging", suite, feed_views(spark, sf_dir))
+    if result.error:
+        raise RuntimeError(result.error)
+    return spark.createDataFrame(result.tests, "test_name string, failed_rows bigint")
 
 
 # --- B: projections, casts, predicates ----------------------------------------------------------------
@@ -230,8 +267,9 @@ def _(spark, sf_dir):
 
 @register("d10_calendar_gaps")
 def _(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F"))
-    return calendars.missing_days(orders.select(F.to_date("o_orderdate").alias("day")).distinct(), "day")
+    groups = [F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status")]
+    days = table(spark, sf_dir, "orders").select(*groups, F.to_date("o_orderdate").alias("day")).distinct()
+    return calendars.missing_days(days, "day", ["priority", "status"])
 
 
 # --- E: aggregations --------------------------------------------------------------------------------------
@@ -299,8 +337,8 @@ def _(spark, sf_dir):
     return top_k(values, [F.desc("total_sales"), F.asc("order_id")], 10)
 
 
-on_star("g4_violation_extract", lambda star: _violations(star, "Mandatory Column Not Null: fact_sales.price").select("price").agg(
-    F.count(F.lit(1)).alias("violations")))
+on_star("g4_violation_extract", lambda star: _violations(star, "Mandatory Column Not Null: fact_sales.price").join(
+    star["fact_sales"].select("sales_key", "order_id", "order_item_id"), "sales_key").select("order_id", "order_item_id", "price"))
 on_star("g5_categories_by_name", lambda star: metrics.top_categories(star, "name", None))
 on_star("g5_categories_by_quantity", lambda star: metrics.top_categories(star, "quantity", 10))
 
@@ -372,12 +410,12 @@ on_views("j8_reviews_latest", lambda v: v["vw_order_reviews_latest"])
 
 @register("j9_fact_sales")
 def _(spark, sf_dir):
-    return builders.build_lazy(spark, feed_views(spark, sf_dir), FEED_CALENDAR)["fact_sales"]
+    return builders.build_lazy(spark, feed_views(spark, sf_dir))["fact_sales"]
 
 
 @register("j10_fact_order_fulfillment")
 def _(spark, sf_dir):
-    return builders.build_lazy(spark, feed_views(spark, sf_dir), FEED_CALENDAR)["fact_order_fulfillment"]
+    return builders.build_lazy(spark, feed_views(spark, sf_dir))["fact_order_fulfillment"]
 
 
 on_star("j10_published_fulfillment", lambda star: star["fact_order_fulfillment"].select(*star_columns("fact_order_fulfillment")[1:]))
@@ -428,7 +466,7 @@ on_views("k27_staging_tests", audit.staging_tests)
 # --- L, M: served metrics --------------------------------------------------------------------------------------
 
 on_star("l1_total_revenue", metrics.total_revenue)
-on_star("l2_monthly_revenue", lambda star: metrics.monthly_revenue(star, *SPINE))
+on_star("l2_monthly_revenue", metrics.monthly_revenue)
 on_star("l3_total_orders", metrics.total_orders)
 on_star("l4_delivery_success", metrics.delivery_success)
 on_star("l5_orders_by_weekday", metrics.orders_by_weekday)
@@ -464,6 +502,8 @@ on_star("n7_score_distribution", analysis.score_distribution)
 on_star("n7_on_time_by_purchase_month", analysis.on_time_trend)
 on_star("n7_on_time_by_delivery_month", lambda star: analysis.on_time_trend(star, "delivered_date_key"))
 on_star("n8_sales_growth", analysis.sales_growth)
+on_star("n8_sales_by_year", lambda star: analysis.sales_by(star, "year"))
+on_star("n8_sales_by_day", lambda star: analysis.sales_by(star, "day"))
 on_star("n8_sales_by_quarter", lambda star: analysis.sales_by(star, "quarter"))
 on_star("n8_sales_by_weekend", lambda star: analysis.sales_by(star, "weekend"))
 on_star("n8_peak_days", analysis.peak_periods)

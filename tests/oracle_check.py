@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -49,7 +50,7 @@ def duck_rows(con, sql: str) -> tuple[list[str], dict[str, str], list[tuple[str,
     return names, types, sorted(tuple(normal(v) for v in row) for row in rows)
 
 
-SAME_TYPE = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+SAME_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def compare(spark, con, name: str, query, sql: str, sf_dir: str) -> list[str]:
@@ -77,7 +78,8 @@ def main() -> int:
     import __spark_entry__ as entry
 
     sf_dir, only = sys.argv[1], sys.argv[2:]
-    spark = session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    spark = session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
+                                              "spark.checkpoint.dir": tempfile.mkdtemp(prefix="starloom-check-")})
     spark.sparkContext.setLogLevel("ERROR")
     con, twins, bad = duck(sf_dir), entry.oracle_sql(), 0
     for name, query in entry.queries().items():

@@ -207,5 +207,26 @@ def test_source_reconciliation(spark):
 
 def test_status_note(good):
     star = change(good, FOF, "fulfillment_key <= 3", order_status="shipped")
-    assert audit.status_note(star) == "Distinct values: 'delivered': 7, 'shipped': 3"
-    assert audit.status_note(star, k=1) == "Distinct values: 'delivered': 7, ..."
+    note = next(r.notes for r in audit.check_results(star, ["rules"]).collect() if r.check_no == 55)
+    assert note == "Distinct values: 2, with their counts in business_order_status_counts.csv"
+    assert {r.order_status: r.order_count for r in audit.status_counts(star).collect()} == {"delivered": 7, "shipped": 3}
+
+
+def test_check_sets_read_facts_few_times(spark, good, tmp_path):
+    star = {}
+    for name, df in good.items():  # stored, so that the plan shows scans
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+        star[name] = spark.read.schema(df.schema).parquet(f"{tmp_path}/{name}")
+    raw = {t: spark.createDataFrame([], "order_id string, order_item_id string") for t in ("order_items", "orders")}
+    for df, most in ((audit.check_results(star), 4), (audit.warehouse_tests(star), 3), (audit.prepublish(raw, star), 3)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        for key in ("sales_key", "fulfillment_key"):
+            assert 1 <= plan.count(f"Relation [{key}#") <= most, (key, plan.count(f"Relation [{key}#"))
+
+
+def test_reports_hold_every_orphan(spark, good, tmp_path):
+    lost = good["fact_sales"].limit(1).drop("customer_key").crossJoin(spark.range(12_000).select((-F.col("id") - 1).alias("customer_key")))
+    star = {**good, "fact_sales": good["fact_sales"].unionByName(lost.select(*good["fact_sales"].columns))}
+    name = audit.generated("fk", "fact_sales", "customer_key", "dim_customer")[0]
+    audit.write_reports(star, {name}, str(tmp_path))
+    assert spark.read.option("header", True).csv(f"{tmp_path}/fk_orphans_fact_sales_customer_key.csv").count() == 12_000

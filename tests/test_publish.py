@@ -87,6 +87,8 @@ def test_failed_audit_keeps_the_old_version(spark, tmp_path):
     with pytest.raises(publish.AuditFailed) as e:
         publish.publish(spark, views, str(tmp_path), audit=lambda star: ["grain"])
     assert e.value.problems == ["grain"]
+    assert [p.name for p in tmp_path.glob("version=*")] == [before.rsplit("/", 1)[1]]  # nothing of the failed version stays
+    assert not list(tmp_path.glob("version=*/_scratch*"))
     assert current_version(spark, str(tmp_path)) == before
 
 
@@ -110,7 +112,7 @@ def test_gate_explains_missing_items(spark):
     star["fact_order_fulfillment"] = star["fact_order_fulfillment"].withColumn("fulfillment_key", F.lit(1))
     problems = audit.prepublish_gate(raw)(star)
     assert "every eligible item is loaded: 1" in problems
-    assert "1 items reference nonexistent orders" in problems and "2 items have missing order_id/order_item_id" in problems
+    assert "lost items of orders that the order extract does not hold: 1" in problems and "lost items without an order or an item number: 2" in problems
 
 
 def test_old_versions_retire(spark, tmp_path):

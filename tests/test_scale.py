@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from starloom.operators.dedup import latest_row, modal_row
-from starloom.operators.joins import orphan_counts, orphan_rows, rollup_via
+from starloom.operators.joins import key_counts, orphan_rows, rollup_via
 from starloom.operators.keys import dense_keys, row_keys
 from starloom.operators.ordering import ntile, ordered, top_k
 from starloom.plans.clean import clean_views
 from starloom.plans.star import build_lazy
-from starloom.workload.feed import FEED_CALENDAR, raw_feed
+from starloom.workload.feed import raw_feed
+from starloom.workload.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -37,9 +38,9 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_shape(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SMALL))
+    plan = plan_of(QUERIES[name](spark, SMALL))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
     assert not has_whole_window(plan) or name in WHOLE_WINDOWS
@@ -111,10 +112,12 @@ def test_rollup_and_orphans_with_a_hot_key(spark, hot_rows):
             sums[k % 4] += v
     out = rollup_via(fact, "k", {"s": F.sum("v")}, dim, ["g"]).groupBy("g").agg(F.sum("s").alias("s"))
     assert {r.g: r.s for r in out.collect()} == dict(sums)
-    counts = orphan_counts(fact, {"k": "k", "same": "k"}, dim, "k").collect()
+    counts = key_counts(fact, {"k": ("k", "d"), "same": ("k", "d"), "alone": ("k", None)}, {"d": (dim, "k")}).collect()
     present = sum(1 for k, *_ in hot_rows if k % 7)
     lost = sum(1 for k, *_ in hot_rows if k % 7 and k >= 300)
-    assert sorted((r.fk, r.evaluated, r.orphans) for r in counts) == [("k", present, lost), ("same", present, lost)]
+    missing, distinct = len(hot_rows) - present, len({k for k, *_ in hot_rows if k % 7})
+    assert sorted(tuple(r) for r in counts) == [
+        ("alone", present, missing, distinct, 0), ("k", present, missing, distinct, lost), ("same", present, missing, distinct, lost)]
     assert orphan_rows(fact, "k", dim, "k").count() == lost
 
 
@@ -172,8 +175,8 @@ def test_row_keys_are_dense_over_many_files(spark, hot_rows):
 def test_star_does_not_depend_on_input_order(spark):
     raw = raw_feed(spark, SMALL)
     mixed = {t: raw[t].repartition(5).sortWithinPartitions(F.rand(3)) for t in raw}
-    a = build_lazy(spark, clean_views(raw), FEED_CALENDAR)
-    b = build_lazy(spark, clean_views(mixed), FEED_CALENDAR)
+    a = build_lazy(spark, clean_views(raw))
+    b = build_lazy(spark, clean_views(mixed))
     for table in a:
         assert a[table].exceptAll(b[table]).isEmpty() and b[table].exceptAll(a[table]).isEmpty()
 
@@ -188,7 +191,7 @@ def test_star_with_a_hot_customer_product_and_order(spark):
         raw["order_items"].withColumn("order_item_id", F.when(hot, F.row_number().over(_by_all())).otherwise(F.col("order_item_id")).cast("string"))
         .withColumn("product_id", F.when(hot, "11").otherwise(F.col("product_id"))).withColumn("order_id", F.when(hot, "3").otherwise(F.col("order_id"))))
     raw["order_payments"] = raw["order_payments"].withColumn("order_id", F.when(hot, "3").otherwise(F.col("order_id")))
-    star = build_lazy(spark, clean_views(raw), FEED_CALENDAR)
+    star = build_lazy(spark, clean_views(raw))
     items = raw["order_items"].toPandas()
     sales = star["fact_sales"].toPandas()
     assert len(sales) == len(items) and sales.order_id.value_counts()["3"] == (items.order_id == "3").sum()

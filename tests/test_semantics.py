@@ -12,9 +12,10 @@ from small_shop import by, raw_shop
 from starloom.functions import blank_to_null, calendar_key, date_key, days_between, exact_avg, hours_between, not_blank, pct, place_label, title_case, typed
 from starloom.operators.calendar import day_spine, gap_fill, missing_days, month_spine
 from starloom.operators.dedup import duplicate_keys, latest_row, modal_row
-from starloom.plans import metrics
+from starloom.plans import analysis, metrics
 from starloom.plans.clean import clean_views
-from starloom.plans.star import Calendar, build_lazy, dim_date, role_keys, role_keys_by_join
+from starloom.schemas import star_schema
+from starloom.plans.star import Calendar, build_lazy, calendar_of, dim_date, role_keys, role_keys_by_join
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +25,7 @@ def views(spark):
 
 @pytest.fixture(scope="module")
 def star(spark, views):
-    return build_lazy(spark, views)
+    return build_lazy(spark, views, Calendar(dt.date(2016, 1, 1), dt.date(2019, 12, 31)))
 
 
 def one(spark, expr):
@@ -161,8 +162,8 @@ def test_calendar_key_range(spark):
     assert one(spark, key) == 20191231
 
 
-def test_default_calendar(spark):
-    days = dim_date(spark)
+def test_calendar_days(spark):
+    days = dim_date(spark, Calendar(dt.date(2016, 1, 1), dt.date(2019, 12, 31)))
     assert days.count() == 1461
     r = days.filter("date_key = 20170101").first()
     assert (r.day_of_week, r.day_name, r.is_weekend, r.week_of_year, r.month_name, r.quarter) == (1, "Sunday", True, 52, "January", 1)
@@ -211,8 +212,43 @@ def test_unknown_flag_is_late_and_day_limit_comes_before_rounding(spark):
     rows = [("1920.00", True, 5), ("1920.01", True, 5), ("11.99", None, 3), ("12.00", False, 4), ("100.00", True, None)]
     fof = spark.createDataFrame(rows, "h string, is_on_time boolean, review_score int").select(
         F.col("h").cast("decimal(8,2)").alias("total_fulfillment_hours"), "is_on_time", "review_score")
-    out = {(r.delivery_status, int(r.delivery_day)): r.order_count for r in metrics.delivery_day_vs_review({"fact_order_fulfillment": fof}).collect()}
+    out = {(r.delivery_status, int(r.delivery_day)): r.order_count for r in metrics.delivery_day_vs_review({"fact_order_fulfillment": fof}, 80).collect()}
     assert out == {("On Time", 80): 1, ("Late", 0): 1, ("Late", 1): 1}
+    assert sum(r.order_count for r in metrics.delivery_day_vs_review({"fact_order_fulfillment": fof}).collect()) == 4
+    assert sum(r.order_count for r in metrics.on_time_vs_late({"fact_order_fulfillment": fof}, 80).collect()) == 3
+
+
+def sales_star(spark, sold):
+    """A star of sales on given days, with the calendar their years need."""
+    days = sorted(sold)
+    calendar = dim_date(spark, Calendar(dt.date(days[0].year, 1, 1), dt.date(days[-1].year, 12, 31)))
+    rows = [(i, f"o{i}", 1, 1, 1, 1, int(f"{d:%Y%m%d}"), D(v), D("0.00"), D(v)) for i, (d, v) in enumerate(sorted(sold.items()))]
+    return {"dim_date": calendar, "fact_sales": spark.createDataFrame(rows, star_schema("fact_sales"))}
+
+
+def test_month_spine_takes_whole_months(spark):
+    star = sales_star(spark, {dt.date(2017, 1, 2): "10.00", dt.date(2017, 3, 30): "5.00", dt.date(2017, 5, 1): "7.00"})
+    out = {r.year_month: r.total_revenue for r in metrics.monthly_revenue(star, dt.date(2017, 1, 15), dt.date(2017, 3, 15)).collect()}
+    assert out == {"2017-01": D("10.00"), "2017-02": D("0.00"), "2017-03": D("5.00")}
+    assert len(metrics.monthly_revenue(star).collect()) == 12
+
+
+def test_growth_compares_with_the_month_before(spark):
+    star = sales_star(spark, {dt.date(2017, 1, 2): "100.00", dt.date(2017, 4, 2): "200.00", dt.date(2017, 5, 2): "300.00", dt.date(2018, 4, 2): "50.00"})
+    out = {(r.year, r.month): (r.mom_growth_pct, r.yoy_growth_pct) for r in analysis.sales_growth(star).collect()}
+    assert out == {(2017, 1): (None, None), (2017, 4): (None, None), (2017, 5): (D("50.00"), None), (2018, 4): (None, D("-75.00"))}
+
+
+def test_calendar_comes_from_the_orders(spark):
+    orders = clean_views(raw_shop(spark))["vw_orders"]
+    late = orders.filter("order_id = 'o1'").select(*[
+        F.lit("late").alias(c) if c == "order_id" else (F.col(c) + F.expr("INTERVAL 12 YEARS")).alias(c) if c == "order_purchase_timestamp" else F.col(c)
+        for c in orders.columns])
+    found = calendar_of(orders.unionByName(late))
+    purchase = late.first()["order_purchase_timestamp"].date()
+    assert found.first < purchase <= found.last
+    assert calendar_of(orders, Calendar(dt.date(2000, 1, 1))).first == dt.date(2000, 1, 1)
+    assert calendar_of(orders.filter("false")) == Calendar(dt.date(1970, 1, 1), dt.date(1970, 1, 1))
 
 
 def test_empty_facts(star):
