@@ -33,4 +33,4 @@ def test_comparison_notices_a_cent(spark, con):
 
 
 def test_entry_runs(spark):
-    assert entry.entry(spark).count() == 84
+    assert entry.entry(spark).count() == 81
