@@ -38,7 +38,7 @@ def key_counts(table: DataFrame, columns: dict[str, tuple[str, str | None]], dim
             part = dim.select(F.lit(name).alias("k_dim"), F.col(pk).cast("bigint").alias("k_value")).distinct()
             keys = part if keys is None else keys.unionByName(part)
         counts = counts.join(keys, (F.col("value") == F.col("k_value")) & (F.col("dim") == F.col("k_dim")), "left")
-        matched = F.col("k_value").isNotNull()
+        matched = F.col("k_value").isNotNull() | (F.col("dim") == "")  # a column without a dimension has no orphans
     present = F.col("value").isNotNull()
     totals = counts.groupBy("label").agg(
         F.sum(F.when(present, F.col("n"))).alias("present"), F.sum(F.when(~present, F.col("n"))).alias("nulls"),
