@@ -142,7 +142,8 @@ def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str =
     sent = spark.sparkContext.broadcast(idf)
 
     def centroids(key, frame):
-        parts = [weighted(counts_of(frame["text"].iloc[low:high].tolist(), dims), sent.value) for low, high in slices(frame["text"].tolist())]
+        texts = sorted(frame["text"])  # rows arrive in any order, and clustering starts from the first
+        parts = [weighted(counts_of(texts[low:high], dims), sent.value) for low, high in slices(texts)]
         v = np.concatenate(parts)
         v = v[v.any(axis=1)]
         centres, least = clustered(v, clusters) if len(v) else (np.zeros((0, dims), np.float32), np.zeros(0))

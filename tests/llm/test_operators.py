@@ -139,6 +139,12 @@ def test_languages_on_held_out_documents(spark, docs):
     assert not any(r["rejected"] for r in held)
 
 
+def test_language_fit_does_not_depend_on_the_order_of_rows(spark, docs):
+    models = [language.fit(docs.repartition(n).sortWithinPartitions(order), language.fold() != 1) for n, order in ((1, F.asc("doc_id")), (5, F.desc("doc_id")))]
+    assert models[0].languages == models[1].languages
+    assert (models[0].centres == models[1].centres).all() and (models[0].least == models[1].least).all()
+
+
 def test_language_labels_are_no_input(spark, docs):
     model = language.fit(docs, language.fold() != 1)
     one = {(r["doc_id"], r["score"]) for r in language.identify(docs, model).collect()}
