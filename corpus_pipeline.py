@@ -13,6 +13,7 @@ from starloom.llm import exact, language, mixing, nearcopies, packing
 from starloom.operators.durable import durable
 
 TOKENIZER = "word_bpe_49k.json"
+NEAR_WIDTH, NEAR_PERCENT = 5, 80  # the stage's own; the query op8_near_copies has 3 and 85
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +27,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
-    return nearcopies.without_near_copies(docs)
+    """Of each group of near copies, at a similarity of NEAR_PERCENT / 100 over shingles of NEAR_WIDTH words, the document with the smallest id stays."""
+    return nearcopies.without_near_copies(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,13 +1,14 @@
 """Near copies by MinHash with tensored tables: a table's key joins one key of each of two small collections.
 
-A document gets KEYS keys in collection A and KEYS in collection B, each made of ROWS MinHash values. Table (i, j) is
+A document gets KEYS keys (20, or more for a lower threshold; see keys_for) in collection A and KEYS in collection B, each made of ROWS MinHash values. Table (i, j) is
 keyed by (A_i, B_j), so 2 * KEYS * ROWS hash functions serve KEYS^2 tables of 2 * ROWS values each. At similarity s a
-pair meets in some table with probability (1 - (1 - s^ROWS)^KEYS)^2: with 5 and 20 that is 0.99998 at 0.85.
+pair meets in some table with probability (1 - (1 - s^ROWS)^KEYS)^2: 0.99998 with 5 and 20 at 0.85, and with 5 and 30 at 0.8.
 Every link is confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import numpy as np
@@ -22,18 +23,37 @@ from starloom.llm.batches import text_slices
 from starloom.llm.components import components
 from starloom.operators.durable import durable
 
-KEYS, ROWS = 20, 5
-WIDTH = 3  # words of a shingle
-PERCENT = 85  # least similarity of a link
+KEYS, ROWS = 20, 5  # KEYS at PERCENT
+WIDTH = 3  # words of a shingle, if not given
+PERCENT = 85  # least similarity of a link, if not given
 BIT_WORDS, PLANES = 3, 3  # 3 bits of each of 64 * 3 MinHash values, plane by plane, for a first comparison
-#: Most values whose bits differ, of a pair that is compared in full. At similarity s they differ with probability (1 - s) * 7 / 8, so
-#: of 192 about 25 do at 0.85, with standard deviation 4.7: a linked pair exceeds 46 in about 1 of 10^5 cases at worst.
-MOST_DIFFERENT = 46
-#: The second comparison: 2 bits of each of 64 * 16 further values, for the few nodes that get so far. Of 1024 about 115 differ at
-#: 0.85, with standard deviation 10: a linked pair exceeds 160 in about 1 of 10^5 cases at worst.
-LONG_WORDS, LONG_PLANES, MOST_LONG = 16, 2, 160
+LONG_WORDS, LONG_PLANES = 16, 2  # the second comparison: 2 bits of each of 64 * 16 further values, for the few nodes that get so far
+LOST = 1e-5  # share of the links at exactly the threshold that a comparison may lose
 MEMBERS = 128  # documents compared with one hub in one group
 
+
+def keys_for(percent: int) -> int:
+    """Keys of a collection with which a pair at the threshold meets as surely as with KEYS at PERCENT."""
+    missed = (1 - (PERCENT / 100) ** ROWS) ** KEYS
+    return max(KEYS, math.ceil(math.log(missed) / math.log1p(-((percent / 100) ** ROWS)))) if percent < 100 else KEYS
+
+
+def most_differing(values: int, planes: int, percent: int) -> int:
+    """Most of so many values that differ in some of their bits, of a pair that is compared in full.
+
+    At similarity s a value's bits differ with probability (1 - s) * (1 - 2^-planes). The limit is the least one that a pair at the threshold
+    exceeds with a probability of at most LOST, by the binomial distribution; more similar pairs exceed it less often.
+    """
+    p = (1 - percent / 100) * (1 - 0.5 ** planes)
+    tail = 0.0
+    for k in range(values, 0, -1):
+        tail += math.exp(math.lgamma(values + 1) - math.lgamma(k + 1) - math.lgamma(values - k + 1) + k * math.log(p) + (values - k) * math.log1p(-p)) if p else 0.0
+        if tail > LOST:
+            return k
+    return 0
+
+
+MOST_KEYS = 64  # of a collection, which serves thresholds from 0.7 on
 _rng = np.random.default_rng(20240501)
 _MULT = _rng.integers(1, 1 << 32, 2 * KEYS * ROWS, dtype=np.uint32) | np.uint32(1)
 _XOR = _rng.integers(0, 1 << 32, 2 * KEYS * ROWS, dtype=np.uint32)
@@ -42,6 +62,13 @@ _LONG_XOR = _rng.integers(0, 1 << 32, 64 * LONG_WORDS, dtype=np.uint32)
 _JOIN = _rng.integers(1, 1 << 63, (2 * KEYS, ROWS), dtype=np.uint64) | np.uint64(1)
 _PLACE = _rng.integers(1, 1 << 63, WIDTH, dtype=np.uint64) | np.uint64(1)
 _SHORT = _rng.integers(1, 1 << 63, WIDTH + 1, dtype=np.uint64)
+MOST_WIDTH = 16
+_more = np.random.default_rng(20240502)  # for further keys and wider shingles
+_MULT = np.r_[_MULT, _more.integers(1, 1 << 32, 2 * (MOST_KEYS - KEYS) * ROWS, dtype=np.uint32) | np.uint32(1)]
+_XOR = np.r_[_XOR, _more.integers(0, 1 << 32, 2 * (MOST_KEYS - KEYS) * ROWS, dtype=np.uint32)]
+_JOIN = np.r_[_JOIN, _more.integers(1, 1 << 63, (2 * (MOST_KEYS - KEYS), ROWS), dtype=np.uint64) | np.uint64(1)]
+_PLACE = np.r_[_PLACE, _more.integers(1, 1 << 63, MOST_WIDTH - WIDTH, dtype=np.uint64) | np.uint64(1)]
+_SHORT = np.r_[_SHORT, _more.integers(1, 1 << 63, MOST_WIDTH - WIDTH, dtype=np.uint64)]
 
 
 def _mixed(x: np.ndarray, by: int = 0xBF58476D1CE4E5B9) -> np.ndarray:
@@ -50,20 +77,20 @@ def _mixed(x: np.ndarray, by: int = 0xBF58476D1CE4E5B9) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
-def shingles(text: str | None) -> np.ndarray:
+def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles; of its whole word sequence if that is shorter than one."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # both only for ASCII
     w = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     if len(w) == 0:
         return w
-    width = min(WIDTH, len(w))
+    width = min(width, len(w))
     total = np.zeros(len(w) - width + 1, np.uint64)
     for k in range(width):
         total += w[k:len(w) - width + 1 + k] * _PLACE[k]
     return np.unique(_mixed(total + _SHORT[width]))
 
 
-def minima(sets: list[np.ndarray], mult: np.ndarray = _MULT, xor: np.ndarray = _XOR) -> np.ndarray:
+def minima(sets: list[np.ndarray], mult: np.ndarray, xor: np.ndarray) -> np.ndarray:
     """The MinHash values of each (non-empty) set, a row per set."""
     out = np.empty((len(sets), len(mult)), np.uint32)
     for i, s in enumerate(sets):
@@ -94,25 +121,29 @@ def _lengthened(batches):
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *[pa.array(words[:, k].copy()) for k in range(len(LONG))]], names=["node", "common", *LONG])
 
 
-def _sketch(batches):
-    for batch in batches:
-        ids = batch.column(0)
-        for low, texts in text_slices(batch.column(1)):
-            sets = [shingles(t) for t in texts]
-            size = np.array([len(s) for s in sets], np.int64)
-            full = np.flatnonzero(size)
-            keys, bits, names = np.zeros((len(sets), 2 * KEYS), np.int64), np.zeros((len(sets), len(BITS)), np.int64), [b""] * len(sets)
-            if len(full):
-                least = minima([sets[i] for i in full])
-                joined = (least.reshape(len(full), 2 * KEYS, ROWS).astype(np.uint64) * _JOIN).sum(axis=2) + np.arange(2 * KEYS, dtype=np.uint64)
-                keys[full] = _mixed(joined).view(np.int64)
-                bits[full] = planes_of(least[:, :64 * BIT_WORDS], PLANES)
-            for i in full:
-                names[i] = np.array([_mixed(sets[i]).sum(), _mixed(sets[i], 0xD6E8FEB86659FD93).sum()], np.uint64).tobytes()
-            a, b = (pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(k).ravel()), KEYS).cast(pa.list_(pa.int64())) for k in (keys[:, :KEYS], keys[:, KEYS:]))
-            yield pa.RecordBatch.from_arrays(
-                [ids.slice(low, len(texts)), pa.array(size), pa.array(names, pa.binary()), a, b, *[pa.array(bits[:, k].copy()) for k in range(len(BITS))]],
-                names=["doc_id", "n", "name", "a", "b", *BITS])
+def _sketch(width: int, keys: int):
+    """Size, name, keys and bits of (doc_id, text) rows."""
+    def run(batches):
+        for batch in batches:
+            ids = batch.column(0)
+            for low, texts in text_slices(batch.column(1)):
+                sets = [shingles(t, width) for t in texts]
+                size = np.array([len(s) for s in sets], np.int64)
+                full = np.flatnonzero(size)
+                found, bits, names = np.zeros((len(sets), 2 * keys), np.int64), np.zeros((len(sets), len(BITS)), np.int64), [b""] * len(sets)
+                if len(full):
+                    least = minima([sets[i] for i in full], _MULT[:2 * keys * ROWS], _XOR[:2 * keys * ROWS])
+                    joined = (least.reshape(len(full), 2 * keys, ROWS).astype(np.uint64) * _JOIN[:2 * keys]).sum(axis=2) + np.arange(2 * keys, dtype=np.uint64)
+                    found[full] = _mixed(joined).view(np.int64)
+                    bits[full] = planes_of(least[:, :64 * BIT_WORDS], PLANES)
+                for i in full:
+                    names[i] = np.array([_mixed(sets[i]).sum(), _mixed(sets[i], 0xD6E8FEB86659FD93).sum()], np.uint64).tobytes()
+                a, b = (pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(k).ravel()), keys).cast(pa.list_(pa.int64())) for k in (found[:, :keys], found[:, keys:]))
+                yield pa.RecordBatch.from_arrays(
+                    [ids.slice(low, len(texts)), pa.array(size), pa.array(names, pa.binary()), a, b, *[pa.array(bits[:, k].copy()) for k in range(len(BITS))]],
+                    names=["doc_id", "n", "name", "a", "b", *BITS])
+
+    return run
 
 
 BITS = [f"bits{k}" for k in range(PLANES * BIT_WORDS)]
@@ -127,13 +158,13 @@ def _differing(x: str, y: str, columns: list[str], words: int) -> Column:
     return sum((F.bit_count(reduce(Column.bitwiseOR, xor[k::words])) for k in range(words)), F.lit(0))
 
 
-def _alike(x: str, y: str) -> Column:
+def _alike(x: str, y: str, percent: int) -> Column:
     """Whether two rows' sizes allow a link and their bits suggest one."""
-    sizes = (F.least(f"{x}.n", f"{y}.n") * 100 >= F.greatest(f"{x}.n", f"{y}.n") * PERCENT)
-    return sizes & (_differing(x, y, BITS, BIT_WORDS) <= MOST_DIFFERENT)
+    sizes = (F.least(f"{x}.n", f"{y}.n") * 100 >= F.greatest(f"{x}.n", f"{y}.n") * percent)
+    return sizes & (_differing(x, y, BITS, BIT_WORDS) <= most_differing(64 * BIT_WORDS, PLANES, percent))
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (hub, node) whose full sets are similar enough. A hub's set travels once for MEMBERS of its pairs."""
     groups = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("groups"))
     one = pairs.join(groups, "hub").withColumn("part", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int"))
@@ -149,7 +180,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for other in left["hashes"]:
             at = np.searchsorted(own, other)
             both = int((own[np.minimum(at, len(own) - 1)] == other).sum())
-            linked.append(100 * both >= PERCENT * (len(own) + len(other) - both))
+            linked.append(100 * both >= percent * (len(own) + len(other) - both))
         found = left[linked]
         return pd.DataFrame({"u": found["hub"], "v": found["node"]})
 
@@ -157,10 +188,10 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return members.groupBy("hub", "part").cogroup(hubs.groupBy("h_hub", "h_part")).applyInPandas(check, f"u {kind}, v {kind}").distinct()
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
-    Two documents are linked if their shingle sets have a similarity of PERCENT / 100 or more. component_id is the
+    Two documents are linked if their sets of shingles of `width` words have a similarity of percent / 100 or more. component_id is the
     smallest id reachable over links; the row with that id is kept. A text without words has no shingles, is linked with
     nothing and is its own component. A row with a null id takes no part: its component is null and it is kept. Rows with
     equal sets are one node, named by their smallest id, so copies are never paired. An empty table gives no rows.
@@ -173,12 +204,15 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
        components that no earlier step compared are confirmed. The filters before a confirmation, set sizes,
        own shingles and sketches, leave linked pairs in. Nothing caps buckets or partners.
     """
+    keys = keys_for(percent)
+    if not (1 <= width <= MOST_WIDTH and percent <= 100 and keys <= MOST_KEYS):
+        raise ValueError("shingles or threshold out of range")
     kind = docs.schema[id_col].dataType
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("n", T.LongType()), T.StructField("name", T.BinaryType()),
                            T.StructField("a", T.ArrayType(T.LongType())), T.StructField("b", T.ArrayType(T.LongType())),
                            *[T.StructField(b, T.LongType()) for b in BITS]])
-    sketched = durable(slim.mapInArrow(_sketch, schema), "near-sketch")
+    sketched = durable(slim.mapInArrow(_sketch(width, keys), schema), "near-sketch")
     usable = sketched.where("n > 0 AND doc_id IS NOT NULL")
     classes = durable(usable.groupBy("name").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies")), "near-classes")
     nodes = durable(usable.join(classes.select(F.col("name").alias("c_name"), "node"), (F.col("name") == F.col("c_name")) & (F.col("doc_id") == F.col("node")))
@@ -189,20 +223,20 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     hits = durable(rows.join(shared, "a_key").join(nodes.select("node", "n", *BITS), "node"), "near-hits")
     meetings = hits.groupBy("node").agg(F.sum("met").alias("meetings"))
     texts = meetings.select("node").hint("shuffle_hash")
-    sets = durable(slim.join(texts, F.col("doc_id") == F.col("node")).select("node", "text").mapInArrow(_hashes, T.StructType(
+    sets = durable(slim.join(texts, F.col("doc_id") == F.col("node")).select("node", "text").mapInArrow(_hashes(width), T.StructType(
         [T.StructField("node", kind), T.StructField("hashes", T.ArrayType(T.LongType()))])), "near-sets")
 
     weighed = hits.join(meetings, "node")
     hub = weighed.groupBy("a_key").agg(F.max(F.struct("meetings", "node", "n", *BITS)).alias("h")).select(
         "a_key", F.col("h.node").alias("hub"), F.col("h.n").alias("n"), *[F.col(f"h.{b}").alias(b) for b in BITS])
     first = durable(hits.alias("x").join(hub.alias("y"), F.col("x.a_key") == F.col("y.a_key")).where(F.col("x.node") != F.col("y.hub")).where(
-        _alike("x", "y")).select(F.col("y.hub").alias("hub"), F.col("x.node").alias("node")).distinct(), "near-pairs")
-    links = durable(_confirmed(first, sets), "near-links")
+        _alike("x", "y", percent)).select(F.col("y.hub").alias("hub"), F.col("x.node").alias("node")).distinct(), "near-pairs")
+    links = durable(_confirmed(first, sets, percent), "near-links")
     joined = components(links)
 
     marked = hits.join(joined, "node", "left").select("node", "n", *BITS, "a_key", F.coalesce("component", "node").alias("component"))
     mixed = durable(_several(marked, "a_key"), "near-mixed")
-    able = _held_by_others(mixed.select("node", "n").distinct(), sets).where(F.col("common") * 100 >= F.col("n") * PERCENT).select("node", "common")
+    able = _held_by_others(mixed.select("node", "n").distinct(), sets).where(F.col("common") * 100 >= F.col("n") * percent).select("node", "common")
     able = durable(able.join(sets, "node").select("node", "common", "hashes").mapInArrow(_lengthened, T.StructType(
         [T.StructField("node", kind), T.StructField("common", T.LongType()), *[T.StructField(c, T.LongType()) for c in LONG]])).dropDuplicates(["node"]), "near-able")
     mixed = _several(mixed.join(able, "node"), "a_key")
@@ -211,10 +245,10 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # two nodes share table (i, j) if A_i and B_j agree; a pair is taken up under the least A key that it shares, so once
     first_shared = F.col("x.a_key") == F.array_min(F.array_intersect("x.a", "y.a"))
     second = tables.alias("x").join(tables.alias("y"), F.col("x.a_key") == F.col("y.a_key")).where(
-        (F.col("x.component") < F.col("y.component")) & (most * 100 >= (F.col("x.n") + F.col("y.n") - most) * PERCENT) & _alike("x", "y")
-        & (_differing("x", "y", LONG, LONG_WORDS) <= MOST_LONG) & F.arrays_overlap("x.b", "y.b") & first_shared).select(F.col("x.node").alias("hub"), F.col("y.node").alias("node"))
+        (F.col("x.component") < F.col("y.component")) & (most * 100 >= (F.col("x.n") + F.col("y.n") - most) * percent) & _alike("x", "y", percent)
+        & (_differing("x", "y", LONG, LONG_WORDS) <= most_differing(64 * LONG_WORDS, LONG_PLANES, percent)) & F.arrays_overlap("x.b", "y.b") & first_shared).select(F.col("x.node").alias("hub"), F.col("y.node").alias("node"))
     known = first.unionByName(first.select(F.col("node").alias("hub"), F.col("hub").alias("node")))
-    more = durable(_confirmed(durable(second.join(known, ["hub", "node"], "left_anti"), "near-pairs-2"), sets), "near-links-2")
+    more = durable(_confirmed(durable(second.join(known, ["hub", "node"], "left_anti"), "near-pairs-2"), sets, percent), "near-links-2")
     if not more.isEmpty():
         joined = components(links.unionByName(more))
 
@@ -226,14 +260,17 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _hashes(batches):
+def _hashes(width: int):
     """Sorted hashes of each text's shingles, as signed numbers."""
-    for batch in batches:
-        for low, texts in text_slices(batch.column(1)):
-            found = [np.sort(shingles(t).view(np.int64)) for t in texts]
-            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, len(texts)), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))],
-                                             names=["node", "hashes"])
+    def run(batches):
+        for batch in batches:
+            for low, texts in text_slices(batch.column(1)):
+                found = [np.sort(shingles(t, width).view(np.int64)) for t in texts]
+                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, len(texts)), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))],
+                                                 names=["node", "hashes"])
+
+    return run
 
 
 def _held_by_others(nodes: DataFrame, sets: DataFrame) -> DataFrame:
@@ -250,8 +287,8 @@ def _several(rows: DataFrame, key: str) -> DataFrame:
     return rows.join(ends, key, "left_semi")
 
 
-def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """The rows of docs that stay, with all their columns: of each component the document with the smallest id."""
-    gone = durable(near_copies(docs, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct(), "near-gone")
+    gone = durable(near_copies(docs, id_col, text_col, width, percent).where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct(), "near-gone")
     packed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("row_id"))
     return packed.join(gone.hint("shuffle_hash"), F.col("row_id") == F.col("gone_id"), "left_anti").select("row.*")

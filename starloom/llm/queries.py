@@ -90,7 +90,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nearcopies.near_copies(documents(spark, sf_dir))
+    return nearcopies.near_copies(documents(spark, sf_dir), width=3, percent=85)
 
 
 def op9_search(spark: SparkSession, sf_dir: str) -> DataFrame:
