@@ -28,7 +28,7 @@ WIDTH = 3  # words of a shingle, if not given
 PERCENT = 85  # least similarity of a link, if not given
 BIT_WORDS, PLANES = 3, 3  # 3 bits of each of 64 * 3 MinHash values, plane by plane, for a first comparison
 LONG_WORDS, LONG_PLANES = 16, 2  # the second comparison: 2 bits of each of 64 * 16 further values, for the few nodes that get so far
-LOST = 1e-5  # share of the links at exactly the threshold that a comparison may lose
+LOST = 4e-10  # share of the links at exactly the threshold that each of the two comparisons may lose
 MEMBERS = 128  # documents compared with one hub in one group
 
 
@@ -201,8 +201,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     2. Only nodes in A buckets that still hold several components go on. Shingles that no other of them holds are counted:
        they are in no intersection, which bounds a node's similarity to any other, and rules out most pairs of copies with
        edits of their own, however large their group. What is left meets in the tables (A_i, B_j); pairs of different
-       components that no earlier step compared are confirmed. The filters before a confirmation, set sizes,
-       own shingles and sketches, leave linked pairs in. Nothing caps buckets or partners.
+       components that no earlier step compared are confirmed. Of the filters before a confirmation,
+       set sizes and own shingles are exact bounds; the two sketches lose a linked pair with a probability below 1e-9 together.
+       The tables themselves miss one at the threshold in about 1 of 60,000 cases. Nothing caps buckets or partners.
     """
     keys = keys_for(percent)
     if not (1 <= width <= MOST_WIDTH and percent <= 100 and keys <= MOST_KEYS):

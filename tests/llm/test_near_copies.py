@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 import sys
+from fractions import Fraction
+from math import comb
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -43,3 +45,13 @@ def test_limits_of_the_comparisons_hold_at_other_thresholds():
         met = (1 - (1 - (percent / 100) ** nearcopies.ROWS) ** nearcopies.keys_for(percent)) ** 2
         assert met > 0.99998
     assert nearcopies.keys_for(85) == 20 and nearcopies.keys_for(80) == 30
+
+
+def test_comparisons_lose_less_than_one_link_in_a_billion():
+    for percent in (80, 85):
+        lost = Fraction(0)
+        for values, planes in ((64 * nearcopies.BIT_WORDS, nearcopies.PLANES), (64 * nearcopies.LONG_WORDS, nearcopies.LONG_PLANES)):
+            p = Fraction(100 - percent, 100) * (1 - Fraction(1, 2**planes))
+            most = nearcopies.most_differing(values, planes, percent)
+            lost += sum(comb(values, k) * p**k * (1 - p) ** (values - k) for k in range(most + 1, values + 1))
+        assert lost < Fraction(1, 10**9)
