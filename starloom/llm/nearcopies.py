@@ -90,6 +90,11 @@ def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     return np.unique(_mixed(total + _SHORT[width]))
 
 
+def name_of(hashes: np.ndarray) -> bytes:
+    """128 bits that stand for a (non-empty) set of shingles."""
+    return np.array([_mixed(hashes).sum(), _mixed(hashes, 0xD6E8FEB86659FD93).sum()], np.uint64).tobytes()
+
+
 def minima(sets: list[np.ndarray], mult: np.ndarray, xor: np.ndarray) -> np.ndarray:
     """The MinHash values of each (non-empty) set, a row per set."""
     out = np.empty((len(sets), len(mult)), np.uint32)
@@ -137,7 +142,7 @@ def _sketch(width: int, keys: int):
                     found[full] = _mixed(joined).view(np.int64)
                     bits[full] = planes_of(least[:, :64 * BIT_WORDS], PLANES)
                 for i in full:
-                    names[i] = np.array([_mixed(sets[i]).sum(), _mixed(sets[i], 0xD6E8FEB86659FD93).sum()], np.uint64).tobytes()
+                    names[i] = name_of(sets[i])
                 a, b = (pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(k).ravel()), keys).cast(pa.list_(pa.int64())) for k in (found[:, :keys], found[:, keys:]))
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(low, len(texts)), pa.array(size), pa.array(names, pa.binary()), a, b, *[pa.array(bits[:, k].copy()) for k in range(len(BITS))]],
@@ -194,7 +199,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Two documents are linked if their sets of shingles of `width` words have a similarity of percent / 100 or more. component_id is the
     smallest id reachable over links; the row with that id is kept. A text without words has no shingles, is linked with
     nothing and is its own component. A row with a null id takes no part: its component is null and it is kept. Rows with
-    equal sets are one node, named by their smallest id, so copies are never paired. An empty table gives no rows.
+    equal sets are one node, so copies are never paired, nor are repeats of a row. Rows with one id and different sets are
+    nodes of their own: each has its own links, and they are not linked by their id. An empty table gives no rows.
 
     1. Each node's A keys are grouped. Where several nodes share a key, the one with the most such meetings is the hub;
        pairs of hub and other nodes are confirmed, and linked nodes form preliminary components.
@@ -205,6 +211,11 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
        set sizes and own shingles are exact bounds; the two sketches lose a linked pair with a probability below 1e-9 together.
        The tables themselves miss one at the threshold in about 1 of 60,000 cases. Nothing caps buckets or partners.
     """
+    return _resolved(docs, id_col, text_col, width, percent).drop("name")
+
+
+def _resolved(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+    """near_copies with the name of each row's set."""
     keys = keys_for(percent)
     if not (1 <= width <= MOST_WIDTH and percent <= 100 and keys <= MOST_KEYS):
         raise ValueError("shingles or threshold out of range")
@@ -213,19 +224,21 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("n", T.LongType()), T.StructField("name", T.BinaryType()),
                            T.StructField("a", T.ArrayType(T.LongType())), T.StructField("b", T.ArrayType(T.LongType())),
                            *[T.StructField(b, T.LongType()) for b in BITS]])
-    sketched = durable(slim.mapInArrow(_sketch(width, keys), schema), "near-sketch")
+    sketched = durable(slim.mapInArrow(_sketch(width, keys), schema).withColumn("row", F.monotonically_increasing_id()), "near-sketch")
     usable = sketched.where("n > 0 AND doc_id IS NOT NULL")
-    classes = durable(usable.groupBy("name").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies")), "near-classes")
-    nodes = durable(usable.join(classes.select(F.col("name").alias("c_name"), "node"), (F.col("name") == F.col("c_name")) & (F.col("doc_id") == F.col("node")))
-                    .select("node", "n", *BITS, "a", "b"), "near-nodes")
+    # a node is a set, whatever the ids of its rows: the number of the first of its rows, and the smallest of their ids
+    classes = durable(usable.groupBy("name").agg(F.min("row").alias("node"), F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies")), "near-classes")
+    nodes = durable(usable.join(classes.select("node"), F.col("row") == F.col("node")).select("node", "n", *BITS, "a", "b"), "near-nodes")
 
     rows = nodes.select("node", F.explode("a").alias("a_key"))
     shared = rows.groupBy("a_key").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
     hits = durable(rows.join(shared, "a_key").join(nodes.select("node", "n", *BITS), "node"), "near-hits")
     meetings = hits.groupBy("node").agg(F.sum("met").alias("meetings"))
-    texts = meetings.select("node").hint("shuffle_hash")
-    sets = durable(slim.join(texts, F.col("doc_id") == F.col("node")).select("node", "text").mapInArrow(_hashes(width), T.StructType(
-        [T.StructField("node", kind), T.StructField("hashes", T.ArrayType(T.LongType()))])), "near-sets")
+    wanted = classes.join(meetings.select("node"), "node").select("node", "name", "least_id", (F.col("copies") > 1).alias("repeated")).hint("shuffle_hash")
+    read = durable(slim.join(wanted, F.col("doc_id") == F.col("least_id")).select("node", "text", "name", "repeated").mapInArrow(_hashes(width), T.StructType(
+        [T.StructField("node", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType())), T.StructField("repeated", T.BooleanType())])), "near-read")
+    once = durable(read.where("repeated").select("node", "hashes").dropDuplicates(["node"]), "near-once")  # rows may repeat with their ids
+    sets = read.where("NOT repeated").select("node", "hashes").unionByName(once)
 
     weighed = hits.join(meetings, "node")
     hub = weighed.groupBy("a_key").agg(F.max(F.struct("meetings", "node", "n", *BITS)).alias("h")).select(
@@ -239,7 +252,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     mixed = durable(_several(marked, "a_key"), "near-mixed")
     able = _held_by_others(mixed.select("node", "n").distinct(), sets).where(F.col("common") * 100 >= F.col("n") * percent).select("node", "common")
     able = durable(able.join(sets, "node").select("node", "common", "hashes").mapInArrow(_lengthened, T.StructType(
-        [T.StructField("node", kind), T.StructField("common", T.LongType()), *[T.StructField(c, T.LongType()) for c in LONG]])).dropDuplicates(["node"]), "near-able")
+        [T.StructField("node", T.LongType()), T.StructField("common", T.LongType()), *[T.StructField(c, T.LongType()) for c in LONG]])).dropDuplicates(["node"]), "near-able")
     mixed = _several(mixed.join(able, "node"), "a_key")
     tables = durable(mixed.join(nodes.select("node", "a", "b"), "node"), "near-tables")
     most = F.least("x.common", "y.common")  # of shingles that both can have
@@ -253,23 +266,30 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if not more.isEmpty():
         joined = components(links.unionByName(more))
 
-    moved = classes.join(joined, "node", "left").select("name", F.coalesce("component", "node").alias("component"), "copies", "node").where(
-        (F.col("copies") > 1) | (F.col("component") != F.col("node"))).select(F.col("name").alias("m_name"), "component")
+    linked = classes.join(joined, "node").select("node", "component", "least_id")
+    least = linked.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    linked = linked.join(least, "component").select("node", "component_id")
+    moved = classes.join(linked, "node", "left").select("name", F.coalesce("component_id", "least_id").alias("component"), "copies", "least_id").where(
+        (F.col("copies") > 1) | (F.col("component") != F.col("least_id"))).select(F.col("name").alias("m_name"), "component")
     done = sketched.select("doc_id", "n", "name").join(moved, (F.col("name") == F.col("m_name")) & (F.col("n") > 0) & F.col("doc_id").isNotNull(), "left")
     component = F.coalesce("component", "doc_id")
     return done.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "name")
 
 
 def _hashes(width: int):
-    """Sorted hashes of each text's shingles, as signed numbers."""
+    """Sorted hashes, as signed numbers, of the shingles of those (node, text, name, repeated) rows whose text has the set of that name."""
     def run(batches):
         for batch in batches:
             for low, texts in text_slices(batch.column(1)):
-                found = [np.sort(shingles(t, width).view(np.int64)) for t in texts]
+                part = batch.slice(low, len(texts))
+                sets = [shingles(t, width) for t in texts]
+                own = [len(s) > 0 and name_of(s) == name for s, name in zip(sets, part.column(2).to_pylist())]
+                found = [np.sort(s.view(np.int64)) for s, o in zip(sets, own) if o]
                 ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, len(texts)), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))],
-                                                 names=["node", "hashes"])
+                values = np.concatenate(found) if found else np.zeros(0, np.int64)
+                node, repeated = (part.column(k).filter(pa.array(own, pa.bool_())) for k in (0, 3))
+                yield pa.RecordBatch.from_arrays([node, pa.ListArray.from_arrays(pa.array(ends), pa.array(values)), repeated], names=["node", "hashes", "repeated"])
 
     return run
 
@@ -290,6 +310,29 @@ def _several(rows: DataFrame, key: str) -> DataFrame:
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """The rows of docs that stay, with all their columns: of each component the document with the smallest id."""
-    gone = durable(near_copies(docs, id_col, text_col, width, percent).where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct(), "near-gone")
+    found = durable(_resolved(docs, id_col, text_col, width, percent).where("doc_id IS NOT NULL").select("doc_id", "name", "kept"), "near-found")
+    ids = durable(found.groupBy("doc_id").agg(F.max("kept").alias("some"), F.min("kept").alias("every")).where("NOT every").select(
+        F.col("doc_id").alias("gone_id"), "some"), "near-gone")
     packed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("row_id"))
-    return packed.join(gone.hint("shuffle_hash"), F.col("row_id") == F.col("gone_id"), "left_anti").select("row.*")
+    stay = packed.join(ids.select("gone_id").hint("shuffle_hash"), F.col("row_id") == F.col("gone_id"), "left_anti").select("row.*")
+    partly = ids.where("some").select("gone_id")
+    if partly.isEmpty():
+        return stay
+    # ids with several texts, of which some stay
+    gone = found.where("NOT kept").join(partly, F.col("doc_id") == F.col("gone_id"), "left_semi").select("doc_id", F.col("name").alias("gone_name")).distinct()
+    mixed = packed.join(partly, F.col("row_id") == F.col("gone_id"), "left_semi").withColumn("text", F.col("row").getField(text_col))
+    schema = T.StructType([*mixed.schema.fields, T.StructField("name", T.BinaryType())])
+    kept = mixed.mapInArrow(_named(width), schema).join(gone, (F.col("row_id") == F.col("doc_id")) & (F.col("name") == F.col("gone_name")), "left_anti")
+    return stay.unionByName(kept.select("row.*"))
+
+
+def _named(width: int):
+    """Add to (row, row_id, text) rows the name of the text's set, empty if it has no words."""
+    def run(batches):
+        for batch in batches:
+            for low, texts in text_slices(batch.column(2)):
+                sets = [shingles(t, width) for t in texts]
+                names = pa.array([name_of(x) if len(x) else b"" for x in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([*batch.slice(low, len(texts)).columns, names], names=["row", "row_id", "text", "name"])
+
+    return run

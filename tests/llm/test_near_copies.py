@@ -55,3 +55,20 @@ def test_comparisons_lose_less_than_one_link_in_a_billion():
             most = nearcopies.most_differing(values, planes, percent)
             lost += sum(comb(values, k) * p**k * (1 - p) ** (values - k) for k in range(most + 1, values + 1))
         assert lost < Fraction(1, 10**9)
+
+
+def test_rows_that_share_an_id(spark):
+    rng = random.Random(12)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    near = lambda w: " ".join([*w, *fresh(4)])
+    first, second, alone, twin = fresh(200), fresh(200), " ".join(fresh(200)), fresh(200)
+    data = [(7, near(first)), (7, near(second)), (3, near(first)), (9, near(second)), (12, " ".join(second)),  # id 7 in two groups
+            (20, near(first)), (20, alone),  # one of id 20's texts stays
+            *[(30, " ".join(twin))] * 40, (31, near(twin)), (31, " ".join(twin))]  # repeats of a row
+    docs = corpus.documents(spark, data=[(i, t, None, None, 0) for i, t in data])
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in nearcopies.near_copies(docs).collect())
+    want = [(7, 3, False), (7, 7, True), (3, 3, True), (9, 7, False), (12, 7, False), (20, 3, False), (20, 20, True),
+            *[(30, 30, True)] * 40, (31, 30, False), (31, 30, False)]
+    assert got == sorted(want)
+    stay = [(r["doc_id"], r["text"]) for r in nearcopies.without_near_copies(docs).collect()]
+    assert sorted(stay) == sorted(d for d, w in zip(data, want) if w[2])
