@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from operator import mul
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -14,7 +16,8 @@ SCALE = 256
 SHARD = 4096  # vectors of a shard at most
 BLOCK = 256  # queries that meet a shard at once, at most
 FIRST_TERMS = 8  # terms traversed before the first threshold is set
-EXACT = 1 << 53  # sums of products stay below, so double arithmetic is exact
+EXACT = 1 << 53  # double arithmetic is exact while sums of products stay below; other pairs are scored with whole numbers
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 
 def usable(vector: Column) -> Column:
@@ -78,6 +81,15 @@ def max_score(query: np.ndarray, by_place: np.ndarray, order: np.ndarray, low: n
     return rows, partial[rows]
 
 
+def _order_of(score: int) -> bytes | None:
+    """Bytes that sort like the scores from MOST on, or up to LEAST; none for scores between."""
+    if LEAST < score < MOST:
+        return None
+    n = (abs(score).bit_length() + 7) // 8
+    size, value = ((1 << 15) + n, score) if score > 0 else ((1 << 15) - n, score + (1 << 8 * n))
+    return size.to_bytes(2) + value.to_bytes(n)
+
+
 def _search(k: int):
     def run(batches):
         for batch in batches:
@@ -87,21 +99,36 @@ def _search(k: int):
                 shard = np.frombuffer(row["cells"]).reshape(-1, len(ids))
                 width = min(len(queries), len(shard))  # a missing place counts as 0
                 queries, shard = queries[:width], shard[:width]
-                if width and np.abs(queries).max() * np.abs(shard).max() * width >= EXACT:
-                    raise ValueError("components are too large for exact scores")
                 least, most = (shard.min(axis=1), shard.max(axis=1)) if width else (np.zeros(0), np.zeros(0))
+                largest = [np.abs(x).max(axis=0) if width else np.zeros(x.shape[1]) for x in (queries, shard)]
                 place = {t: i for i, t in enumerate(tags)}
-                out: list[list[np.ndarray]] = [[], [], [], []]
+                out: list[list] = [[], [], [], [], []]
                 for j in range(len(q_ids)):
-                    q = queries[:, j]
-                    low, high = np.minimum(q * least, q * most), np.maximum(q * least, q * most)
+                    q, own = queries[:, j], place.get(q_tags[j], -1)
+                    small = np.flatnonzero(~(largest[0][j] * largest[1] * width >= EXACT))
+                    if len(small) == shard.shape[1]:
+                        part, lo, hi = shard, least, most
+                    else:
+                        part = shard[:, small]
+                        lo, hi = (part.min(axis=1), part.max(axis=1)) if len(small) else (np.zeros(width), np.zeros(width))
+                        at = np.searchsorted(small, own)
+                        own_small = int(at) if at < len(small) and small[at] == own else -1
+                    low, high = np.minimum(q * lo, q * hi), np.maximum(q * lo, q * hi)
                     order = np.argsort(low - high, kind="stable")
-                    rows, scores = max_score(q, shard, order, low, high, place.get(q_tags[j], -1), k)
+                    rows, scores = max_score(q, part, order, low, high, own if part is shard else own_small, k)
+                    rows = small[rows]
                     best = np.lexsort((ids[rows], -scores))[:k]
-                    rows, scores = rows[best], scores[best]
-                    for o, v in zip(out, (np.full(len(rows), q_tags[j]), np.full(len(rows), q_ids[j]), ids[rows], scores.astype(np.int64))):
-                        o.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(o)) for o in out], names=["tag", "query_id", "vec_id", "score"])
+                    rows, scores = rows[best], scores[best].astype(np.int64).tolist()
+                    if part is not shard:
+                        whole = list(map(int, q.tolist()))
+                        large = [r for r in np.setdiff1d(np.arange(shard.shape[1]), small).tolist() if r != own]
+                        found = [*zip(scores, rows.tolist()), *((sum(map(mul, whole, map(int, shard[:, r].tolist()))), r) for r in large)]
+                        found = sorted(found, key=lambda f: (-f[0], ids[f[1]]))[:k]
+                        scores, rows = [f[0] for f in found], np.array([f[1] for f in found], np.int64)
+                    for o, v in zip(out, (np.full(len(rows), q_tags[j]), np.full(len(rows), q_ids[j]), ids[rows], [min(max(x, LEAST), MOST) for x in scores], map(_order_of, scores))):
+                        o.extend(v)
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(o, kind) for o, kind in zip(out, kinds)], names=["tag", "query_id", "vec_id", "score", "beyond"])
 
     return run
 
@@ -109,7 +136,8 @@ def _search(k: int):
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: for each row where `is_query` holds, the k other rows with the largest integer inner product.
 
-    Components are floor(256 x). Ties go to the smaller id; a query gets all other rows if there are fewer than k. Rows with a null
+    Components are floor(256 x). Products are exact whole numbers of any size, and rank as such; a score outside the range of a long is
+    given as the nearest long. Ties go to the smaller id; a query gets all other rows if there are fewer than k. Rows with a null
     id, or whose vector is not usable, take no part. Of two vectors of different length the shorter counts as filled with 0.
     Repeated rows are rows of their own: each may answer the other, and each asks. An empty table gives no rows.
 
@@ -126,6 +154,6 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     dealt = shards.withColumn("group", F.pmod(F.xxhash64("number"), F.lit(groups)))
     asked = blocks.select(*[F.col(c).alias(f"q_{c}") for c in ("tags", "ids", "cells")],
                           F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))).alias("group"))
-    found = asked.join(dealt, "group").drop("group", "number").mapInArrow(_search(k), "tag long, query_id long, vec_id long, score long")
-    best = Window.partitionBy("tag").orderBy(F.desc("score"), "vec_id")
+    found = asked.join(dealt, "group").drop("group", "number").mapInArrow(_search(k), "tag long, query_id long, vec_id long, score long, beyond binary")
+    best = Window.partitionBy("tag").orderBy(F.desc("score"), F.desc_nulls_last("beyond"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
