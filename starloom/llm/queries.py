@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import exact, language, licenses, lm, mixing, nearcopies, packing, quality, search, shards
+from starloom.llm import exact, fim, language, licenses, lm, mixing, nearcopies, packing, quality, search, shards, simhash, spelling
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,5 +114,76 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, ~held_out).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-QUERIES = {"op1_mix": op1_mix, "op2_pack": op2_pack, "op3_language": op3_language, "op4_licenses": op4_licenses, "op5_exact_dedup": op5_exact_dedup, "op6_shard": op6_shard, "op7_quality": op7_quality, "op8_near_copies": op8_near_copies, "op9_search": op9_search, "op10_lm_score": op10_lm_score}
-SQL = {"op1_mix": OP1_SQL, "op5_exact_dedup": OP5_SQL, "op9_search": OP9_SQL}
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fim.fill_in_middle(documents(spark, sf_dir))
+    digests = [F.sha2(c.cast("binary"), 256).alias(name) for c, name in ((F.col("output"), "output_sha256"), (fim.restored("output", "form"), "restored_sha256"))]
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+OP11_SQL = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents),
+drawn AS (
+  SELECT *, len(u)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(u) + 1) AS x, ('0x' || substr(h, 9, 8))::BIGINT % (len(u) + 1) AS y,
+         CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+              WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM units),
+cut AS (
+  SELECT *, array_to_string(u[1:least(x, y)], '') AS prefix, array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS middle,
+         array_to_string(u[greatest(x, y) + 1:], '') AS suffix
+  FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN len(prefix) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN len(middle) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut"""
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.near_copies(documents(spark, sf_dir))
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.document_variants(documents(spark, sf_dir))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS step
+  FROM range(256) t(b)),
+runs AS (
+  SELECT doc_id, run, count(*) AS times, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS bytes
+  FROM (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]{7,}')),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents) GROUP BY doc_id, run),
+hashed AS (
+  SELECT run, times, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(len(bytes) // 2), lambda i: ('0x' || substr(bytes, (2 * i + 1)::BIGINT, 2))::BIGINT)),
+    lambda c, x: xor(c >> 8, step[(xor(c, x) & 255) + 1]))) AS h
+  FROM runs, crc),
+words AS MATERIALIZED (
+  SELECT word, sum(times)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % len(run)) || substr(run, h % len(run) + 2) ELSE run END AS word, times FROM hashed)
+  WHERE len(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+holes AS MATERIALIZED (
+  SELECT word, n, substr(word, 1, k - 1) AS head, substr(word, k + 1) AS tail FROM (SELECT word, n, unnest(range(1, len(word) + 1)) AS k FROM words)),
+shorter AS (SELECT h.word AS long, h.n AS long_n, w.word AS short, w.n AS short_n FROM holes h JOIN words w ON h.head || h.tail = w.word),
+near AS (
+  SELECT DISTINCT word, near, near_n FROM (
+    SELECT long AS word, short AS near, short_n AS near_n FROM shorter UNION ALL SELECT short, long, long_n FROM shorter
+    UNION ALL SELECT a.word, b.word, b.n FROM holes a JOIN holes b ON a.head = b.head AND a.tail = b.tail AND a.word <> b.word)),
+best AS (SELECT word, count(*) AS n_near, max(near_n) AS form_n, arg_min(near, (-near_n, near)) AS form FROM near GROUP BY word),
+formed AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN form_n >= 10 * w.n THEN form END AS form, CASE WHEN form_n >= 10 * w.n THEN form_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON c.root = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM formed f JOIN (SELECT word, root FROM chain c WHERE root NOT IN (SELECT word FROM formed WHERE form IS NOT NULL)) USING (word)"""
+
+
+QUERIES = {"op1_mix": op1_mix, "op2_pack": op2_pack, "op3_language": op3_language, "op4_licenses": op4_licenses, "op5_exact_dedup": op5_exact_dedup, "op6_shard": op6_shard, "op7_quality": op7_quality, "op8_near_copies": op8_near_copies, "op9_search": op9_search, "op10_lm_score": op10_lm_score,
+           "op11_fill_in_middle": op11_fill_in_middle, "op12_simhash": op12_simhash, "op13_spelling": op13_spelling}
+SQL = {"op1_mix": OP1_SQL, "op5_exact_dedup": OP5_SQL, "op9_search": OP9_SQL, "op11_fill_in_middle": OP11_SQL, "op13_spelling": OP13_SQL}
