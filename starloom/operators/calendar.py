@@ -5,16 +5,20 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 MAX_SPINE_DAYS = 366 * 1000
 
 
+def _check_length(first: dt.date, last: dt.date) -> None:
+    if (last - first).days > MAX_SPINE_DAYS:
+        raise ValueError(f"a calendar from {first} to {last} is too long: give its ends (--first-day, --last-day); rows outside get no date key")
+
+
 def day_spine(spark: SparkSession, first: dt.date, last: dt.date, name: str = "full_date") -> DataFrame:
     """One row per day; the length is checked because spines are broadcast."""
-    if (last - first).days > MAX_SPINE_DAYS:
-        raise ValueError("calendar range is too long")
+    _check_length(first, last)
     days = F.sequence(F.lit(first), F.lit(last), F.expr("INTERVAL 1 DAY"))
     return spark.range(1).select(F.explode(days).alias(name))
 
@@ -29,8 +33,7 @@ def calendar_columns(star: Mapping[str, DataFrame], *columns: str, key: str = "d
 
 def month_spine(spark: SparkSession, first: dt.date, last: dt.date, name: str = "month_start") -> DataFrame:
     """One row per month start, from the month of first to that of last."""
-    if (last - first).days > MAX_SPINE_DAYS:
-        raise ValueError("calendar range is too long")
+    _check_length(first, last)
     months = F.sequence(F.lit(first.replace(day=1)), F.lit(last.replace(day=1)), F.expr("INTERVAL 1 MONTH"))
     return spark.range(1).select(F.explode(months).alias(name))
 
@@ -43,13 +46,12 @@ def gap_fill(spine: DataFrame, df: DataFrame, on: str, fill: dict[str, object])
 
 
 def missing_days(calendar: DataFrame, day: str = "full_date", by: list[str] | None = None) -> DataFrame:
-    """Days between a calendar's first and last day that it does not hold; with `by`, of each group's own calendar."""
+    """Days between a calendar's first and last day that it does not hold; with `by`, of each group's own calendar.
+
+    Each day is compared with the next one of its group; only gaps, a row each, are spelt out as days. A group's rows meet in one
+    task: they are its distinct days, or nearly. Null days are left out, a null group is a group.
+    """
     by = by or []
-    ends = [F.min(day).alias("_lo"), F.max(day).alias("_hi")]
-    span = (calendar.groupBy(*by).agg(*ends) if by else calendar.agg(*ends)).filter("_lo IS NOT NULL")
-    expected = span.select(*by, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 DAY"))).alias("missing_date"))
-    held = calendar.select(*[F.col(c).alias(f"_{c}") for c in by], F.col(day).alias("_day"))
-    same = F.col("missing_date") == F.col("_day")
-    for c in by:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return expected.join(held, same, "left_anti")
+    after = F.lead(day).over(Window.partitionBy(*by).orderBy(day))
+    gaps = calendar.where(F.col(day).isNotNull()).select(*by, F.date_add(day, 1).alias("_first"), F.date_sub(after, 1).alias("_last")).where("_first <= _last")
+    return gaps.select(*by, F.explode(F.sequence("_first", "_last", F.expr("INTERVAL 1 DAY"))).alias("missing_date"))

@@ -7,41 +7,51 @@ from pyspark.sql import functions as F
 
 from starloom.operators.durable import durable
 
-BUCKET_HEX_DIGITS = 3  # 4,096 buckets: about 250,000 keys each at 10^9 keys
+HEX_DIGITS = 8  # of the digest that place a key: 2^32 places
 
 
-def _rank_by_digest(keyed: DataFrame, key: str, name: str, digits: int) -> DataFrame:
+def _numbered(stored: DataFrame, name: str, label: str, columns: list[str], folder: str | None = None) -> DataFrame:
+    """Number the rows of a stored table by file and place in the file: no shuffle and no sort of rows.
+
+    Only the row counts of the files meet in one task.
+    """
+    placed = stored.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    first = [F.min("_part").alias("_part")] if "_part" in stored.columns else []  # files of one task have ascending names
+    sizes = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"), *first)
+    before = Window.orderBy(*[c for c in ("_part", "_file") if c in sizes.columns]).rowsBetween(Window.unboundedPreceding, -1)
+    # a row per file, stored, so that its measured size decides how it is joined
+    starts = durable(sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")), f"{label}-offsets", folder=folder)
+    return placed.join(starts, "_file").withColumn(name, (F.col("_start") + F.col("_row") + 1).cast("bigint")).select(name, *columns)
+
+
+def _by_digest(keyed: DataFrame, key: str, name: str, digits: int, folder: str | None) -> DataFrame:
     """Add the 1-based rank in (md5(key), key) order to rows that are unique on key.
 
-    The digest spreads keys evenly over buckets known in advance, so no sampling is needed and a
-    recomputed task always finds the same ranks. Only bucket sizes (16^digits rows) meet in one task.
+    A key's place among the partitions is known from its digest alone, so nothing is sampled and the rows are computed once:
+    they are dealt to partitions of consecutive digests, sorted and stored, and the files give the ranks.
     """
-    tagged = keyed.withColumn("_digest", F.md5(F.col(key).cast("string").cast("binary")))
-    tagged = tagged.withColumn("_bucket", F.substring("_digest", 1, digits))
-    sizes = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    within = Window.partitionBy("_bucket").orderBy("_digest", key)
-    return (
-        tagged.withColumn("_row", F.row_number().over(within))
-        .join(F.broadcast(starts), "_bucket")  # at most 16^digits rows
-        .withColumn(name, (F.col("_start") + F.col("_row")).cast("bigint"))
-        .drop("_digest", "_bucket", "_row", "_start")
-    )
-
-
-def dense_keys(df: DataFrame, key: str, name: str, unique: bool = False, digits: int = BUCKET_HEX_DIGITS) -> DataFrame:
-    """Number the distinct values of a natural key 1..n and attach the number to every row.
-
-    unique=True states that df was grouped by key. Otherwise keys are grouped first, so copies of
-    one key collapse before any window sees them, and all copies share one number (the audit's
-    uniqueness checks then report them).
+    partitions = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    digest = F.md5(F.col(key).cast("string").cast("binary"))
+    # a null key has no digest and stands first
+    place = F.coalesce(F.conv(F.substring("_digest", 1, digits), 16, 10).cast("bigint"), F.lit(0))
+    part = F.floor(place * partitions / F.lit(16 ** digits)).cast("int")
+    dealt = keyed.withColumn("_digest", digest).withColumn("_part", part).repartitionById(partitions, F.col("_part"))
+    stored = durable(dealt.sortWithinPartitions("_digest", key).drop("_digest"), f"{name}-ranked", folder=folder)
+    return _numbered(stored, name, name, keyed.columns, folder)
+
+
+def dense_keys(df: DataFrame, key: str, name: str, unique: bool = False, digits: int = HEX_DIGITS, folder: str | None = None) -> DataFrame:
+    """Number the distinct values of a natural key 1..n and attach the number to every row. df is computed once.
+
+    unique=True states that df was grouped by key; then its rows are shuffled once and no join is needed. Otherwise df is stored as it
+    is and only its distinct keys are shuffled, so copies of one key collapse before they meet, and all copies share one number (the
+    audit's uniqueness checks then report them). Intermediate tables stand below `folder` if given, whose owner deletes it.
     """
     if unique:
-        numbered = _rank_by_digest(df, key, name, digits)
-        return numbered.select(name, *df.columns)
-    numbered = _rank_by_digest(df.select(key).distinct(), key, name, digits)
-    return df.join(numbered, key, "left").select(name, *df.columns)
+        return _by_digest(df, key, name, digits, folder)
+    stored = durable(df, f"{name}-rows", folder=folder)
+    numbered = _by_digest(stored.select(F.col(key).alias("_key")).distinct(), "_key", name, digits, folder)
+    return stored.join(numbered, F.col(key).eqNullSafe(F.col("_key")), "left").select(name, *df.columns)
 
 
 def row_keys(df: DataFrame, name: str, label: str, folder: str | None = None) -> DataFrame:
@@ -50,14 +60,4 @@ def row_keys(df: DataFrame, name: str, label: str, folder: str | None = None) ->
     The rows are written once; a row's number is the row count of the files before its own plus its
     position in its file. Skewed or repeated values cannot matter, and the files fix the result.
     """
-    stored = durable(df, label, folder=folder)
-    placed = stored.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    sizes = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    # a row per file, stored, so that its measured size decides how it is joined
-    starts = durable(sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")), f"{label}-offsets", folder=folder)
-    return (
-        placed.join(starts, "_file")
-        .withColumn(name, (F.col("_start") + F.col("_row") + 1).cast("bigint"))
-        .select(name, *df.columns)
-    )
+    return _numbered(durable(df, label, folder=folder), name, label, df.columns, folder)

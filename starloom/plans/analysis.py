@@ -11,7 +11,7 @@ from starloom.functions import exact_avg, pct, safe_div
 from starloom.operators.calendar import calendar_columns
 from starloom.operators.durable import durable
 from starloom.operators.joins import rollup_via, share_of_total
-from starloom.operators.ordering import ntile, ordered, top_k
+from starloom.operators.ordering import ntiles, ordered, top_k, weighted_percentiles
 
 Star = Mapping[str, DataFrame]
 
@@ -124,8 +124,11 @@ def sla_by_state(star: Star, min_orders: int = 100) -> DataFrame:
     return out.filter(F.col("total_delivered_orders") >= min_orders).orderBy(F.col("avg_lead_time_days").asc_nulls_last(), "customer_state")
 
 
-def delivery_sla(star: Star, by_state: bool = True) -> DataFrame:
-    """On-time rate over delivered orders, mean times, mean scores on time and late, and the score lost by delay."""
+def delivery_sla(star: Star, by: str | None = "state") -> DataFrame:
+    """On-time rate over delivered orders, mean times, mean scores on time and late, and the score lost by delay.
+
+    by: "state" of the customer, "month" of purchase (year, month), or None for all orders as one row.
+    """
     on_time, late = F.col("is_on_time"), ~F.col("is_on_time")
     score = F.col("review_score")
     partials = {
@@ -138,8 +141,12 @@ def delivery_sla(star: Star, by_state: bool = True) -> DataFrame:
         "s_miss": F.sum(F.when(late, score)), "s_miss_n": F.count(F.when(late, score)),
     }
     t = {name: F.sum(name) for name in partials}
-    if by_state:
+    if by == "state":
         grouped = rollup_via(_delivered(star), "customer_key", partials, star["dim_customer"], ["customer_state"]).groupBy("customer_state")
+    elif by == "month":
+        daily = _delivered(star).groupBy("order_purchase_date_key").agg(*[e.alias(n) for n, e in partials.items()])
+        days = calendar_columns(star, "year", "month", key="order_purchase_date_key")
+        grouped = daily.join(days, "order_purchase_date_key").groupBy("year", "month")
     else:
         grouped = _delivered(star).agg(*[e.alias(n) for n, e in partials.items()]).groupBy()
     out = grouped.agg(
@@ -175,15 +182,9 @@ def on_time_trend(star: Star, role: str = "order_purchase_date_key") -> DataFram
 
 
 def duration_percentiles(star: Star, measure: str = "total_fulfillment_hours", points: tuple[float, ...] = (0.5, 0.9)) -> DataFrame:
-    """Exact interpolated percentiles of a duration per order status.
-
-    Equal durations are counted first; durations have two digits, so a status holds few distinct values
-    however many orders it has.
-    """
+    """Exact interpolated percentiles of a duration per order status: weighted_percentiles of the counts of equal durations."""
     counts = star["fact_order_fulfillment"].filter(F.col(measure).isNotNull()).groupBy("order_status", measure).agg(F.count(F.lit(1)).alias("n"))
-    found = counts.groupBy("order_status").agg(
-        F.sum("n").alias("order_count"), F.percentile(F.col(measure).cast("double"), list(points), F.col("n")).alias("_at"))
-    return found.select("order_status", "order_count", *[F.col("_at")[i].alias(f"p{round(p * 100)}") for i, p in enumerate(points)])
+    return weighted_percentiles(durable(counts, "durations"), "order_status", measure, "n", points, "order_count")
 
 
 def delay_score_correlation(star: Star) -> DataFrame:
@@ -201,12 +202,12 @@ def _dated_orders(star: Star, excluded: list[str]) -> DataFrame:
     return star["fact_order_fulfillment"].filter(~F.col("order_status").isin(excluded)).join(days, "order_purchase_date_key")
 
 
-def customer_value(star: Star, excluded: tuple[str, ...] = ("canceled",)) -> DataFrame:
-    """Per customer: frequency, monetary value, first and last purchase day."""
+def customer_value(star: Star, excluded: tuple[str, ...] = ("canceled",), place: tuple[str, ...] = ("customer_state",)) -> DataFrame:
+    """Per customer: frequency, monetary value, first and last purchase day, and the wanted columns of the place."""
     orders = _dated_orders(star, list(excluded)).groupBy("customer_key").agg(
         F.count(F.lit(1)).alias("frequency"), F.sum("total_payment_value").alias("monetary"),
         F.min("full_date").alias("first_purchase_date"), F.max("full_date").alias("last_purchase_date"))
-    people = star["dim_customer"].select("customer_key", "customer_unique_id", "customer_state")
+    people = star["dim_customer"].select("customer_key", "customer_unique_id", *place)
     return orders.join(people, "customer_key").drop("customer_key")
 
 
@@ -243,9 +244,8 @@ def rfm(star: Star) -> DataFrame:
     base = customer_value(star).select(
         "customer_unique_id", "customer_state", F.datediff(last, "last_purchase_date").alias("recency_days"), "frequency",
         F.coalesce("monetary", F.lit(0)).alias("monetary"))
-    scored = ntile(durable(base, "rfm"), [F.desc("recency_days"), F.asc("customer_unique_id")], 5, "r_score")
-    scored = ntile(scored, [F.asc("frequency"), F.asc("customer_unique_id")], 5, "f_score")
-    return ntile(scored, [F.asc("monetary"), F.asc("customer_unique_id")], 5, "m_score")
+    orders = {"r_score": "-recency_days", "f_score": "frequency", "m_score": "monetary"}
+    return ntiles(durable(base, "rfm"), {score: [measure, "customer_unique_id"] for score, measure in orders.items()}, 5)
 
 
 def rfm_segment(r: str = "r_score", f: str = "f_score") -> Column:
@@ -266,11 +266,10 @@ def rfm_segments(star: Star) -> DataFrame:
     return share_of_total(grouped, "revenue", "revenue_share_pct").orderBy("segment")
 
 
-def revenue_by_state(star: Star, k: int = 5) -> DataFrame:
-    """The k customer states with the highest payments, canceled orders excluded."""
-    grouped = customer_value(star).groupBy("customer_state").agg(
-        F.sum("monetary").alias("revenue"), F.count(F.lit(1)).alias("customers"))
-    return top_k(grouped, [F.col("revenue").desc_nulls_last(), F.col("customer_state").asc_nulls_last()], k, rank_as="rank_no")
+def revenue_by_place(star: Star, place: tuple[str, ...] = ("customer_state",), k: int = 5) -> DataFrame:
+    """The k customer states, or cities, with the highest payments, canceled orders excluded."""
+    grouped = customer_value(star, place=place).groupBy(*place).agg(F.sum("monetary").alias("revenue"), F.count(F.lit(1)).alias("customers"))
+    return top_k(grouped, [F.col("revenue").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in place]], k, rank_as="rank_no")
 
 
 def cohorts(star: Star) -> DataFrame:
@@ -380,7 +379,7 @@ def seller_orders(star: Star) -> DataFrame:
         F.sum("price").alias("gmv"), F.sum("freight_value").alias("freight"), F.count(F.lit(1)).alias("items"))
     orders = star["fact_order_fulfillment"].select("order_id", "customer_key", "hours_to_carrier", "total_fulfillment_hours", "review_score")
     people = star["dim_customer"].select("customer_key", "customer_state")
-    sellers = star["dim_seller"].select("seller_key", "seller_id", "seller_state")
+    sellers = star["dim_seller"].select("seller_key", "seller_id", "seller_state", "seller_city")
     return pairs.join(orders, "order_id", "left").join(people, "customer_key", "left").join(sellers, "seller_key").withColumn(
         "same_state", F.col("seller_state") == F.col("customer_state"))
 
@@ -405,14 +404,14 @@ def seller_performance(star: Star) -> DataFrame:
     return seller_orders(star).groupBy("seller_id", "seller_state").agg(*_seller_totals()).withColumn("tier", seller_tier())
 
 
-def sellers_by_state(star: Star) -> DataFrame:
-    """Active sellers, their share of all active sellers, sales and mean dispatch hours per seller state."""
-    grouped = seller_orders(star).groupBy("seller_state").agg(
+def sellers_by_place(star: Star, place: tuple[str, ...] = ("seller_state",)) -> DataFrame:
+    """Active sellers, their share of all active sellers, sales and mean dispatch hours per seller state, or city."""
+    grouped = seller_orders(star).groupBy(*place).agg(
         F.count_distinct("seller_id").alias("active_sellers"), F.sum("gmv").alias("total_gmv"),
         exact_avg("hours_to_carrier", 2).alias("avg_dispatch_hours"))
     selling = star["fact_sales"].select("seller_key").distinct().join(star["dim_seller"].select("seller_key"), "seller_key")
     everyone = selling.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return grouped.withColumn("seller_share_pct", pct("active_sellers", everyone)).orderBy(F.desc("total_gmv"), "seller_state")
+    return grouped.withColumn("seller_share_pct", pct("active_sellers", everyone)).orderBy(F.desc("total_gmv"), *place)
 
 
 def route_comparison(star: Star) -> DataFrame:
@@ -427,7 +426,7 @@ def seller_concentration(star: Star) -> DataFrame:
     """Sellers by sales with the cumulative share of sales and of sellers."""
     grouped = rollup_via(star["fact_sales"], "seller_key", {"v": F.sum("price")}, star["dim_seller"], ["seller_id"])
     totals = grouped.groupBy("seller_id").agg(F.coalesce(F.sum("v"), F.lit(0)).alias("total_gmv"))
-    ranked = ordered(totals, [F.desc("total_gmv"), F.asc("seller_id")], running={"_running": "total_gmv"}, totals={"_all": "total_gmv"},
+    ranked = ordered(durable(totals, "seller-sales"), ["-total_gmv", "seller_id"], running={"_running": "total_gmv"}, totals={"_all": "total_gmv"},
                      row_no="rank_no", row_count="_sellers")
     return ranked.select("rank_no", "seller_id", "total_gmv", pct("_running", "_all").alias("cumulative_gmv_pct"),
                          pct("rank_no", "_sellers").alias("seller_pct"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +13,7 @@ from starloom.jobs import together
 from starloom.operators.keys import row_keys
 from starloom.plans import star as builders
 from starloom.plans.star import Calendar
-from starloom.schemas import DIMENSIONS, MONTH_PARTITION, STAR_TABLES, star_columns, star_schema
+from starloom.schemas import DIMENSIONS, DURATIONS, MONTH_PARTITION, STAR_TABLES, star_columns, star_schema
 from starloom.sources import files
 from starloom.sources.versions import current_version, mark_live, new_version
 
@@ -28,19 +28,44 @@ class AuditFailed(RuntimeError):
         self.problems = problems
 
 
-def write_dimension(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+class Version(dict[str, DataFrame]):
+    """The tables of a star that was just written, and what was counted on the way: `seen[table][name]`."""
 
+    def __init__(self, tables: Mapping[str, DataFrame], seen: Mapping[str, Mapping[str, int]]):
+        super().__init__(tables)
+        self.seen = seen
 
-def write_fact(df: DataFrame, date_key: str, key: str, path: str, scratch: str) -> None:
-    """Number a fact's rows and write it by purchase month.
+
+#: Rows that the pre-publish conditions count, by table: counted while a table is written, so that no audit scans it for them.
+WATCHED: dict[str, dict[str, str]] = {
+    "fact_order_fulfillment": {"negative": " OR ".join(f"{hours} < 0" for hours in DURATIONS)},
+}
+
+
+def _watched(df: DataFrame, table: str) -> tuple[DataFrame, Observation]:
+    """df with its row count and its WATCHED rows observed."""
+    seen = Observation(table)
+    wanted = {name: F.count_if(F.expr(condition)) for name, condition in WATCHED.get(table, {}).items()}
+    return df.observe(seen, F.count(F.lit(1)).alias("n"), *[c.alias(name) for name, c in wanted.items()]), seen
+
+
+def write_dimension(df: DataFrame, path: str, table: str) -> dict[str, int]:
+    """Write a dimension; what was counted on the way."""
+    watched, seen = _watched(df, table)
+    watched.write.mode("overwrite").parquet(path)
+    return seen.get
+
+
+def write_fact(df: DataFrame, date_key: str, key: str, path: str, table: str, scratch: str) -> dict[str, int]:
+    """Number a fact's rows and write it by purchase month; what was counted on the way.
 
     The rebalance hint groups rows by month, and AQE splits a month that is too large for one task
     and packs small ones together. Rows are stored in that layout once and numbered from there in a narrow pass.
     """
     monthly = df.withColumn(MONTH_PARTITION, month_of_key(date_key)).hint("rebalance", MONTH_PARTITION)
-    keyed = row_keys(monthly, key, key, scratch)
-    keyed.write.mode("overwrite").partitionBy(MONTH_PARTITION).parquet(path)
+    watched, seen = _watched(row_keys(monthly, key, key, scratch), table)
+    watched.write.mode("overwrite").partitionBy(MONTH_PARTITION).parquet(path)
+    return seen.get
 
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -55,34 +80,37 @@ def read_version(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {table: read_table(spark, path, table) for table in STAR_TABLES}
 
 
-def write_star(spark: SparkSession, views: Mapping[str, DataFrame], path: str, calendar: Calendar = Calendar()) -> dict[str, DataFrame]:
+def write_star(spark: SparkSession, views: Mapping[str, DataFrame], path: str, calendar: Calendar = Calendar()) -> Version:
     """Build all six tables into a version folder; what is needed on the way stands below it and is deleted at the end.
 
     Facts join the written dimensions, so the planner sees their true sizes. The item fact takes its
     customer and date from the order fact; the other dimensions are built beside the order fact.
     """
-    scratch, calendar = f"{path}/_scratch", builders.calendar_of(views["vw_orders"], calendar)
+    scratch, seen = f"{path}/_scratch", {}
 
-    def customers_and_orders() -> None:
-        write_dimension(builders.dim_customer(views["vw_customers"]), f"{path}/dim_customer")
-        orders = builders.fact_order_fulfillment(
-            views["vw_orders"], views["vw_customers"], views["vw_order_payments_agg"], views["vw_order_reviews_latest"],
-            read_table(spark, path, "dim_customer"), calendar,
-        )
-        write_fact(orders, "order_purchase_date_key", "fulfillment_key", f"{path}/fact_order_fulfillment", scratch)
+    def dimension(table: str, df: DataFrame) -> None:
+        seen[table] = write_dimension(df, f"{path}/{table}", table)
 
+    def fact(table: str, df: DataFrame, date_key: str, key: str) -> None:
+        seen[table] = write_fact(df, date_key, key, f"{path}/{table}", table, scratch)
+
+    (orders, days), *_ = together(
+        lambda: builders.stored_orders(views["vw_orders"], calendar, scratch),
+        lambda: dimension("dim_customer", builders.dim_customer(views["vw_customers"], scratch)),
+        lambda: dimension("dim_product", builders.dim_product(views["vw_products"], scratch)),
+        lambda: dimension("dim_seller", builders.dim_seller(views["vw_sellers"], scratch)),
+    )
     together(
-        customers_and_orders,
-        lambda: write_dimension(builders.dim_product(views["vw_products"]), f"{path}/dim_product"),
-        lambda: write_dimension(builders.dim_seller(views["vw_sellers"]), f"{path}/dim_seller"),
-        lambda: write_dimension(builders.dim_date(spark, calendar), f"{path}/dim_date"),
+        lambda: dimension("dim_date", builders.dim_date(spark, days)),
+        lambda: fact("fact_order_fulfillment", builders.fact_order_fulfillment(
+            orders, views["vw_customers"], views["vw_order_payments_agg"], views["vw_order_reviews_latest"], read_table(spark, path, "dim_customer"), days,
+        ), "order_purchase_date_key", "fulfillment_key"),
     )
     stored = {table: read_table(spark, path, table) for table in ["fact_order_fulfillment", "dim_product", "dim_seller"]}
     order_facts = stored["fact_order_fulfillment"].select(*star_columns("fact_order_fulfillment"))
-    items = builders.fact_sales(views["vw_order_items"], order_facts, stored["dim_product"], stored["dim_seller"])
-    write_fact(items, "date_key", "sales_key", f"{path}/fact_sales", scratch)
+    fact("fact_sales", builders.fact_sales(views["vw_order_items"], order_facts, stored["dim_product"], stored["dim_seller"]), "date_key", "sales_key")
     files.delete(spark, scratch)
-    return read_version(spark, path)
+    return Version(read_version(spark, path), seen)
 
 
 def publish(spark: SparkSession, views: Mapping[str, DataFrame], warehouse: str, audit: Audit, calendar: Calendar = Calendar()) -> str:

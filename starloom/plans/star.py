@@ -6,12 +6,13 @@ import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions import calendar_key, date_key, days_between, hours_between, not_blank
 from starloom.operators.calendar import day_spine
 from starloom.operators.dedup import modal_row
+from starloom.operators.durable import durable
 from starloom.operators.keys import dense_keys
 from starloom.schemas import MONEY, star_columns, star_schema
 
@@ -24,14 +25,41 @@ class Calendar:
     last: dt.date | None = None
 
 
+STRAY_YEARS = 25  # days further away from all others stand outside the calendar
+
+
+def _days_seen() -> list[Column]:
+    """The distinct days of each order time stamp, as day numbers: at most one per day of the calendar, whatever the rows."""
+    return [F.collect_set(F.unix_date(F.to_date(stamp))).alias(stamp) for stamp in DATE_ROLES.values()]
+
+
+def _calendar(seen: Mapping[str, list[int]], wanted: Calendar) -> Calendar:
+    """The wanted calendar with missing ends from the days seen.
+
+    Days fall into blocks where more than STRAY_YEARS pass without any; the calendar spans the block of most days, of equal ones the first.
+    A stray day, such as 9999-12-31, so neither stretches the calendar nor stops the load: rows of that day get no date key.
+    """
+    days = sorted(set().union(*seen.values()))
+    cuts = [0, *[k for k in range(1, len(days)) if days[k] - days[k - 1] > STRAY_YEARS * 366], len(days)]
+    block = max((days[a:b] for a, b in zip(cuts, cuts[1:])), key=len)
+    ends = [dt.date(1970, 1, 1) + dt.timedelta(days=d) for d in (block[0], block[-1])] if block else [None, None]
+    first = wanted.first or ends[0] or wanted.last or dt.date(1970, 1, 1)
+    return Calendar(first, wanted.last or max(ends[1] or first, first))
+
+
 def calendar_of(orders: DataFrame, wanted: Calendar = Calendar()) -> Calendar:
-    """The wanted calendar with missing ends taken from the first and last day of all order time stamps (one aggregate)."""
+    """The wanted calendar with missing ends from all order time stamps but stray ones (one aggregate)."""
     if wanted.first and wanted.last:
         return wanted
-    stamps = list(DATE_ROLES.values())
-    ends = orders.agg(F.to_date(F.min(F.least(*stamps))), F.to_date(F.max(F.greatest(*stamps)))).first()
-    first, last = wanted.first or ends[0] or dt.date(1970, 1, 1), wanted.last or ends[1]
-    return Calendar(first, max(last or first, first))
+    return _calendar(orders.agg(*_days_seen()).first().asDict(), wanted)
+
+
+def stored_orders(orders: DataFrame, wanted: Calendar = Calendar(), folder: str | None = None) -> tuple[DataFrame, Calendar]:
+    """The orders, written once, and the calendar that calendar_of finds, observed while they are written."""
+    seen = Observation("days of orders")
+    watched = orders if wanted.first and wanted.last else orders.observe(seen, *_days_seen())
+    stored = durable(watched, "typed-orders", folder=folder)
+    return stored, wanted if watched is orders else _calendar(seen.get, wanted)
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
@@ -57,21 +85,21 @@ def dim_date(spark: SparkSession, calendar: Calendar) -> DataFrame:
     return conform(days, "dim_date")
 
 
-def dim_customer(customers: DataFrame) -> DataFrame:
-    """One row per person, at the place most of the person's records name."""
+def dim_customer(customers: DataFrame, folder: str | None = None) -> DataFrame:
+    """One row per person, at the place most of the person's records name. What the keys need on the way stands below folder, if given."""
     place = ["customer_city", "customer_state", "customer_zip_code_prefix"]
     people = modal_row(customers, "customer_unique_id", place)
     people = people.withColumnRenamed("customer_zip_code_prefix", "zip_code_prefix")
-    return conform(dense_keys(people, "customer_unique_id", "customer_key", unique=True), "dim_customer")
+    return conform(dense_keys(people, "customer_unique_id", "customer_key", unique=True, folder=folder), "dim_customer")
 
 
-def dim_product(products: DataFrame) -> DataFrame:
-    return conform(dense_keys(products, "product_id", "product_key"), "dim_product")
+def dim_product(products: DataFrame, folder: str | None = None) -> DataFrame:
+    return conform(dense_keys(products, "product_id", "product_key", folder=folder), "dim_product")
 
 
-def dim_seller(sellers: DataFrame) -> DataFrame:
+def dim_seller(sellers: DataFrame, folder: str | None = None) -> DataFrame:
     named = sellers.withColumnRenamed("seller_zip_code_prefix", "zip_code_prefix")
-    return conform(dense_keys(named, "seller_id", "seller_key"), "dim_seller")
+    return conform(dense_keys(named, "seller_id", "seller_key", folder=folder), "dim_seller")
 
 
 def customer_keys(customers: DataFrame, dim_customer: DataFrame) -> DataFrame:
@@ -128,7 +156,8 @@ def fact_order_fulfillment(orders: DataFrame, customers: DataFrame, payments_agg
     """One row per order, without its row key.
 
     Payments and reviews arrive grouped by order_id, so their joins reuse the orders' shuffle on it.
-    Left joins: an order is never dropped for a missing customer, payment or review.
+    Left joins: an order is never dropped for a missing customer, payment or review. A calendar without ends takes them
+    from the orders in a job of its own.
     """
     known, calendar = orders.filter(not_blank("order_id")), calendar_of(orders, calendar)
     enriched = lifecycle_measures(role_keys(known, calendar))
@@ -163,8 +192,8 @@ def _conform_unkeyed(df: DataFrame, table: str) -> DataFrame:
 
 
 def build_lazy(spark: SparkSession, views: Mapping[str, DataFrame], calendar: Calendar = Calendar()) -> dict[str, DataFrame]:
-    """Whole star as one lazy plan, facts without row keys; nothing is written, and only the calendar's ends are looked up."""
-    calendar = calendar_of(views["vw_orders"], calendar)
+    """Whole star, facts without row keys. Typed orders and numbered dimensions are stored on the way, so each is computed once; the facts are lazy."""
+    orders, calendar = stored_orders(views["vw_orders"], calendar)
     star = {
         "dim_date": dim_date(spark, calendar),
         "dim_customer": dim_customer(views["vw_customers"]),
@@ -172,7 +201,7 @@ def build_lazy(spark: SparkSession, views: Mapping[str, DataFrame], calendar: Ca
         "dim_seller": dim_seller(views["vw_sellers"]),
     }
     star["fact_order_fulfillment"] = fact_order_fulfillment(
-        views["vw_orders"], views["vw_customers"], views["vw_order_payments_agg"], views["vw_order_reviews_latest"],
+        orders, views["vw_customers"], views["vw_order_payments_agg"], views["vw_order_reviews_latest"],
         star["dim_customer"], calendar,
     )
     star["fact_sales"] = fact_sales(
@@ -184,5 +213,5 @@ def build_lazy(spark: SparkSession, views: Mapping[str, DataFrame], calendar: Ca
 __all__ = [
     "Calendar", "DATE_ROLES", "build_lazy", "calendar_of", "conform", "customer_keys", "dim_customer", "dim_date", "dim_product",
     "dim_seller", "fact_order_fulfillment", "fact_sales", "lifecycle_measures", "role_keys", "role_keys_by_join",
-    "star_columns",
+    "star_columns", "stored_orders",
 ]

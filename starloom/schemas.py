@@ -78,6 +78,9 @@ STAR_DDL: dict[str, str] = {
 
 MONEY = "decimal(18,2)"
 
+# Durations of an order's life, in hours; the last one is the whole.
+DURATIONS = ["hours_to_approval", "hours_to_carrier", "hours_to_customer", "total_fulfillment_hours"]
+
 DIMENSIONS = ["dim_date", "dim_customer", "dim_product", "dim_seller"]
 FACTS = ["fact_sales", "fact_order_fulfillment"]
 STAR_TABLES = DIMENSIONS + FACTS

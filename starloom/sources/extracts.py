@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from starloom.jobs import together
 from starloom.schemas import RAW_COLUMNS, raw_schema
 from starloom.sources import files
+from starloom.sources.records import records
 from starloom.sources.versions import current_version, mark_live, new_version
 from starloom.tables import LazyTables
 
@@ -30,18 +31,21 @@ FILE_PATTERNS: dict[str, str] = {
     "product_category_name_translation": "*product_category_name_translation.csv",
 }
 
-# Only free review text holds line breaks inside quotes; such a file cannot be split.
+# Only free review text holds line breaks inside quotes.
 MULTILINE = {"order_reviews"}
 
 
 def read_extract(spark: SparkSession, table: str, path: str) -> DataFrame:
-    """Scan one extract by position: header skipped, every column text, malformed rows raise."""
-    return (
-        spark.read.schema(raw_schema(table))
-        .options(header=True, enforceSchema=True, quote='"', escape='"', mode="FAILFAST", encoding="UTF-8",
-                 multiLine=table in MULTILINE)
-        .csv(path)
-    )
+    """Scan one extract by position: header skipped, every column text, malformed rows raise.
+
+    A file whose values hold line breaks is read by as many tasks as any other; see records().
+    """
+    options = {"quote": '"', "escape": '"', "mode": "FAILFAST"}
+    if table in MULTILINE:
+        schema = ", ".join(f"{c} string" for c in RAW_COLUMNS[table])
+        row = F.from_csv("record", schema, {**options, "multiLine": "true"})
+        return records(spark, path).select(row.alias("row")).select("row.*")
+    return spark.read.schema(raw_schema(table)).options(header=True, enforceSchema=True, encoding="UTF-8", **options).csv(path)
 
 
 def read_extracts(spark: SparkSession, folder: str, patterns: dict[str, str] | None = None) -> dict[str, DataFrame]:

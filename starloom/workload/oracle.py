@@ -571,6 +571,8 @@ _S = {side: (f"coalesce(sum(review_score) FILTER (WHERE {keep}), 0)", f"count(re
 _PENALTY = ratio(f"{_S['hit'][0]} * {_S['miss'][1]} - {_S['miss'][0]} * {_S['hit'][1]}", f"{_S['hit'][1]} * {_S['miss'][1]}", 2) + " AS csat_penalty"
 add("n6_delivery_sla", f"SELECT {_SLA}, {_PENALTY} FROM fof WHERE {DELIVERED}")
 add("n6_delivery_sla_by_state", f"SELECT customer_state, {_SLA}, {_PENALTY} FROM fof JOIN dc ON fof.customer_key = dc.customer_key WHERE {DELIVERED} GROUP BY 1")
+add("n6_delivery_sla_by_month", f"""SELECT {b('year')}, {b('month')}, {_SLA}, {_PENALTY} FROM fof JOIN dd ON order_purchase_date_key = date_key
+WHERE {DELIVERED} GROUP BY year, month""")
 add("n7_score_distribution", f"SELECT is_on_time, {cols(*[f'count(*) FILTER (WHERE review_score = {i}) AS score_{i}' for i in range(1, 6)])} FROM fof WHERE {DELIVERED} AND is_on_time IS NOT NULL GROUP BY 1")
 for _name, _role in [("purchase", "order_purchase_date_key"), ("delivery", "delivered_date_key")]:
     add(f"n7_on_time_by_{_name}_month", f"""SELECT {b('year')}, {b('month')}, count(*) AS delivered_orders, {_ON_TIME} AS on_time_orders, {pct(_ON_TIME, 'count(*)')} AS on_time_rate_pct
@@ -604,6 +606,9 @@ FROM (SELECT customer_unique_id, customer_state, date_diff('day', last_day, (SEL
 add("n9_rfm_scores", f"SELECT customer_unique_id, customer_state, {b('recency_days')}, frequency, {d('monetary')}, {b('r_score')}, {b('f_score')}, {b('m_score')} FROM rfm", RFM)
 STATE_VALUE = _VALUE + ", state_value AS (SELECT customer_state, sum(monetary) AS revenue, count(*) AS customers FROM value_rows GROUP BY 1)"
 _ranked("n9_revenue_by_state", "state_value", "revenue DESC, customer_state", f"customer_state, {d('revenue')}, customers", STATE_VALUE, 5)
+CITY_VALUE = _VALUE + """, city_value AS (SELECT customer_city, v.customer_state, sum(monetary) AS revenue, count(*) AS customers
+FROM value_rows v JOIN dc USING (customer_unique_id) GROUP BY 1, 2)"""
+_ranked("n9_revenue_by_city", "city_value", "revenue DESC NULLS LAST, customer_city, customer_state", f"customer_city, customer_state, {d('revenue')}, customers", CITY_VALUE, 10)
 _PRODUCT_SUMS = f"""count(*) AS items_sold, sum(price) AS gmv, sum(sales_amount) AS total_revenue, {mean('price', 2)} AS avg_price, {mean('freight_value', 2)} AS avg_freight,
 {pct(f"sum({cents('freight_value')})", f"sum({cents('price')})")} AS freight_ratio_pct"""
 _PRODUCT_OUT = f"items_sold, {d('gmv')}, {d('total_revenue')}, avg_price, avg_freight, freight_ratio_pct"
@@ -624,6 +629,8 @@ CASE WHEN gmv > 100000 THEN 'Tier 1' WHEN gmv >= 20000 THEN 'Tier 2' ELSE 'Tier
 {mean('hours_to_carrier', 2)} AS avg_dispatch_hours, {mean('hours_to_carrier', 2, 24)} AS avg_dispatch_days, {pct(_SAME, 'count(*)')} AS same_state_rate_pct, {mean('review_score', 2)} AS avg_csat FROM pairs GROUP BY 1, 2)""", PAIRS)
 add("n11_sellers_by_state", f"""SELECT seller_state, active_sellers, {d('gmv', 'total_gmv')}, avg_dispatch_hours, {pct('active_sellers', '(SELECT count(DISTINCT seller_id) FROM pairs)')} AS seller_share_pct
 FROM (SELECT seller_state, count(DISTINCT seller_id) AS active_sellers, sum(gmv) AS gmv, {mean('hours_to_carrier', 2)} AS avg_dispatch_hours FROM pairs GROUP BY 1)""", PAIRS)
+add("n11_sellers_by_city", f"""SELECT seller_state, seller_city, active_sellers, {d('gmv', 'total_gmv')}, avg_dispatch_hours, {pct('active_sellers', '(SELECT count(DISTINCT seller_id) FROM pairs)')} AS seller_share_pct
+FROM (SELECT p.seller_state, ds.seller_city, count(DISTINCT p.seller_id) AS active_sellers, sum(gmv) AS gmv, {mean('hours_to_carrier', 2)} AS avg_dispatch_hours FROM pairs p JOIN ds USING (seller_key) GROUP BY 1, 2)""", PAIRS)
 add("n11_route_comparison", f"""SELECT CASE WHEN same_state THEN 'Intra-state' ELSE 'Inter-state' END AS route, count(*) AS seller_orders, {mean('total_fulfillment_hours', 2)} AS avg_fulfillment_hours,
 {mean('freight', 2)} AS avg_freight FROM pairs WHERE same_state IS NOT NULL GROUP BY 1""", PAIRS)
 add("n12_average_order_value", f"SELECT count(DISTINCT order_id) AS total_orders, {d('sum(total_payment_value)', 'total_payments')}, {ratio(f"sum({cents('total_payment_value')})", 'count(DISTINCT order_id) * 100', 2)} AS avg_order_value FROM fof")

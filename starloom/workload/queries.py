@@ -310,19 +310,19 @@ on_star("e15_delay_score_correlation", lambda star: analysis.delay_score_correla
 @register("f4_row_numbers")
 def _(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return ordered(orders, [F.desc("o_orderdate"), F.asc("o_orderkey")], row_no="row_no").select("o_orderkey", "row_no")
+    return ordered(orders, ["-o_orderdate", "o_orderkey"], row_no="row_no").select("o_orderkey", "row_no")
 
 
 @register("f6_running_total")
 def _(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", F.col("o_totalprice").cast("decimal(12,2)").alias("total"))
-    return ordered(orders, [F.asc("o_orderdate"), F.asc("o_orderkey")], running={"running_total": "total"}).select("o_orderkey", "running_total")
+    return ordered(orders, ["o_orderdate", "o_orderkey"], running={"running_total": "total"}).select("o_orderkey", "running_total")
 
 
 @register("f8_ntile")
 def _(spark, sf_dir):
     people = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-    return ntile(people, [F.asc("c_acctbal"), F.asc("c_custkey")], 5, "quintile")
+    return ntile(people, ["c_acctbal", "c_custkey"], 5, "quintile")
 
 
 @register("g1_null_order")
@@ -496,7 +496,8 @@ on_star("n2_sla_by_state", analysis.sla_by_state)
 on_star("n3_purchase_segments", analysis.purchase_segments)
 on_star("n4_category_reviews", analysis.category_sales_and_reviews)
 on_star("n5_order_values", analysis.order_values)
-on_star("n6_delivery_sla", lambda star: analysis.delivery_sla(star, by_state=False))
+on_star("n6_delivery_sla", lambda star: analysis.delivery_sla(star, by=None))
+on_star("n6_delivery_sla_by_month", lambda star: analysis.delivery_sla(star, by="month"))
 on_star("n6_delivery_sla_by_state", analysis.delivery_sla)
 on_star("n7_score_distribution", analysis.score_distribution)
 on_star("n7_on_time_by_purchase_month", analysis.on_time_trend)
@@ -511,14 +512,16 @@ on_star("n8_peak_weeks", lambda star: analysis.peak_periods(star, "week"))
 on_star("n9_customer_value", lambda star: analysis.customer_value(star))
 on_star("n9_customer_summary", analysis.customer_summary)
 on_star("n9_rfm_scores", analysis.rfm)
-on_star("n9_revenue_by_state", analysis.revenue_by_state)
+on_star("n9_revenue_by_state", analysis.revenue_by_place)
+on_star("n9_revenue_by_city", lambda star: analysis.revenue_by_place(star, ("customer_city", "customer_state"), 10))
 on_star("n10_category_pareto", analysis.category_pareto)
 on_star("n10_weight_buckets", analysis.product_buckets)
 on_star("n10_photo_buckets", lambda star: analysis.product_buckets(star, "photos"))
 on_star("n10_product_correlations", lambda star: analysis.product_correlations(star).select(
     *[F.round(c, 6).alias(c) for c in ["corr_photos_items", "corr_description_items", "corr_weight_freight"]]))
 on_star("n11_seller_performance", analysis.seller_performance)
-on_star("n11_sellers_by_state", analysis.sellers_by_state)
+on_star("n11_sellers_by_state", analysis.sellers_by_place)
+on_star("n11_sellers_by_city", lambda star: analysis.sellers_by_place(star, ("seller_state", "seller_city")))
 on_star("n11_route_comparison", analysis.route_comparison)
 on_star("n12_average_order_value", analysis.average_order_value)
 on_star("n13_seller_concentration", analysis.seller_concentration)

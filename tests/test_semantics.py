@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import Counter
 from decimal import Decimal as D
 
 import pytest
@@ -15,7 +16,7 @@ from starloom.operators.dedup import duplicate_keys, latest_row, modal_row
 from starloom.plans import analysis, metrics
 from starloom.plans.clean import clean_views
 from starloom.schemas import star_schema
-from starloom.plans.star import Calendar, build_lazy, calendar_of, dim_date, role_keys, role_keys_by_join
+from starloom.plans.star import DATE_ROLES, Calendar, build_lazy, calendar_of, dim_date, role_keys, role_keys_by_join, stored_orders
 
 
 @pytest.fixture(scope="module")
@@ -251,6 +252,41 @@ def test_calendar_comes_from_the_orders(spark):
     assert calendar_of(orders.filter("false")) == Calendar(dt.date(1970, 1, 1), dt.date(1970, 1, 1))
 
 
+@pytest.mark.parametrize("year", [2900, 9999])
+@pytest.mark.parametrize("column", ["order_purchase_timestamp", "order_estimated_delivery_date"])
+def test_a_stray_date_neither_stretches_the_calendar_nor_stops_the_load(spark, year, column):
+    """Its row is loaded, without a key for that day."""
+    views = dict(clean_views(raw_shop(spark)))
+    plain = calendar_of(views["vw_orders"])
+    stray = F.lit(f"{year}-12-31 10:00:00").cast("timestamp_ntz")
+    views["vw_orders"] = views["vw_orders"].withColumn(column, F.when(F.col("order_id") == "o1", stray).otherwise(F.col(column)))
+    found = calendar_of(views["vw_orders"])
+    assert plain.first <= found.first and found.last <= plain.last
+    kept, same = stored_orders(views["vw_orders"])
+    assert same == found and kept.count() == views["vw_orders"].count()
+    star = build_lazy(spark, views)
+    role = next(r for r, stamp in DATE_ROLES.items() if stamp == column)
+    keys = {r.order_id: r[role] for r in star["fact_order_fulfillment"].collect()}
+    assert "o1" in keys and keys["o1"] is None and any(keys.values())
+    assert star["dim_date"].count() == (found.last - found.first).days + 1
+
+
+def test_a_given_end_is_kept(spark):
+    orders = clean_views(raw_shop(spark))["vw_orders"]
+    wanted = Calendar(dt.date(2016, 1, 1), dt.date(2019, 12, 31))
+    assert stored_orders(orders, wanted)[1] == wanted == calendar_of(orders, wanted)
+    assert calendar_of(orders.filter("false"), Calendar(last=dt.date(2000, 1, 1))) == Calendar(dt.date(2000, 1, 1), dt.date(2000, 1, 1))
+    with pytest.raises(ValueError, match="--first-day"):
+        day_spine(spark, dt.date(1, 1, 1), dt.date(9999, 1, 1))
+
+
+def test_missing_days_of_groups(spark):
+    days = [(g, dt.date(2020, 1, d)) for g, ds in (("a", [1, 2, 5, 5, 9]), ("b", [3]), (None, [1, 3])) for d in ds] + [("a", None)]
+    got = Counter(tuple(r) for r in missing_days(spark.createDataFrame(days, "g string, day date"), "day", ["g"]).collect())
+    assert got == Counter([("a", dt.date(2020, 1, d)) for d in (3, 4, 6, 7, 8)] + [(None, dt.date(2020, 1, 2))])
+    assert "LeftAnti" not in missing_days(spark.createDataFrame(days, "g string, day date"), "day", ["g"])._jdf.queryExecution().toString()
+
+
 def test_empty_facts(star):
     empty = {t: df.filter("false") for t, df in star.items()}
     assert metrics.total_revenue(empty).first().total_revenue == D("0.00")
