@@ -39,21 +39,24 @@ def stands_before(x: Column, order: list[str], or_equal: bool = False) -> Column
     return result
 
 
-def sampled(df: DataFrame, orders: Iterable[list[str]], ranges: int, label: str) -> DataFrame:
-    """A stored sample of the columns of some orders, some SAMPLED rows for each range. A hash of their values chooses, so reruns agree."""
-    columns = sorted({name for order in orders for name, _ in _named(order)})
+def bounds(df: DataFrame, by: dict[str, list[str]], ranges: int) -> DataFrame:
+    """One stored row: for each name an array of the first rows of all ranges of its order but the first range.
+
+    They are every so many-th row of a sorted sample of some SAMPLED rows per range, which a hash of the rows' values chooses. Any bounds give right
+    results; even ones keep tasks even.
+    """
+    columns = sorted({name for order in by.values() for name, _ in _named(order)})
     skipped = max(1, df.count() // (ranges * SAMPLED))
-    return durable(df.select(*columns).where(F.pmod(F.xxhash64(*columns), F.lit(skipped)) == 0), label)
+    sample = df.select(*columns).where(F.pmod(F.xxhash64(*columns), F.lit(skipped)) == 0)
 
+    def listed(order: list[str]) -> Column:
+        at = sample.select(F.struct(*[name for name, _ in _named(order)]).alias("bound"), F.row_number().over(Window.orderBy(*sorting(order))).alias("i"),
+                           F.count(F.lit(1)).over(Window.partitionBy()).alias("n"))
+        step = F.greatest(F.lit(1), F.ceil(F.col("n") / ranges))
+        found = F.array_sort(F.collect_list(F.struct("i", "bound")))
+        return at.where(F.col("i") % step == 0).agg(F.transform(found, lambda b: b["bound"])).scalar()
 
-def bounds(sample: DataFrame, order: list[str], ranges: int) -> Column:
-    """The first rows of all ranges but the first, as a constant array: every so many-th row of the sorted sample. Any bounds give right results."""
-    names = [name for name, _ in _named(order)]
-    at = sample.select(F.struct(*names).alias("bound"), F.row_number().over(Window.orderBy(*sorting(order))).alias("i"),
-                       F.count(F.lit(1)).over(Window.partitionBy()).alias("n"))
-    step = F.greatest(F.lit(1), F.ceil(F.col("n") / ranges))
-    listed = F.array_sort(F.collect_list(F.struct("i", "bound")))
-    return at.where(F.col("i") % step == 0).agg(F.transform(listed, lambda b: b["bound"])).scalar()
+    return durable(df.sparkSession.range(1).select(*[listed(order).alias(name) for name, order in by.items()]), "bounds")
 
 
 def range_of(bound: str, order: list[str]) -> Column:
@@ -79,7 +82,7 @@ def ordered(df: DataFrame, order: list[str], running: dict[str, str] | None = No
     """
     running, totals = running or {}, totals or {}
     if running:
-        bound = bounds(sampled(df, [order], range_count(df), "ordered-sample"), order, range_count(df))
+        bound = bounds(df, {"_bound": order}, range_count(df)).scalar()
         inside = Window.partitionBy("_range").orderBy(*sorting(order)).rowsBetween(Window.unboundedPreceding, 0)
         ranged = df.withColumn("_bound", bound).withColumn("_range", range_of("_bound", order)).drop("_bound").select(
             "*", F.row_number().over(inside).alias("_row"), *[F.sum(col).over(inside).alias(f"_run_{name}") for name, col in running.items()])
@@ -114,37 +117,42 @@ def ordered(df: DataFrame, order: list[str], running: dict[str, str] | None = No
 def ntiles(df: DataFrame, by: dict[str, list[str]], tiles: int) -> DataFrame:
     """Add an exact NTILE over the whole table for each name and order of `by`: the first (n mod tiles) tiles hold one row more.
 
-    Rows are neither sorted nor moved. A sample gives bounds of ranges and one pass counts the rows of each range; only rows of ranges that
-    hold a tile's last row are ranked, and every row is labelled by how many of these last rows stand before it. df is read
-    twice, and once per name for the ranked ranges, each time without its other columns; store it first if it is costly.
+    Rows are neither sorted nor moved. A sample gives bounds of ranges, and one pass counts the rows of each range; only rows of ranges that
+    hold a tile's last row are ranked, and every row is labelled by how many of these last rows stand before it. df is read four times,
+    three of them without its other columns; store it first if it is costly.
     """
-    ranges = range_count(df)
-    sample = sampled(df, by.values(), ranges, "ntile-sample")
-    bounded = df.select("*", *[bounds(sample, order, ranges).alias(f"_bound_{name}") for name, order in by.items()])
+    if tiles == 1:
+        return df.select("*", *[F.lit(1).alias(name) for name in by])
+    found = bounds(df, by, range_count(df))
+    columns = sorted({c for order in by.values() for c, _ in _named(order)})
+    bounded = df.select(*columns, *[found.select(name).scalar().alias(f"_bound_{name}") for name in by])
+    places = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), range_of(f"_bound_{name}", order).alias("range")) for name, order in by.items()]))
+    spread = bounded.select(*columns, places.alias("at")).select(*columns, "at.name", "at.range")
+
     # a row per name and range
-    counted = durable(bounded.select(F.explode(F.array(*[
-        F.struct(F.lit(name).alias("name"), range_of(f"_bound_{name}", order).alias("range")) for name, order in by.items()])).alias("at")).groupBy("at.name", "at.range").agg(F.count(F.lit(1)).alias("n")), "ntile-counts")
-    upto = Window.partitionBy("name").orderBy("range")
-    placed = counted.select("name", "range", F.sum("n").over(upto).alias("upto"), "n", F.sum("n").over(Window.partitionBy("name")).alias("all"))
-    small = F.floor(F.col("all") / tiles)
-    last = F.col("tile") * small + F.least(F.col("tile"), F.col("all") % tiles)
-    wanted = durable(placed.select("*", F.explode(F.sequence(F.lit(1), F.lit(max(1, tiles - 1)))).alias("tile")).where(
-        (last <= F.col("upto")) & (last > F.col("upto") - F.col("n"))).select(
-        "name", "tile", F.col("range").alias("of_range"), (last - F.col("upto") + F.col("n")).alias("nth")), "ntile-cuts")
-    out = df
-    for name, order in by.items():
-        own = wanted.where(F.col("name") == name).select("tile", "of_range", "nth")
-        columns = [c for c, _ in _named(order)]
-        held = bounded.select(*columns, range_of(f"_bound_{name}", order).alias("range")).join(
-            F.broadcast(own.select("of_range").distinct()), F.col("range") == F.col("of_range"), "left_semi")  # at most tiles - 1 rows
-        ranked = held.select(F.struct(*columns).alias("cut"), "range", F.row_number().over(Window.partitionBy("range").orderBy(*sorting(order))).alias("row"))
-        cuts = ranked.join(F.broadcast(own), (F.col("range") == F.col("of_range")) & (F.col("row") == F.col("nth"))).agg(F.collect_list("cut"))
-        out = out.withColumn(f"_cuts_{name}", cuts.scalar())
+    upto = F.sum("n").over(Window.partitionBy("name").orderBy("range"))
+    counted = spread.groupBy("name", "range").agg(F.count(F.lit(1)).alias("n")).select(
+        "name", "range", upto.alias("upto"), "n", F.sum("n").over(Window.partitionBy("name")).alias("all"))
+    last = F.col("tile") * F.floor(F.col("all") / tiles) + F.least(F.col("tile"), F.col("all") % tiles)
+    wanted = counted.select("*", F.explode(F.sequence(F.lit(1), F.lit(tiles - 1))).alias("tile")).where(
+        (last <= F.col("upto")) & (last > F.col("upto") - F.col("n"))).groupBy(F.col("name").alias("of"), F.col("range").alias("of_range")).agg(
+        F.collect_list(last - F.col("upto") + F.col("n")).alias("nth"))
+
+    held = spread.join(F.broadcast(wanted), (F.col("name") == F.col("of")) & (F.col("range") == F.col("of_range")))  # at most tiles - 1 rows per name
+    own = [F.when(F.col("name") == name, F.col(c)) for name, order in by.items() for c, _ in _named(order)]  # null, so without effect, for other names
+    down = [d for order in by.values() for _, d in _named(order)]
+    rank = F.row_number().over(Window.partitionBy("name", "range").orderBy(*[c.desc() if d else c.asc() for c, d in zip(own, down)]))
+    cut = held.select("name", "nth", F.struct(*columns).alias("row"), rank.alias("rank"))
+    last_rows = F.filter("nth", lambda n: n == F.col("rank"))  # tiles without rows end where others do
+    cuts = cut.select("name", F.explode(F.transform(last_rows, lambda n: F.col("row"))).alias("row")).agg(
+        *[F.collect_list(F.when(F.col("name") == name, F.col("row"))).alias(name) for name in by])
+    cuts = durable(cuts, "ntile-cuts")
+    labelled = df.select("*", *[cuts.select(name).scalar().alias(f"_cuts_{name}") for name in by])
 
     def tile(name: str) -> Column:
-        return F.lit(1) if tiles == 1 else F.size(F.filter(f"_cuts_{name}", lambda cut: stands_before(cut, by[name]))) + 1
+        return F.size(F.filter(f"_cuts_{name}", lambda cut: stands_before(cut, by[name]))) + 1
 
-    return out.select(*df.columns, *[tile(name).cast("int").alias(name) for name in by])
+    return labelled.select(*df.columns, *[tile(name).cast("int").alias(name) for name in by])
 
 
 def ntile(df: DataFrame, order: list[str], tiles: int, name: str) -> DataFrame:
