@@ -30,6 +30,7 @@ BIT_WORDS, PLANES = 3, 3  # 3 bits of each of 64 * 3 MinHash values, plane by pl
 LONG_WORDS, LONG_PLANES = 16, 2  # the second comparison: 2 bits of each of 64 * 16 further values, for the few nodes that get so far
 LOST = 4e-10  # share of the links at exactly the threshold that each of the two comparisons may lose
 MEMBERS = 128  # documents compared with one hub in one group
+BLOCK = 256  # nodes of one bucket that meet another block of it in one group
 
 
 def keys_for(percent: int) -> int:
@@ -202,11 +203,12 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     equal sets are one node, so copies are never paired, nor are repeats of a row. Rows with one id and different sets are
     nodes of their own: each has its own links, and they are not linked by their id. An empty table gives no rows.
 
-    1. Each node's A keys are grouped. Where several nodes share a key, the one with the most such meetings is the hub;
-       pairs of hub and other nodes are confirmed, and linked nodes form preliminary components.
+    1. A node that shares no A key with another is in no table with it. The others are dealt to the tables by the combined keys (A_i, B_j).
+       In each table the node whose A keys met most often is the hub; pairs of hub and other nodes are confirmed, and linked nodes form preliminary components.
     2. Only nodes in A buckets that still hold several components go on. Shingles that no other of them holds are counted:
        they are in no intersection, which bounds a node's similarity to any other, and rules out most pairs of copies with
-       edits of their own, however large their group. What is left meets in the tables (A_i, B_j); pairs of different
+       edits of their own, however large their group. What is left meets by A_i, block by block of a bucket, and B is tested within:
+       so a pair is taken up once, not in each table that it shares. Pairs of different
        components that no earlier step compared are confirmed. Of the filters before a confirmation,
        set sizes and own shingles are exact bounds; the two sketches lose a linked pair with a probability below 1e-9 together.
        The tables themselves miss one at the threshold in about 1 of 60,000 cases. Nothing caps buckets or partners.
@@ -231,37 +233,50 @@ def _resolved(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
     nodes = durable(usable.join(classes.select("node"), F.col("row") == F.col("node")).select("node", "n", *BITS, "a", "b"), "near-nodes")
 
     rows = nodes.select("node", F.explode("a").alias("a_key"))
-    shared = rows.groupBy("a_key").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
-    hits = durable(rows.join(shared, "a_key").join(nodes.select("node", "n", *BITS), "node"), "near-hits")
-    meetings = hits.groupBy("node").agg(F.sum("met").alias("meetings"))
-    wanted = classes.join(meetings.select("node"), "node").select("node", "name", "least_id", (F.col("copies") > 1).alias("repeated")).hint("shuffle_hash")
+    shared = durable(rows.groupBy("a_key").agg(F.count(F.lit(1)).alias("met")).where("met > 1"), "near-shared")
+    own = rows.join(shared, "a_key").groupBy("node").agg(F.sum("met").alias("meetings"), F.collect_list("a_key").alias("a_shared"))  # of a node's own keys
+    met = durable(nodes.join(own, "node"), "near-met")
+    wanted = classes.join(met.select("node"), "node").select("node", "name", "least_id", (F.col("copies") > 1).alias("repeated")).hint("shuffle_hash")
     read = durable(slim.join(wanted, F.col("doc_id") == F.col("least_id")).select("node", "text", "name", "repeated").mapInArrow(_hashes(width), T.StructType(
         [T.StructField("node", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType())), T.StructField("repeated", T.BooleanType())])), "near-read")
     once = durable(read.where("repeated").select("node", "hashes").dropDuplicates(["node"]), "near-once")  # rows may repeat with their ids
     sets = read.where("NOT repeated").select("node", "hashes").unionByName(once)
 
-    weighed = hits.join(meetings, "node")
-    hub = weighed.groupBy("a_key").agg(F.max(F.struct("meetings", "node", "n", *BITS)).alias("h")).select(
-        "a_key", F.col("h.node").alias("hub"), F.col("h.n").alias("n"), *[F.col(f"h.{b}").alias(b) for b in BITS])
-    first = durable(hits.alias("x").join(hub.alias("y"), F.col("x.a_key") == F.col("y.a_key")).where(F.col("x.node") != F.col("y.hub")).where(
-        _alike("x", "y", percent)).select(F.col("y.hub").alias("hub"), F.col("x.node").alias("node")).distinct(), "near-pairs")
-    links = durable(_confirmed(first, sets, percent), "near-links")
+    # table (i, j) is keyed by A_i and B_j; a key that holds i and a key that holds j are hashed to one
+    placed = met.select("node", "meetings", "b", F.explode("a_shared").alias("a_key")).select("node", "meetings", "a_key", F.explode("b").alias("b_key")).select(
+        F.xxhash64("a_key", "b_key").alias("table"), "node", "meetings")
+    hubs = durable(placed.groupBy("table").agg(F.max(F.struct("meetings", "node")).alias("h"), F.count(F.lit(1)).alias("held")).where("held > 1").select(
+        "table", F.col("h.node").alias("hub")), "near-hubs")
+    pairs = placed.join(hubs, "table").where("node <> hub").select("hub", "node").distinct()
+    traits = met.select("node", "n", *BITS)
+    named = traits.select(*[F.col(c).alias(f"h_{c}") for c in traits.columns])
+    known = durable(pairs.join(traits, "node").join(named, F.col("hub") == F.col("h_node")).select(
+        F.struct("n", *BITS).alias("x"), F.struct(F.col("h_n").alias("n"), *[F.col(f"h_{b}").alias(b) for b in BITS]).alias("y"), "hub", "node").where(
+        _alike("x", "y", percent)).select("hub", "node"), "near-pairs")
+    links = durable(_confirmed(known, sets, percent), "near-links")
     joined = components(links)
 
-    marked = hits.join(joined, "node", "left").select("node", "n", *BITS, "a_key", F.coalesce("component", "node").alias("component"))
-    mixed = durable(_several(marked, "a_key"), "near-mixed")
+    marked = durable(met.join(joined, "node", "left").select("node", "n", F.coalesce("component", "node").alias("component"), "a_shared"), "near-marked")
+    mixed = durable(_several(marked.select("node", "n", "component", F.explode("a_shared").alias("a_key")), "a_key"), "near-mixed")
     able = _held_by_others(mixed.select("node", "n").distinct(), sets).where(F.col("common") * 100 >= F.col("n") * percent).select("node", "common")
     able = durable(able.join(sets, "node").select("node", "common", "hashes").mapInArrow(_lengthened, T.StructType(
         [T.StructField("node", T.LongType()), T.StructField("common", T.LongType()), *[T.StructField(c, T.LongType()) for c in LONG]])).dropDuplicates(["node"]), "near-able")
-    mixed = _several(mixed.join(able, "node"), "a_key")
-    tables = durable(mixed.join(nodes.select("node", "a", "b"), "node"), "near-tables")
+    left = durable(_several(mixed.join(able.select("node"), "node"), "a_key"), "near-left")
+    sizes = durable(left.groupBy("a_key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "near-blocks")
+    dealt = left.join(sizes, "a_key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    full = durable(dealt.join(met.select("node", *BITS, "a", "b"), "node").join(able, "node"), "near-full")
+    # every two blocks of a bucket meet in a task of their own
+    low = full.withColumn("low", F.col("block")).withColumn("high", F.explode(F.sequence("block", F.col("blocks") - 1)))
+    high = full.withColumn("high", F.col("block")).withColumn("low", F.explode(F.sequence(F.lit(0), F.col("block"))))
+    apart = (F.col("x.component") < F.col("y.component")) | ((F.col("x.low") < F.col("x.high")) & (F.col("x.component") > F.col("y.component")))
     most = F.least("x.common", "y.common")  # of shingles that both can have
-    # two nodes share table (i, j) if A_i and B_j agree; a pair is taken up under the least A key that it shares, so once
+    # a pair is taken up under the least A key that it shares, so once, and only if B keys agree too
     first_shared = F.col("x.a_key") == F.array_min(F.array_intersect("x.a", "y.a"))
-    second = tables.alias("x").join(tables.alias("y"), F.col("x.a_key") == F.col("y.a_key")).where(
-        (F.col("x.component") < F.col("y.component")) & (most * 100 >= (F.col("x.n") + F.col("y.n") - most) * percent) & _alike("x", "y", percent)
-        & (_differing("x", "y", LONG, LONG_WORDS) <= most_differing(64 * LONG_WORDS, LONG_PLANES, percent)) & F.arrays_overlap("x.b", "y.b") & first_shared).select(F.col("x.node").alias("hub"), F.col("y.node").alias("node"))
-    known = first.unionByName(first.select(F.col("node").alias("hub"), F.col("hub").alias("node")))
+    same = (F.col("x.a_key") == F.col("y.a_key")) & (F.col("x.low") == F.col("y.low")) & (F.col("x.high") == F.col("y.high"))
+    second = low.alias("x").join(high.alias("y"), same & apart & (most * 100 >= (F.col("x.n") + F.col("y.n") - most) * percent) & _alike("x", "y", percent)
+        & (_differing("x", "y", LONG, LONG_WORDS) <= most_differing(64 * LONG_WORDS, LONG_PLANES, percent)) & F.arrays_overlap("x.b", "y.b") & first_shared).select(
+        F.col("x.node").alias("hub"), F.col("y.node").alias("node"))
+    known = known.unionByName(known.select(F.col("node").alias("hub"), F.col("hub").alias("node")))
     more = durable(_confirmed(durable(second.join(known, ["hub", "node"], "left_anti"), "near-pairs-2"), sets, percent), "near-links-2")
     if not more.isEmpty():
         joined = components(links.unionByName(more))
@@ -303,9 +318,9 @@ def _held_by_others(nodes: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _several(rows: DataFrame, key: str) -> DataFrame:
-    """The rows whose key occurs with more than one component."""
+    """The rows whose key occurs with more than one component. The keys are stored, so that a hot one can be split in the join."""
     ends = rows.groupBy(key).agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select(key)
-    return rows.join(ends, key, "left_semi")
+    return rows.join(durable(ends, "near-several"), key, "left_semi")
 
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
