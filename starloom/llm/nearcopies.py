@@ -205,7 +205,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     1. A node that shares no A key with another is in no table with it. The others are dealt to the tables by the combined keys (A_i, B_j).
        In each table the node whose A keys met most often is the hub; pairs of hub and other nodes are confirmed, and linked nodes form preliminary components.
-    2. Only nodes in A buckets that still hold several components go on. Shingles that no other of them holds are counted:
+    2. Only nodes in A buckets that still hold several components go on. Shingles that no other node of any bucket holds are counted:
        they are in no intersection, which bounds a node's similarity to any other, and rules out most pairs of copies with
        edits of their own, however large their group. What is left meets by A_i, block by block of a bucket, and B is tested within:
        so a pair is taken up once, not in each table that it shares. Pairs of different
@@ -230,12 +230,12 @@ def _resolved(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
     usable = sketched.where("n > 0 AND doc_id IS NOT NULL")
     # a node is a set, whatever the ids of its rows: the number of the first of its rows, and the smallest of their ids
     classes = durable(usable.groupBy("name").agg(F.min("row").alias("node"), F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies")), "near-classes")
-    nodes = durable(usable.join(classes.select("node"), F.col("row") == F.col("node")).select("node", "n", *BITS, "a", "b"), "near-nodes")
+    nodes = durable(usable.select("row", "a").join(classes.select("node"), F.col("row") == F.col("node")).select("node", "a"), "near-nodes")
 
     rows = nodes.select("node", F.explode("a").alias("a_key"))
     shared = durable(rows.groupBy("a_key").agg(F.count(F.lit(1)).alias("met")).where("met > 1"), "near-shared")
     own = rows.join(shared, "a_key").groupBy("node").agg(F.sum("met").alias("meetings"), F.collect_list("a_key").alias("a_shared"))  # of a node's own keys
-    met = durable(nodes.join(own, "node"), "near-met")
+    met = durable(usable.select("row", "n", *BITS, "a", "b").join(own, F.col("row") == F.col("node")).drop("row"), "near-met")
     wanted = classes.join(met.select("node"), "node").select("node", "name", "least_id", (F.col("copies") > 1).alias("repeated")).hint("shuffle_hash")
     read = durable(slim.join(wanted, F.col("doc_id") == F.col("least_id")).select("node", "text", "name", "repeated").mapInArrow(_hashes(width), T.StructType(
         [T.StructField("node", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType())), T.StructField("repeated", T.BooleanType())])), "near-read")
@@ -258,7 +258,7 @@ def _resolved(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
 
     marked = durable(met.join(joined, "node", "left").select("node", "n", F.coalesce("component", "node").alias("component"), "a_shared"), "near-marked")
     mixed = durable(_several(marked.select("node", "n", "component", F.explode("a_shared").alias("a_key")), "a_key"), "near-mixed")
-    able = _held_by_others(mixed.select("node", "n").distinct(), sets).where(F.col("common") * 100 >= F.col("n") * percent).select("node", "common")
+    able = _held_by_others(mixed.select("node", "n").distinct(), read).where(F.col("common") * 100 >= F.col("n") * percent).select("node", "common")
     able = durable(able.join(sets, "node").select("node", "common", "hashes").mapInArrow(_lengthened, T.StructType(
         [T.StructField("node", T.LongType()), T.StructField("common", T.LongType()), *[T.StructField(c, T.LongType()) for c in LONG]])).dropDuplicates(["node"]), "near-able")
     left = durable(_several(mixed.join(able.select("node"), "node"), "a_key"), "near-left")
@@ -310,10 +310,9 @@ def _hashes(width: int):
 
 
 def _held_by_others(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """Add `common`, the number of a node's shingles that another of the nodes holds too."""
-    held = nodes.select("node").join(sets, "node").select("node", F.explode("hashes").alias("hash")).groupBy("hash").agg(
-        F.count(F.lit(1)).alias("holders"), F.min("node").alias("node"))
-    own = held.where("holders = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    """Add `common`, the number of a node's shingles that another node with a set holds too; a node's set may be there several times."""
+    held = sets.select("node", F.explode("hashes").alias("hash")).groupBy("hash").agg(F.min("node").alias("node"), F.max("node").alias("last"))
+    own = held.where("node = last").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
     return nodes.join(own, "node", "left").withColumn("common", F.col("n") - F.coalesce("own", F.lit(0)))
 
 
