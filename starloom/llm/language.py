@@ -18,8 +18,11 @@ from starloom.operators.durable import durable
 DIMS = 8192  # n-grams are hashed to so many places
 CLUSTERS = 4  # centroids per language at most
 SAMPLE = 1000  # labelled texts per language that the model is fitted on, about
-MOST_LANGUAGES = 512  # more labels than this are an error; the model then holds at most 512 * 4 centroids of 32 kB
-SLACK = 0.3  # a text is rejected when nearer to no centroid than SLACK times that centroid's farthest fitted text
+MOST_LANGUAGES = 512  # the most frequent labels are learned, of equal ones the first; a model holds at most 512 * 4 centroids of 32 kB
+FEWEST = 8  # different texts of a cluster at least; smaller ones are no centroid of their own
+LOW = 0.02  # share of a cluster's texts, the farthest ones, that do not count for its gate
+SLACK = 0.3  # a text is rejected when nearer to no centroid than SLACK times the farthest of that centroid's other texts
+FULL = 200  # different n-grams from which a text can come as near as any; fewer lower its gate by the square root of their share
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 SPACE = 32
@@ -58,23 +61,30 @@ def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return v / np.where(size > 0, size, 1)
 
 
-def clustered(v: np.ndarray, k: int, rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:
-    """Up to k unit centroids by k-means with cosine, started from texts far from each other, and the least cosine of each one's texts."""
-    chosen = [0]
-    near = v @ v[0]
-    while len(chosen) < min(k, len(v)):
-        chosen.append(int(near.argmin()))
-        near = np.maximum(near, v @ v[chosen[-1]])
-    centres = v[chosen]
-    for _ in range(rounds):
-        of = (v @ centres.T).argmax(axis=1)
-        sums = np.stack([v[of == j].sum(axis=0) for j in range(len(centres))])
-        size = np.linalg.norm(sums, axis=1, keepdims=True)
-        centres = np.where(size > 0, sums / np.where(size > 0, size, 1), centres)
-    cosine = v @ centres.T
-    of = cosine.argmax(axis=1)
-    used = np.unique(of)
-    return centres[used], np.array([cosine[of == j, j].min() for j in used])
+def clustered(v: np.ndarray, k: int, rounds: int = 8, fewest: int = FEWEST) -> tuple[np.ndarray, np.ndarray]:
+    """Up to k unit centroids of different texts by k-means with cosine, and the cosine that all but the share LOW of each one's texts reach.
+
+    k-means++ chooses the starts with a chance that grows with the distance from those before. A cluster of fewer than `fewest` texts is
+    given up, the smallest first, and its texts join the nearest other one; the last cluster stays, whatever its size.
+    """
+    rng = np.random.default_rng(len(v))
+    centres = v[[int(rng.integers(len(v)))]]
+    while len(centres) < min(k, len(v)):
+        apart = np.maximum(1 - (v @ centres.T).max(axis=1), 0) ** 2
+        if not apart.any():
+            break
+        centres = np.concatenate([centres, v[[int(rng.choice(len(v), p=apart / apart.sum()))]]])
+    while True:
+        for _ in range(rounds):
+            of = (v @ centres.T).argmax(axis=1)
+            centres = np.stack([v[of == j].sum(axis=0) for j in np.unique(of)])
+            centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+        cosine = v @ centres.T
+        of = cosine.argmax(axis=1)
+        size = np.bincount(of, minlength=len(centres))
+        if size.min() >= fewest or len(centres) == 1:
+            return centres, np.array([np.quantile(cosine[of == j, j], LOW, method="higher") for j in range(len(centres))])
+        centres = np.delete(centres, size.argmin(), axis=0)
 
 
 @dataclass
@@ -95,12 +105,13 @@ class Model:
             return names, scores, rejected
         inside = [texts[i] for i in asked]
         for low, high in slices(inside):
-            cosine = weighted(counts_of(inside[low:high], len(self.idf)), self.idf) @ self.centres.T
+            counts = counts_of(inside[low:high], len(self.idf))
+            cosine = weighted(counts, self.idf) @ self.centres.T
             best = cosine.argmax(axis=1)
             value = np.clip(cosine[np.arange(len(best)), best], 0, 1)
             at = asked[low:high]
             scores[at] = value
-            rejected[at] = value < SLACK * self.least[best]
+            rejected[at] = value < SLACK * self.least[best] * np.sqrt(np.minimum((counts > 0).sum(axis=1) / FULL, 1))
             for i, j in zip(at, best):
                 names[i] = self.languages[j]
         return names, scores, rejected
@@ -110,18 +121,18 @@ def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str =
         clusters: int = CLUSTERS) -> Model:
     """Fit on rows where `usable` holds and text and language are not null.
 
-    Per language about `sample` rows are taken, by a hash of their id (all, if there are fewer). They are stored;
-    document frequencies are summed by place, and each language is clustered in its own task.
+    Per language about `sample` rows are taken, by a hash of their id and text (all, if there are fewer). They are stored;
+    document frequencies are summed by place, and the different texts of each language are clustered in a task of their own.
+    With more than MOST_LANGUAGES labels the rarer ones are not learned; their texts are still predicted.
     """
     spark = docs.sparkSession
     rows = docs.where(usable & F.col(lang_col).isNotNull())
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()}
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    counted = rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = {r["lang"]: r["n"] for r in counted.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()}
     share = F.lit(0.0)
     for lang, n in sizes.items():
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample / n))).otherwise(share)
-    drawn = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("lang")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col), F.lit("lang")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     taken = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), drawn.alias("drawn"))
     taken = durable(taken.where(F.col("text").isNotNull() & (F.col("drawn") < share)).drop("drawn"), "lang-sample")
 
@@ -142,7 +153,7 @@ def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str =
     sent = spark.sparkContext.broadcast(idf)
 
     def centroids(key, frame):
-        texts = sorted(frame["text"])  # rows arrive in any order, and clustering starts from the first
+        texts = sorted(set(frame["text"]))  # rows arrive in any order, and copies are no cluster
         parts = [weighted(counts_of(texts[low:high], dims), sent.value) for low, high in slices(texts)]
         v = np.concatenate(parts)
         v = v[v.any(axis=1)]

@@ -1,4 +1,8 @@
-"""License wording in texts: templates with optional and replaceable regions, compiled into automata over words."""
+"""License wording in texts: templates with optional and replaceable regions, compiled into automata over words.
+
+A license is found where its whole mandatory wording stands, with its conditions and its disclaimer; a text that drops or changes a clause is not
+taken for it. Notices, which only name a license, have templates and labels of their own.
+"""
 
 from __future__ import annotations
 
@@ -15,28 +19,69 @@ from starloom.llm.batches import text_slices
 #: The phrases every scan counts, with their labels.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: Wording of well-known licenses and notices. [[ ]] is optional, {{n}} stands for up to n words of any kind.
-TEMPLATES = {
-    "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of {{12}} to deal in the {{3}} without restriction including "
-                "without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the {{3}} and to permit persons "
-                "to whom the {{3}} is furnished to do so subject to the following conditions [[the above copyright notice and this permission notice "
-                "[[including the next paragraph]] shall be included in all copies or substantial portions of the {{3}}]]",
-    "isc-text": "permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby granted provided that the "
-                "above copyright notice and this permission notice appear in all copies",
-    "bsd-text": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
-                "[[1]] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
+#: The whole wording of licenses, from grant to disclaimer. [[ ]] is optional, {{n}} stands for up to n words of any kind.
+LICENSES = {
+    "mit-text": """permission is hereby granted free of charge to any person obtaining a copy of {{12}} to deal in the {{3}} without restriction including
+        without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the {{3}} and to permit persons to whom
+        the {{3}} is furnished to do so subject to the following conditions the above copyright notice and this permission notice
+        [[including the next paragraph]] shall be included in all copies or substantial portions of the {{3}} the {{3}} is provided as is without warranty of
+        any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no
+        event shall {{12}} be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in
+        connection with the {{3}} or the use or other dealings in the {{3}}""",
+    "isc-text": """permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby granted provided that the above
+        copyright notice and this permission notice appear in all copies the software is provided as is and {{8}} disclaims all warranties with regard to this
+        software including all implied warranties of merchantability and fitness in no event shall {{8}} be liable for any special direct indirect or
+        consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other
+        tortious action arising out of or in connection with the use or performance of this software""",
+    "bsd-2-text": """redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met
+        {{1}} redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer {{1}} redistributions
+        in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other
+        materials provided with the distribution this software is provided by {{12}} as is and any express or implied warranties including but not limited to
+        the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall {{12}} be liable for any direct
+        indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use
+        data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including
+        negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage""",
+    "bsd-3-text": """redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met
+        {{1}} redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer {{1}} redistributions
+        in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other
+        materials provided with the distribution {{1}} neither the name of {{12}} nor the names of [[its]] {{3}} contributors may be used to endorse or promote
+        products derived from this software without specific prior written permission this software is provided by {{12}} as is and any express or implied
+        warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event
+        shall {{12}} be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of
+        substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract
+        strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of
+        such damage""",
+    "zlib-text": """this software is provided as is without any express or implied warranty in no event will the {{3}} be held liable for any damages arising from
+        the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and
+        redistribute it freely subject to the following restrictions {{1}} the origin of this software must not be misrepresented you must not claim that you
+        wrote the original software if you use this software in a product an acknowledgment in the product documentation would be appreciated but is not
+        required {{1}} altered source versions must be plainly marked as such and must not be misrepresented as being the original software {{1}} this notice
+        may not be removed or altered from any source distribution""",
+    "unlicense-text": """this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or
+        distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means in
+        jurisdictions that recognize copyright laws the author or authors of this software dedicate any and all copyright interest in the software to the
+        public domain we make this dedication for the benefit of the public at large and to the detriment of our heirs and successors we intend this
+        dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law the software is
+        provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular
+        purpose and noninfringement in no event shall the authors be liable for any claim damages or other liability whether in an action of contract tort or
+        otherwise arising from out of or in connection with the software or the use or other dealings in the software [[for more information please refer to
+        http [[s]] unlicense org]]""",
+}
+
+#: Notices that name a license without giving its text, marked alike.
+NOTICES = {
     "apache-2-notice": "licensed under the apache license version 2 0 [[the license]] you may not use this file except in compliance with the license",
     "apache-2-name": "apache license [[version]] 2 0",
     "mit-name": "released under [[the terms of]] the mit license",
     "gpl-notice": "this {{3}} is free software you can redistribute it and or modify it under the terms of the gnu [[lesser]] [[affero]] general public license",
     "mpl-2-notice": "this source code form is subject to the terms of the mozilla public license v 2 0",
-    "unlicense-text": "this is free and unencumbered software released into the public domain",
     "cc-by-notice": "licensed under a creative commons attribution {{4}} [[international]] license",
     "cc-by-nc-name": "cc by nc [[sa]] [[nd]] 4 0",
-    "spdx-line": "spdx license identifier {{1}}",
-    "all-rights": "copyright {{8}} all rights reserved",
+    "spdx-notice": "spdx license identifier {{1}}",
 }
 
+TEMPLATES = {**LICENSES, **NOTICES}
+
 #: Lower-cases A-Z, keeps digits, letters and bytes above 127, and turns all other bytes into spaces.
 _WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 _MARKS = re.compile(r"\[\[|\]\]|\{\{(\d+)\}\}|[^\s\[\]{}]+")

@@ -86,15 +86,21 @@ def fit(rows: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMPLE
     return logistic(got[:, 1:], y)
 
 
-def _strength(groups: DataFrame, mean: float) -> float:
-    """How many documents a level's prior is worth, from the spread of its groups' rates beyond chance (method of moments)."""
+def _strength(groups: DataFrame, above: Column, parents: int) -> float:
+    """How many documents a level's prior is worth: the variance of documents within a group over that of the groups' rates (method of moments).
+
+    `groups` has n, the sum `good` of its documents' probabilities and the sum `squares` of their squares, `above` is the rate that a group is
+    shrunk to, of which there are `parents`. Both variances are those seen: the within part from the documents themselves, as
+    probabilities vary less than yes and no would, the rest of the groups' spread from what it would explain.
+    """
     rate = F.col("good") / F.col("n")
-    r = groups.where("n > 1").agg(F.sum("n").alias("n"), F.sum(F.col("n") * (rate - mean) ** 2).alias("s"), F.count(F.lit(1)).alias("groups")).first()
-    if not r["groups"]:
-        return WEAKEST
-    within = mean * (1 - mean)
-    between = r["s"] / r["n"] - within * r["groups"] / r["n"]
-    return float(min(max(within / between - 1 if between > 0 else STRONGEST, WEAKEST), STRONGEST))
+    r = groups.agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("n"), F.sum(F.col("squares") - F.col("n") * rate ** 2).alias("within"),
+                   F.sum(F.col("n") * (rate - above) ** 2).alias("between"), F.sum(F.col("n") * F.col("n") / F.col("of")).alias("own")).first()
+    if not r["groups"] or r["groups"] <= parents or r["n"] <= r["groups"]:  # nothing shows a spread
+        return STRONGEST
+    within = max(r["within"], 0.0) / (r["n"] - r["groups"])
+    between = (r["between"] - within * (r["groups"] - parents)) / (r["n"] - r["own"])
+    return float(min(max(within / between if between > 0 else STRONGEST, WEAKEST), STRONGEST))
 
 
 def _logit(p: Column) -> Column:
@@ -113,11 +119,14 @@ def posteriors(rows: DataFrame, weights: np.ndarray) -> DataFrame:
     """
     evidence = sum((F.col(f) * float(w) for f, w in zip(FEATURES, weights)), F.lit(float(weights[-1])))
     scored = rows.select("doc_id", "host", "path", evidence.alias("evidence")).withColumn("own", 1 / (1 + F.exp(-F.col("evidence"))))
-    paths = durable(scored.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("own").alias("good")), "quality-paths")
-    hosts = durable(paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good")), "quality-hosts")
-    whole = hosts.agg(F.sum("good"), F.sum("n")).first()
+    paths = durable(scored.groupBy("host", "path").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("own").alias("good"), F.sum(F.col("own") ** 2).alias("squares")), "quality-paths")
+    hosts = durable(paths.groupBy("host").agg(*[F.sum(c).alias(c) for c in ("n", "good", "squares")]), "quality-hosts")
+    whole = hosts.agg(F.sum("good"), F.sum("n"), F.count(F.lit(1))).first()
     mean = whole[0] / whole[1] if whole[1] else 0.5
-    host_worth, path_worth = _strength(hosts, mean), _strength(paths, mean)
+    host_worth = _strength(hosts.withColumn("of", F.lit(whole[1])), F.lit(float(mean)), 1)
+    above = hosts.select(F.col("host").alias("a_host"), (F.col("good") / F.col("n")).alias("above"), F.col("n").alias("of"))
+    path_worth = _strength(paths.join(above, F.col("host").eqNullSafe(F.col("a_host"))), F.col("above"), whole[2])
     sites = durable(paths.alias("p").join(hosts.alias("h"), F.col("p.host").eqNullSafe(F.col("h.host"))).select(
         F.col("p.host").alias("s_host"), F.col("p.path").alias("s_path"), F.col("p.n").alias("path_n"), F.col("p.good").alias("path_good"),
         F.col("h.n").alias("host_n"), F.col("h.good").alias("host_good")), "quality-sites")  # its measured size decides how it is joined

@@ -82,6 +82,24 @@ def op6_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+OP6_SQL = r"""
+WITH crc AS (
+  SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS step
+  FROM range(256) t(b)),
+texts AS (SELECT doc_id, coalesce(text, '') AS text, strlen(coalesce(text, '')) + 1 AS size, hex(encode(coalesce(text, ''))) AS bytes FROM documents),
+sized AS (
+  SELECT doc_id, size, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(regexp_extract_all(bytes, '..'), lambda pair: ('0x' || pair)::BIGINT)),
+    lambda c, x: xor(c >> 8, step[(xor(c, x) & 255) + 1])))::BIGINT AS text_crc32 FROM texts, crc),
+placed AS (
+  SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS UNBOUNDED PRECEDING) AS upto, sum(size) OVER () AS whole,
+         row_number() OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size) AS place FROM sized),
+dealt AS (SELECT *, ((upto * 2 - size) * 16 // (2 * whole))::INTEGER AS shard FROM placed)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard, (row_number() OVER (PARTITION BY shard ORDER BY place) - 1)::BIGINT AS slot,
+       NULL::INTEGER AS grown_shard
+FROM dealt"""
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A document's host is its source, its path the language section of the source. Labels of a fifth of all ids are never used."""
     docs, held_out = documents(spark, sf_dir), language.fold(folds=5) == 0
@@ -186,4 +204,4 @@ SELECT f.word, form, root, n, n_near, form_n FROM formed f JOIN (SELECT word, ro
 
 QUERIES = {"op1_mix": op1_mix, "op2_pack": op2_pack, "op3_language": op3_language, "op4_licenses": op4_licenses, "op5_exact_dedup": op5_exact_dedup, "op6_shard": op6_shard, "op7_quality": op7_quality, "op8_near_copies": op8_near_copies, "op9_search": op9_search, "op10_lm_score": op10_lm_score,
            "op11_fill_in_middle": op11_fill_in_middle, "op12_simhash": op12_simhash, "op13_spelling": op13_spelling}
-SQL = {"op1_mix": OP1_SQL, "op5_exact_dedup": OP5_SQL, "op9_search": OP9_SQL, "op11_fill_in_middle": OP11_SQL, "op13_spelling": OP13_SQL}
+SQL = {"op1_mix": OP1_SQL, "op5_exact_dedup": OP5_SQL, "op6_shard": OP6_SQL, "op9_search": OP9_SQL, "op11_fill_in_middle": OP11_SQL, "op13_spelling": OP13_SQL}
