@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from small_shop import ROWS, raw_shop
 
 from starloom.__main__ import main, summary
+from starloom.jobs import together
 from starloom.plans import audit, publish
 from starloom.plans.clean import clean_views
 from starloom.plans.run import run
-from starloom.schemas import RAW_COLUMNS, STAR_TABLES, star_columns
+from starloom.schemas import DURATIONS, RAW_COLUMNS, STAR_TABLES, star_columns
 from starloom.sources.extracts import read_extracts
 from starloom.sources.sql import run_query, run_suite
 from starloom.sources.versions import current_version, live_versions, retire_versions
@@ -124,6 +125,59 @@ def test_old_versions_retire(spark, tmp_path):
     assert live_versions(spark, str(tmp_path)) == [keep]
 
 
+def test_counts_are_observed_while_tables_are_written(spark, tmp_path):
+    """The audit of a version just written finds what a scan finds, and scans no fact for it."""
+    raw = raw_shop(spark)
+    version = publish.write_star(spark, clean_views(raw), f"{tmp_path}/v1")
+    assert set(version.seen) == set(STAR_TABLES)
+    assert {t: n["n"] for t, n in version.seen.items()} == {t: df.count() for t, df in version.items()}
+    negative = " OR ".join(f"{c} < 0" for c in DURATIONS)
+    assert version.seen["fact_order_fulfillment"]["negative"] == version["fact_order_fulfillment"].where(negative).count()
+    observed, scanned = audit.prepublish(raw, version), audit.prepublish(raw, dict(version))
+    assert sorted(map(tuple, observed.collect())) == sorted(map(tuple, scanned.collect()))
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (observed, scanned)]
+    assert not any(c in plans[0] for c in DURATIONS) and all(c in plans[1] for c in DURATIONS)
+    assert not (tmp_path / "v1" / "_scratch").exists()
+
+
+def test_scopes_delete_intermediate_tables_but_kept_ones(spark):
+    from starloom.operators.durable import durable, intermediates
+    from starloom.sources import files
+
+    def path(df):
+        return df.inputFiles()[0].rsplit("/", 1)[0]
+
+    before = path(durable(spark.range(3), "before"))
+    with intermediates(spark):
+        gone, kept = durable(spark.range(3), "gone"), durable(spark.range(4), "kept", keep=True)
+        in_thread = together(lambda: path(durable(spark.range(3), "thread")))[0]
+        with intermediates(spark):
+            inner = path(durable(spark.range(3), "inner"))
+        assert not files.exists(spark, inner) and files.exists(spark, path(gone)) and files.exists(spark, in_thread)
+        paths = [path(gone), in_thread]
+    assert not any(files.exists(spark, p) for p in paths)
+    assert kept.count() == 4 and files.exists(spark, before)
+    with pytest.raises(ZeroDivisionError), intermediates(spark):
+        failed = path(durable(spark.range(3), "failed"))
+        1 / 0
+    assert not files.exists(spark, failed)
+
+
+def test_a_driver_disk_is_no_shared_folder_of_a_cluster():
+    from types import SimpleNamespace as Fake
+
+    from starloom.operators.durable import shared_folder
+
+    def session(master, **conf):
+        return Fake(conf=Fake(get=lambda key, *default: conf.get(key.rsplit(".", 2)[-2], *default)), sparkContext=Fake(master=master))
+
+    assert shared_folder(session("local[2]", warehouse="file:/tmp/w")) == "file:/tmp/w/_scratch"
+    assert shared_folder(session("yarn", warehouse="hdfs://n/w")) == "hdfs://n/w/_scratch"
+    assert shared_folder(session("yarn", warehouse="file:/tmp/w", checkpoint="hdfs://n/c/")) == "hdfs://n/c"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session("spark://h:7077", warehouse="file:/tmp/w"))
+
+
 def test_month_filter_prunes_folders(spark, tmp_path):
     publish.publish(spark, clean_views(raw_shop(spark)), str(tmp_path), audit=lambda star: [])
     sales = publish.read_star(spark, str(tmp_path))["fact_sales"].filter("purchase_month = 201701")
