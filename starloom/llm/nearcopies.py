@@ -282,7 +282,8 @@ def _resolved(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
         joined = components(links.unionByName(more))
 
     linked = classes.join(joined, "node").select("node", "component", "least_id")
-    least = linked.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    # stored, so that a component with very many nodes can be split in the join
+    least = durable(linked.groupBy("component").agg(F.min("least_id").alias("component_id")), "near-least")
     linked = linked.join(least, "component").select("node", "component_id")
     moved = classes.join(linked, "node", "left").select("name", F.coalesce("component_id", "least_id").alias("component"), "copies", "least_id").where(
         (F.col("copies") > 1) | (F.col("component") != F.col("least_id"))).select(F.col("name").alias("m_name"), "component")
