@@ -348,3 +348,12 @@ def test_trie_round_trip():
     assert np.allclose(trie.restored(t.codes_of(context, one, successor)), p, rtol=5e-4)
     assert not t.codes_of(context, one, successor ^ np.uint64(1)).any()
     assert [s for s, _ in t.successors_of(int(context[0]))] == successor[context == context[0]].tolist()
+
+
+def test_word_encoder_takes_more_words_at_once_than_its_store(monkeypatch):
+    monkeypatch.setattr(tokens, "MOST_WORDS", 50)
+    encoder = tokens.WordEncoder(Path(TOKENIZER).read_text(encoding="utf-8"))
+    for words in (range(40), range(80), range(60, 300), range(40)):
+        text = " ".join(f"Word{k}, w{'ab' * k} {'xyz'[k % 3] * k}'s." for k in words)
+        assert encoder.encode([text, "", " the "])[0].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(encoder.place) <= 50
