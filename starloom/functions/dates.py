@@ -33,10 +33,10 @@ def month_of_key(key: Column | str) -> Column:
 
 
 def _elapsed(start: Column | str, end: Column | str, unit: int) -> Column:
-    """Elapsed time in units of so many seconds; zone-less, so no session zone can shift it."""
+    """Elapsed time in units of so many seconds; zone-less, so no session zone can shift it. From year 1 to 9999 are fewer than 10^8 hours."""
     start, end = (F.col(c) if isinstance(c, str) else c for c in (start, end))
     seconds = (end - start).cast("interval second").cast("decimal(18,6)")
-    return F.round(seconds / F.lit(unit).cast("decimal(5,0)"), 2).cast("decimal(8,2)")
+    return F.round(seconds / F.lit(unit).cast("decimal(5,0)"), 2).cast("decimal(10,2)")
 
 
 def hours_between(start: str, end: str) -> Column:

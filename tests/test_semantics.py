@@ -307,3 +307,9 @@ def test_top_k_null_category_and_sorts(star):
     assert [r.rank_no for r in by_name] == list(range(1, len(by_name) + 1))
     assert [r.category for r in by_name] == sorted(r.category for r in by_name)
     assert metrics.top_categories(star, "quantity", 1).first().category == "perfumery"
+
+
+def test_durations_from_the_first_to_the_last_year(spark):
+    span = spark.sql("SELECT TIMESTAMP_NTZ '0001-01-01 00:00:00' AS a, TIMESTAMP_NTZ '9999-12-31 23:00:00' AS b")
+    row = span.select(hours_between("a", "b").alias("hours"), days_between("a", "b").alias("days"), days_between("b", "a").alias("back")).first()
+    assert (str(row.hours), str(row.days), str(row.back)) == ("87649415.00", "3652058.96", "-3652058.96")
