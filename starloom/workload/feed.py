@@ -22,20 +22,43 @@ def _text(col: Column) -> Column:
     return col.cast("string")
 
 
-def _money(name: str) -> Column:
-    return F.col(name).cast("decimal(12,2)")
+def _hundredths(name: str, spark_type: str) -> Column:
+    """A column of two digits as a whole number of hundredths, as a cast to spark_type gives it.
 
+    A double that is a hundredth but for its last bits needs no text on the way; the cast itself settles, or refuses, all others.
+    """
+    scaled = F.col(name) * F.lit(100)
+    whole = F.rint(scaled)
+    limit = 10 ** int(spark_type.removeprefix("decimal(").split(",")[0])
+    return F.when((F.abs(scaled - whole) < 1e-4) & (F.abs(whole) < limit), whole.cast("bigint")).otherwise(
+        (F.col(name).cast(spark_type) * F.lit(100)).cast("bigint"))
 
-def line_amounts(lineitem: DataFrame) -> DataFrame:
-    """Lines with exact price and freight; the sources have two digits, so the casts lose nothing."""
-    one = F.lit(1).cast("decimal(4,2)")
+
+def _from_hundredths(value: Column) -> Column:
+    """Hundredths of hundredths to hundredths, half away from zero."""
+    away = F.when(value < 0, F.lit(-50)).otherwise(F.lit(50))
+    return F.call_function("div", value + away, F.lit(100))
+
+
+def _amount(cents: Column) -> Column:
+    return (cents.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(18,2)")
+
+
+def line_cents(lineitem: DataFrame) -> DataFrame:
+    """Lines with exact price and freight in cents."""
+    gross = _hundredths("l_extendedprice", "decimal(12,2)")
     return lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_shipdate",
-        F.round(_money("l_extendedprice") * (one - F.col("l_discount").cast("decimal(4,2)")), 2).alias("price"),
-        F.round(_money("l_extendedprice") * F.col("l_tax").cast("decimal(4,2)"), 2).alias("freight"),
+        _from_hundredths(gross * (F.lit(100) - _hundredths("l_discount", "decimal(4,2)"))).alias("price"),
+        _from_hundredths(gross * _hundredths("l_tax", "decimal(4,2)")).alias("freight"),
     )
 
 
+def line_amounts(lineitem: DataFrame) -> DataFrame:
+    """Lines with exact price and freight; the sources have two digits, so nothing is lost."""
+    return line_cents(lineitem).withColumns({name: _amount(F.col(name)) for name in ("price", "freight")})
+
+
 def _places(nation: DataFrame) -> DataFrame:
     key = F.col("n_nationkey")
     return nation.select(
@@ -104,7 +127,7 @@ def raw_orders(t: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def raw_order_items(t: Mapping[str, DataFrame]) -> DataFrame:
-    items = line_amounts(t["lineitem"]).groupBy("l_orderkey", "l_linenumber").agg(
+    items = line_cents(t["lineitem"]).groupBy("l_orderkey", "l_linenumber").agg(
         F.max("l_partkey").alias("part"), F.max("l_suppkey").alias("supplier"), F.max("l_shipdate").alias("ship"),
         F.max("l_quantity").alias("quantity"), F.sum("price").alias("price"), F.sum("freight").alias("freight"))
     unpriced = (F.col("l_linenumber") == 7) & (F.col("quantity") == 50)
@@ -112,18 +135,18 @@ def raw_order_items(t: Mapping[str, DataFrame]) -> DataFrame:
         _text(F.col("l_orderkey")).alias("order_id"), _text(F.col("l_linenumber")).alias("order_item_id"),
         _text(F.col("part")).alias("product_id"), _text(F.col("supplier")).alias("seller_id"),
         _text(F.col("ship")).alias("shipping_limit_date"),
-        F.when(unpriced, "").otherwise(_text(F.col("price"))).alias("price"), _text(F.col("freight")).alias("freight_value"))
+        F.when(unpriced, "").otherwise(_text(_amount(F.col("price")))).alias("price"), _text(_amount(F.col("freight"))).alias("freight_value"))
 
 
 def raw_order_payments(t: Mapping[str, DataFrame]) -> DataFrame:
     paid = F.col("price") + F.col("freight")
     voucher = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1)
-    value = F.when(voucher, F.round(paid * F.lit("0.90").cast("decimal(3,2)"), 2)).otherwise(paid)
+    value = F.when(voucher, _from_hundredths(paid * F.lit(90))).otherwise(paid)
     blank = (F.col("l_linenumber") == 7) & (F.col("l_quantity") == 50)
-    return line_amounts(t["lineitem"]).select(
+    return line_cents(t["lineitem"]).select(
         _text(F.col("l_orderkey")).alias("order_id"), _text(F.col("l_linenumber")).alias("payment_sequential"),
         F.col("l_returnflag").alias("payment_type"), _text(F.col("l_quantity").cast("int") % 10 + 1).alias("payment_installments"),
-        F.when(blank, "").otherwise(_text(value.cast("decimal(18,2)"))).alias("payment_value"))
+        F.when(blank, "").otherwise(_text(_amount(value))).alias("payment_value"))
 
 
 def raw_order_reviews(t: Mapping[str, DataFrame]) -> DataFrame:

@@ -7,6 +7,7 @@ from collections import Counter
 from decimal import Decimal as D
 
 import pytest
+from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 from small_shop import by, raw_shop
 
@@ -17,6 +18,7 @@ from starloom.plans import analysis, metrics
 from starloom.plans.clean import clean_views
 from starloom.schemas import star_schema
 from starloom.plans.star import DATE_ROLES, Calendar, build_lazy, calendar_of, dim_date, role_keys, role_keys_by_join, stored_orders
+from starloom.workload.feed import _hundredths, line_cents, raw_order_items
 
 
 @pytest.fixture(scope="module")
@@ -313,3 +315,29 @@ def test_durations_from_the_first_to_the_last_year(spark):
     span = spark.sql("SELECT TIMESTAMP_NTZ '0001-01-01 00:00:00' AS a, TIMESTAMP_NTZ '9999-12-31 23:00:00' AS b")
     row = span.select(hours_between("a", "b").alias("hours"), days_between("a", "b").alias("days"), days_between("b", "a").alias("back")).first()
     assert (str(row.hours), str(row.days), str(row.back)) == ("87649415.00", "3652058.96", "-3652058.96")
+
+
+def test_hundredths_equal_decimal_casts(spark):
+    values = [0.0, -0.0, 0.07, 1.005, 2.675, -1.005, -84197.04, 0.1 + 0.2, 0.285, 1e-9, 9999999999.99, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    rows = df.select("x", (F.col("x").cast("decimal(12,2)") * 100).cast("bigint").alias("want"), _hundredths("x", "decimal(12,2)").alias("got")).collect()
+    assert all(r.want == r.got for r in rows)
+
+    def outcome(x, col):
+        try:
+            return spark.createDataFrame([(x,)], "x double").select(col.alias("v")).first().v
+        except ArithmeticException:
+            return "refused"
+
+    for odd in (float("nan"), float("inf"), 1e10):
+        assert outcome(odd, _hundredths("x", "decimal(12,2)")) == outcome(odd, (F.col("x").cast("decimal(12,2)") * 100).cast("bigint"))
+    assert outcome(1e10, _hundredths("x", "decimal(12,2)")) == "refused"
+
+
+def test_cents_of_lines_are_rounded_half_away_and_summed_as_whole_numbers(spark):
+    lines = spark.createDataFrame([(1, 1, 1, 1, 1.0, "R", dt.datetime(1996, 1, 1), p, d, t) for p, d, t in [(0.5, 0.01, 0.01), (-0.5, 0.01, 0.01), (84197.04, 0.07, 0.08)]],
+                                  "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_returnflag string, l_shipdate timestamp, "
+                                  "l_extendedprice double, l_discount double, l_tax double")
+    assert [(r.price, r.freight) for r in line_cents(lines).collect()] == [(50, 1), (-50, -1), (7830325, 673576)]
+    plan = raw_order_items({"lineitem": lines})._jdf.queryExecution().optimizedPlan().toString()
+    assert "sum(price#" in plan and "Aggregate" in plan and "decimal(12,2)), 2)" not in plan
