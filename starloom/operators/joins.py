@@ -26,11 +26,13 @@ def key_counts(table: DataFrame, columns: dict[str, tuple[str, str | None]], dim
     """Per labelled key column, in a single scan: present and NULL rows, distinct values, and rows whose value has no dimension row.
 
     `columns` maps a label to (column, dimension or None), `dims` a dimension to its table and key. All columns become
-    (label, value) counts, combined map-side; only distinct values are joined. A label is returned even when it has no row.
+    (column's place, value) counts, of whole numbers alone and combined map-side; only distinct values are joined. A label is
+    returned even when it has no row.
     """
-    text = "'{}'".format
-    cells = ", ".join(f"{text(label)}, {text(dim or '')}, CAST({column} AS BIGINT)" for label, (column, dim) in columns.items())
-    counts = table.selectExpr(f"stack({len(columns)}, {cells}) AS (label, dim, value)").groupBy("label", "dim", "value").agg(F.count(F.lit(1)).alias("n"))
+    cells = ", ".join(f"{place}, CAST({column} AS BIGINT)" for place, (column, _) in enumerate(columns.values(), start=1))
+    cells = table.selectExpr(f"stack({len(columns)}, {cells}) AS (place, value)")
+    dim_of = F.array(*[F.lit(dim or "") for _, dim in columns.values()])
+    counts = cells.groupBy("place", "value").agg(F.count(F.lit(1)).alias("n")).withColumn("dim", F.element_at(dim_of, F.col("place")))
     matched = F.lit(True)
     if dims:
         keys = None
@@ -40,12 +42,12 @@ def key_counts(table: DataFrame, columns: dict[str, tuple[str, str | None]], dim
         counts = counts.join(keys, (F.col("value") == F.col("k_value")) & (F.col("dim") == F.col("k_dim")), "left")
         matched = F.col("k_value").isNotNull() | (F.col("dim") == "")  # a column without a dimension has no orphans
     present = F.col("value").isNotNull()
-    totals = counts.groupBy("label").agg(
+    totals = counts.groupBy("place").agg(
         F.sum(F.when(present, F.col("n"))).alias("present"), F.sum(F.when(~present, F.col("n"))).alias("nulls"),
         F.count("value").alias("distinct_values"), F.sum(F.when(present & ~matched, F.col("n"))).alias("orphans"))
-    labels = table.sparkSession.range(1).select(F.explode(F.array(*[F.lit(label) for label in columns])).alias("label"))
+    labels = table.sparkSession.range(1).select(F.posexplode(F.array(*[F.lit(label) for label in columns])).alias("before", "label"))
     zero = F.lit(0).cast("bigint")
-    return labels.join(totals, "label", "left").select("label", *[F.coalesce(c, zero).alias(c) for c in ("present", "nulls", "distinct_values", "orphans")])
+    return labels.join(totals, F.col("before") + 1 == F.col("place"), "left").select("label", *[F.coalesce(c, zero).alias(c) for c in ("present", "nulls", "distinct_values", "orphans")])
 
 
 def integer_counts(table: DataFrame, column: str) -> DataFrame:

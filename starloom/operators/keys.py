@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from starloom.operators.durable import durable
 
 HEX_DIGITS = 8  # of the digest that place a key: 2^32 places
+KEYS_PER_TASK = 50_000  # fewer keys than this for each of the session's partitions are dealt to fewer tasks
 
 
 def _numbered(stored: DataFrame, name: str, label: str, columns: list[str], folder: str | None = None) -> DataFrame:
@@ -24,13 +25,13 @@ def _numbered(stored: DataFrame, name: str, label: str, columns: list[str], fold
     return placed.join(starts, "_file").withColumn(name, (F.col("_start") + F.col("_row") + 1).cast("bigint")).select(name, *columns)
 
 
-def _by_digest(keyed: DataFrame, key: str, name: str, digits: int, folder: str | None) -> DataFrame:
-    """Add the 1-based rank in (md5(key), key) order to rows that are unique on key.
+def _by_digest(keyed: DataFrame, key: str, name: str, digits: int, folder: str | None, most: int) -> DataFrame:
+    """Add the 1-based rank in (md5(key), key) order to at most so many rows, unique on key.
 
     A key's place among the partitions is known from its digest alone, so nothing is sampled and the rows are computed once:
     they are dealt to partitions of consecutive digests, sorted and stored, and the files give the ranks.
     """
-    partitions = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(1, min(int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-most // KEYS_PER_TASK)))
     digest = F.md5(F.col(key).cast("string").cast("binary"))
     # a null key has no digest and stands first
     place = F.coalesce(F.conv(F.substring("_digest", 1, digits), 16, 10).cast("bigint"), F.lit(0))
@@ -43,14 +44,17 @@ def _by_digest(keyed: DataFrame, key: str, name: str, digits: int, folder: str |
 def dense_keys(df: DataFrame, key: str, name: str, unique: bool = False, digits: int = HEX_DIGITS, folder: str | None = None) -> DataFrame:
     """Number the distinct values of a natural key 1..n and attach the number to every row. df is computed once.
 
-    unique=True states that df was grouped by key; then its rows are shuffled once and no join is needed. Otherwise df is stored as it
-    is and only its distinct keys are shuffled, so copies of one key collapse before they meet, and all copies share one number (the
-    audit's uniqueness checks then report them). Intermediate tables stand below `folder` if given, whose owner deletes it.
+    df is stored as it is and counted on the way, which fixes the number of tasks. unique=True states that df was grouped by key; then
+    its rows are dealt once and no join is needed. Otherwise only its distinct keys are, so copies of one key collapse before they meet,
+    and all copies share one number (the audit's uniqueness checks then report them). Intermediate tables stand below `folder` if given,
+    whose owner deletes it.
     """
+    seen = Observation(f"{name}-rows")
+    stored = durable(df.observe(seen, F.count(F.lit(1)).alias("n")), f"{name}-rows", folder=folder)
+    most = seen.get.get("n", 0)
     if unique:
-        return _by_digest(df, key, name, digits, folder)
-    stored = durable(df, f"{name}-rows", folder=folder)
-    numbered = _by_digest(stored.select(F.col(key).alias("_key")).distinct(), "_key", name, digits, folder)
+        return _by_digest(stored, key, name, digits, folder, most)
+    numbered = _by_digest(stored.select(F.col(key).alias("_key")).distinct(), "_key", name, digits, folder, most)
     return stored.join(numbered, F.col(key).eqNullSafe(F.col("_key")), "left").select(name, *df.columns)
 
 

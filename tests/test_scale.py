@@ -335,3 +335,29 @@ def _by_all():
     from pyspark.sql import Window
 
     return Window.orderBy("order_id", "order_item_id", "product_id")
+
+
+def test_few_keys_are_dealt_to_few_tasks(spark, tmp_path):
+    df = spark.range(1000).select(F.col("id").cast("string").alias("k"))
+    for unique in (True, False):
+        folder = tmp_path / str(unique)
+        keys = dense_keys(df, "k", "key", unique=unique, folder=str(folder)).collect()
+        assert sorted(r.key for r in keys) == list(range(1, 1001))
+        assert len(list(folder.glob("key-ranked-*/*.parquet"))) == 1
+
+
+def test_key_counts_group_whole_numbers(spark):
+    fact = spark.createDataFrame([(1, 1), (2, 5), (None, 5)], "a bigint, b int")
+    dim = spark.range(3)
+    counts = key_counts(fact, {"x": ("a", "d"), "y": ("b", "d"), "z": ("b", None)}, {"d": (dim, "id")})
+    assert "keys=[place#" in plan_of(counts) and "keys=[label#" not in plan_of(counts)
+    assert {tuple(r) for r in counts.collect()} == {("x", 2, 1, 2, 0), ("y", 3, 0, 2, 2), ("z", 3, 0, 2, 0)}
+
+
+def test_extracts_are_written_side_by_side(monkeypatch):
+    from starloom.workload import queries
+
+    jobs = []
+    monkeypatch.setattr(queries, "together", lambda *given: jobs.extend(given))
+    queries._write_extracts({}, ["orders", "sellers"], "nowhere")
+    assert len(jobs) == 2
