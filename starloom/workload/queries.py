@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable, Mapping
+from functools import partial
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions import blank_to_null, exact_avg, place_label, safe_div, title_case
+from starloom.jobs import together
 from starloom.operators import calendar as calendars
 from starloom.operators.dedup import duplicate_keys, latest_row, modal_row
 from starloom.operators.durable import shared_folder
@@ -76,13 +78,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # --- A: sources, sinks, lifecycle ---------------------------------------------------------------------
 
 
+def _write_extracts(raw: Mapping[str, DataFrame], tables: list[str], folder: str) -> None:
+    """Raw tables as CSV extracts, written side by side."""
+    def write(name: str) -> None:
+        suffix = "" if name.endswith("translation") else "_dataset"
+        raw[name].write.option("header", True).option("escape", '"').csv(f"{folder}/retail_{name}{suffix}.csv")
+
+    together(*[partial(write, name) for name in tables])
+
+
 def _csv_extracts(spark: SparkSession, sf_dir: str, tables: list[str]) -> dict[str, DataFrame]:
     """Write raw tables as CSV extracts, then read them as a folder; tables not written stay empty."""
     folder = f"{shared_folder(spark)}/starloom/{spark.sparkContext.applicationId}/extracts-{uuid.uuid4().hex}"
-    raw = raw_feed(spark, sf_dir)
-    for name in tables:
-        suffix = "" if name.endswith("translation") else "_dataset"
-        raw[name].write.option("header", True).option("escape", '"').csv(f"{folder}/retail_{name}{suffix}.csv")
+    _write_extracts(raw_feed(spark, sf_dir), tables, folder)
     return read_extracts(spark, folder)
 
 
@@ -118,9 +126,7 @@ def _(spark, sf_dir):
     """All stages from CSV extracts to the report; its check rows by status."""
     home = f"{shared_folder(spark)}/starloom/{spark.sparkContext.applicationId}/run-{uuid.uuid4().hex}"
     raw = raw_feed(spark, sf_dir)
-    for name in raw:
-        suffix = "" if name.endswith("translation") else "_dataset"
-        raw[name].write.option("header", True).option("escape", '"').csv(f"{home}/extracts/retail_{name}{suffix}.csv")
+    _write_extracts(raw, list(raw), f"{home}/extracts")
     report = run(spark, f"{home}/extracts", home)
     rows = [(c.check_no, c.name, c.total_evaluated, c.failed_count, c.status) for c in report.checks]
     return spark.createDataFrame(rows, "check_no int, name string, total_evaluated bigint, failed_count bigint, status string")
