@@ -15,6 +15,8 @@ from starloom.operators.durable import durable
 SCALE = 256
 SHARD = 4096  # vectors of a shard at most
 BLOCK = 256  # queries that meet a shard at once, at most
+GROUP = 4  # shards that one copy of the queries is sent to, on average; fewer while that leaves cores idle
+TASKS = 3  # per group, so that few groups meet in one task; the planner would pack tasks by their few bytes, but a task's work is their product
 FIRST_TERMS = 8  # terms traversed before the first threshold is set
 EXACT = 1 << 53  # double arithmetic is exact while sums of products stay below; other pairs are scored with whole numbers
 LEAST, MOST = -(1 << 63), (1 << 63) - 1
@@ -142,7 +144,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     Repeated rows are rows of their own: each may answer the other, and each asks. An empty table gives no rows.
 
     Rows are packed into shards and queries into blocks, a few thousand and a few hundred rows at most. Every block meets
-    every shard once, by an equi-join on groups of shards. A task sends on k rows of each query; these are merged per query.
+    every shard once, by an equi-join on groups of shards. Each group gets a copy of all blocks, which the planner does not count in
+    their size, so the join is told to sort both sides and broadcasts neither. A task sends on k rows of each query; these are merged per query.
     """
     tagged = durable(vectors.where(F.col(id_col).isNotNull() & usable(F.col(vector_col))).select(
         F.monotonically_increasing_id().alias("tag"), F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).alias("vector"),
@@ -150,10 +153,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     schema = "number long, tags binary, ids binary, cells binary"
     shards = durable(tagged.select("tag", "vec_id", "vector").mapInArrow(_packed(SHARD), schema), "search-shards")
     blocks = durable(tagged.where("asks").select("tag", "vec_id", "vector").mapInArrow(_packed(BLOCK), schema), "search-queries")
-    groups = max(1, shards.count())
-    dealt = shards.withColumn("group", F.pmod(F.xxhash64("number"), F.lit(groups)))
+    held = shards.count()
+    groups = max(1, -(-held // GROUP), min(held, 2 * vectors.sparkSession.sparkContext.defaultParallelism))
+    dealt = shards.withColumn("group", F.pmod(F.xxhash64("number"), F.lit(groups))).repartition(TASKS * groups, "group").hint("merge")
     asked = blocks.select(*[F.col(c).alias(f"q_{c}") for c in ("tags", "ids", "cells")],
-                          F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))).alias("group"))
+                          F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))).alias("group")).repartition(TASKS * groups, "group")
     found = asked.join(dealt, "group").drop("group", "number").mapInArrow(_search(k), "tag long, query_id long, vec_id long, score long, beyond binary")
     best = Window.partitionBy("tag").orderBy(F.desc("score"), F.desc_nulls_last("beyond"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -33,3 +33,24 @@ def test_order_beyond_longs():
     keys = [search._order_of(v) for v in values]
     assert keys == sorted(keys) and len(set(keys)) == len(values)
     assert search._order_of(search.MOST - 1) is None
+
+
+def test_copies_of_the_queries_are_not_broadcast(spark):
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(20)], "vec_id long, embedding array<float>")
+    plan = search.top_k(df, F.col("vec_id") % 5 == 0)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "BroadcastHashJoin" not in plan  # each group of shards gets all queries, which no estimate counts
+
+
+@pytest.mark.parametrize("group", [1, 3, 100])
+def test_groups_do_not_change_the_result(spark, monkeypatch, group):
+    monkeypatch.setattr(search, "SHARD", 4)
+    monkeypatch.setattr(search, "BLOCK", 3)
+    monkeypatch.setattr(search, "GROUP", group)
+    rng = random.Random(5)
+    data = [(i, [float(rng.randint(-5, 5)) for _ in range(3)]) for i in range(60)]
+    want = []
+    for q, a in data[::5]:
+        scores = {i: int(sum(x * y for x, y in zip(a, b)) * 65536) for i, b in data if i != q}
+        want += [(q, rank, i, scores[i]) for rank, i in enumerate(sorted(scores, key=lambda i: (-scores[i], i))[:5], 1)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>")
+    assert sorted(map(tuple, search.top_k(df, F.col("vec_id") % 5 == 0).collect())) == sorted(want)
