@@ -244,10 +244,10 @@ def _resolved(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
 
     # table (i, j) is keyed by A_i and B_j; a key that holds i and a key that holds j are hashed to one
     placed = met.select("node", "meetings", "b", F.explode("a_shared").alias("a_key")).select("node", "meetings", "a_key", F.explode("b").alias("b_key")).select(
-        F.xxhash64("a_key", "b_key").alias("table"), "node", "meetings")
+        F.xxhash64("a_key", "b_key").alias("table"), "node", "meetings")  # KEYS^2 rows of a row that the planner counts, so no side to broadcast
     hubs = durable(placed.groupBy("table").agg(F.max(F.struct("meetings", "node")).alias("h"), F.count(F.lit(1)).alias("held")).where("held > 1").select(
         "table", F.col("h.node").alias("hub")), "near-hubs")
-    pairs = placed.join(hubs, "table").where("node <> hub").select("hub", "node").distinct()
+    pairs = placed.hint("merge").join(hubs, "table").where("node <> hub").select("hub", "node").distinct()
     traits = met.select("node", "n", *BITS)
     named = traits.select(*[F.col(c).alias(f"h_{c}") for c in traits.columns])
     known = durable(pairs.join(traits, "node").join(named, F.col("hub") == F.col("h_node")).select(
@@ -265,7 +265,7 @@ def _resolved(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
     sizes = durable(left.groupBy("a_key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "near-blocks")
     dealt = left.join(sizes, "a_key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     full = durable(dealt.join(met.select("node", *BITS, "a", "b"), "node").join(able, "node"), "near-full")
-    # every two blocks of a bucket meet in a task of their own
+    # every two blocks of a bucket meet in a task of their own; the planner sees neither how often a row is repeated nor how well repeats were stored, so no side to broadcast
     low = full.withColumn("low", F.col("block")).withColumn("high", F.explode(F.sequence("block", F.col("blocks") - 1)))
     high = full.withColumn("high", F.col("block")).withColumn("low", F.explode(F.sequence(F.lit(0), F.col("block"))))
     apart = (F.col("x.component") < F.col("y.component")) | ((F.col("x.low") < F.col("x.high")) & (F.col("x.component") > F.col("y.component")))
@@ -273,7 +273,7 @@ def _resolved(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
     # a pair is taken up under the least A key that it shares, so once, and only if B keys agree too
     first_shared = F.col("x.a_key") == F.array_min(F.array_intersect("x.a", "y.a"))
     same = (F.col("x.a_key") == F.col("y.a_key")) & (F.col("x.low") == F.col("y.low")) & (F.col("x.high") == F.col("y.high"))
-    second = low.alias("x").join(high.alias("y"), same & apart & (most * 100 >= (F.col("x.n") + F.col("y.n") - most) * percent) & _alike("x", "y", percent)
+    second = low.hint("merge").alias("x").join(high.alias("y"), same & apart & (most * 100 >= (F.col("x.n") + F.col("y.n") - most) * percent) & _alike("x", "y", percent)
         & (_differing("x", "y", LONG, LONG_WORDS) <= most_differing(64 * LONG_WORDS, LONG_PLANES, percent)) & F.arrays_overlap("x.b", "y.b") & first_shared).select(
         F.col("x.node").alias("hub"), F.col("y.node").alias("node"))
     known = known.unionByName(known.select(F.col("node").alias("hub"), F.col("hub").alias("node")))

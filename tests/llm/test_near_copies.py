@@ -72,3 +72,22 @@ def test_rows_that_share_an_id(spark):
     assert got == sorted(want)
     stay = [(r["doc_id"], r["text"]) for r in nearcopies.without_near_copies(docs).collect()]
     assert sorted(stay) == sorted(d for d, w in zip(data, want) if w[2])
+
+
+def test_exploded_rows_are_not_broadcast(spark, monkeypatch):
+    plans = {}
+
+    def recorded(df, label, *args, **options):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return stored(df, label, *args, **options)
+
+    stored = nearcopies.durable
+    monkeypatch.setattr(nearcopies, "durable", recorded)
+    rng = random.Random(12)
+    base = [f"w{k}" for k in range(60)]
+    data = [(i, " ".join(w if rng.random() < 0.99 else f"e{i}" for w in base), None, None, 0) for i in range(30)]
+    nearcopies.near_copies(corpus.documents(spark, data=data)).collect()
+    # a row of the tables' input stands for KEYS^2 rows, one of a bucket for as many as it has blocks: the planner's sizes know of neither
+    for label, join in (("near-pairs", "Join [table#"), ("near-pairs-2", "Join [a_key#")):
+        kinds = {line.split(join)[0].split()[-1] for line in plans[label].splitlines() if join in line}
+        assert kinds == {"SortMerge"}, (label, kinds)
