@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -10,6 +11,7 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 _written: ContextVar[list[str] | None] = ContextVar("written", default=None)  # paths of the innermost scope
+_lock, _open_scopes = threading.Lock(), []  # of shuffles_removed: the setting before the first, then one entry each
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -50,6 +52,27 @@ def intermediates(spark: SparkSession) -> Iterator[None]:
             files.delete(spark, path)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Delete the shuffle files of each query that starts inside when it ends, not when the driver happens to collect its garbage.
+
+    A query that is run twice computes its stages again. Scopes may nest, also in several threads; the last to end restores the setting.
+    """
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    with _lock:
+        if not _open_scopes:
+            _open_scopes.append(spark.conf.get(setting))
+        _open_scopes.append("")
+        spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        with _lock:
+            _open_scopes.pop()
+            if len(_open_scopes) == 1:
+                spark.conf.set(setting, _open_scopes.pop())
+
+
 def durable(df: DataFrame, label: str, partition_by: list[str] | None = None, folder: str | None = None, keep: bool = False) -> DataFrame:
     """Write df once under the shared folder and read it back; under `folder` if given, whose owner deletes it.
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from starloom.functions import month_of_key
 from starloom.jobs import together
+from starloom.operators.durable import shuffles_removed
 from starloom.operators.keys import row_keys
 from starloom.plans import star as builders
 from starloom.plans.star import Calendar
@@ -81,7 +82,7 @@ def read_version(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 
 def write_star(spark: SparkSession, views: Mapping[str, DataFrame], path: str, calendar: Calendar = Calendar()) -> Version:
-    """Build all six tables into a version folder; what is needed on the way stands below it and is deleted at the end.
+    """Build all six tables into a version folder; what is needed on the way stands below it and is deleted as soon as it was read for the last time.
 
     Facts join the written dimensions, so the planner sees their true sizes. The item fact takes its
     customer and date from the order fact; the other dimensions are built beside the order fact.
@@ -92,20 +93,23 @@ def write_star(spark: SparkSession, views: Mapping[str, DataFrame], path: str, c
         seen[table] = write_dimension(df, f"{path}/{table}", table)
 
     def fact(table: str, df: DataFrame, date_key: str, key: str) -> None:
-        seen[table] = write_fact(df, date_key, key, f"{path}/{table}", table, scratch)
+        seen[table] = write_fact(df, date_key, key, f"{path}/{table}", table, f"{scratch}/{table}")
+        files.delete(spark, f"{scratch}/{table}")
 
     (orders, days), *_ = together(
-        lambda: builders.stored_orders(views["vw_orders"], calendar, scratch),
-        lambda: dimension("dim_customer", builders.dim_customer(views["vw_customers"], scratch)),
-        lambda: dimension("dim_product", builders.dim_product(views["vw_products"], scratch)),
-        lambda: dimension("dim_seller", builders.dim_seller(views["vw_sellers"], scratch)),
+        lambda: builders.stored_orders(views["vw_orders"], calendar, f"{scratch}/orders"),
+        lambda: dimension("dim_customer", builders.dim_customer(views["vw_customers"], f"{scratch}/dimensions")),
+        lambda: dimension("dim_product", builders.dim_product(views["vw_products"], f"{scratch}/dimensions")),
+        lambda: dimension("dim_seller", builders.dim_seller(views["vw_sellers"], f"{scratch}/dimensions")),
     )
+    files.delete(spark, f"{scratch}/dimensions")
     together(
         lambda: dimension("dim_date", builders.dim_date(spark, days)),
         lambda: fact("fact_order_fulfillment", builders.fact_order_fulfillment(
             orders, views["vw_customers"], views["vw_order_payments_agg"], views["vw_order_reviews_latest"], read_table(spark, path, "dim_customer"), days,
         ), "order_purchase_date_key", "fulfillment_key"),
     )
+    files.delete(spark, f"{scratch}/orders")
     stored = {table: read_table(spark, path, table) for table in ["fact_order_fulfillment", "dim_product", "dim_seller"]}
     order_facts = stored["fact_order_fulfillment"].select(*star_columns("fact_order_fulfillment"))
     fact("fact_sales", builders.fact_sales(views["vw_order_items"], order_facts, stored["dim_product"], stored["dim_seller"]), "date_key", "sales_key")
@@ -117,7 +121,8 @@ def publish(spark: SparkSession, views: Mapping[str, DataFrame], warehouse: str,
     """Write a new version, audit it, then mark it live. On failure nothing is marked and nothing stays; a failed audit raises AuditFailed."""
     version = new_version(warehouse)
     try:
-        problems = audit(write_star(spark, views, version, calendar))
+        with shuffles_removed(spark):
+            problems = audit(write_star(spark, views, version, calendar))
         if problems:
             raise AuditFailed(problems)
         mark_live(spark, version)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.jobs import together
+from starloom.operators.durable import shuffles_removed
 from starloom.schemas import RAW_COLUMNS, raw_schema
 from starloom.sources import files
 from starloom.sources.records import records
@@ -75,7 +76,8 @@ def write_staging(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str
         df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{version}/{table}")
         return seen.get["rows"]
 
-    counts = together(*[partial(write, table, df) for table, df in raw.items()])
+    with shuffles_removed(spark):
+        counts = together(*[partial(write, table, df) for table, df in raw.items()])
     mark_live(spark, version)
     return dict(zip(raw, counts))
 

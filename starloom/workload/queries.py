@@ -20,7 +20,7 @@ from starloom.functions import blank_to_null, exact_avg, place_label, safe_div,
 from starloom.jobs import together
 from starloom.operators import calendar as calendars
 from starloom.operators.dedup import duplicate_keys, latest_row, modal_row
-from starloom.operators.durable import shared_folder
+from starloom.operators.durable import shared_folder, shuffles_removed
 from starloom.operators.joins import orphan_rows, rollup_via
 from starloom.operators.keys import row_keys
 from starloom.operators.ordering import ntile, ordered, top_k
@@ -28,6 +28,7 @@ from starloom.plans import analysis, audit, clean, metrics, publish
 from starloom.plans import star as builders
 from starloom.schemas import star_columns
 from starloom.plans.run import run
+from starloom.sources import files
 from starloom.sources.extracts import read_extracts, read_staging, write_staging
 from starloom.sources.sql import run_query, run_suite
 from starloom.workload.feed import feed_views, line_amounts, raw_feed
@@ -84,7 +85,8 @@ def _write_extracts(raw: Mapping[str, DataFrame], tables: list[str], folder: str
         suffix = "" if name.endswith("translation") else "_dataset"
         raw[name].write.option("header", True).option("escape", '"').csv(f"{folder}/retail_{name}{suffix}.csv")
 
-    together(*[partial(write, name) for name in tables])
+    with shuffles_removed(raw[tables[0]].sparkSession):
+        together(*[partial(write, name) for name in tables])
 
 
 def _csv_extracts(spark: SparkSession, sf_dir: str, tables: list[str]) -> dict[str, DataFrame]:
@@ -127,7 +129,9 @@ def _(spark, sf_dir):
     home = f"{shared_folder(spark)}/starloom/{spark.sparkContext.applicationId}/run-{uuid.uuid4().hex}"
     raw = raw_feed(spark, sf_dir)
     _write_extracts(raw, list(raw), f"{home}/extracts")
-    report = run(spark, f"{home}/extracts", home)
+    run(spark, f"{home}/extracts", home, ("staging",))
+    files.delete(spark, f"{home}/extracts")  # staged, and not read again
+    report = run(spark, f"{home}/extracts", home, ("warehouse", "validation"))
     rows = [(c.check_no, c.name, c.total_evaluated, c.failed_count, c.status) for c in report.checks]
     return spark.createDataFrame(rows, "check_no int, name string, total_evaluated bigint, failed_count bigint, status string")
 
